@@ -72,10 +72,14 @@ def resolve_key(fact: DataFrame, dim: DataFrame, on: list[str], key_col: str,
     """Replace natural key columns ``on`` by the dimension key ``key_col``.
 
     Left join: a fact row never disappears; an unmatched natural key gets the
-    unknown member ``-1``.  The dimension is broadcast after a size check.
+    unknown member ``-1``.  With ``max_dim_rows`` the dimension is broadcast
+    after a row-count check; without it the planner decides from its size
+    estimate and AQE re-decides from the real size at runtime (broadcast under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, sort-merge beyond).
     """
     d = dim.select(key_col, *on)
-    d = checked_broadcast(d, max_dim_rows) if max_dim_rows else checked_broadcast(d)
+    if max_dim_rows:
+        d = checked_broadcast(d, max_dim_rows)
     joined = fact.join(d, on=on, how="left")
     return joined.withColumn(key_col, F.coalesce(F.col(key_col), F.lit(UNKNOWN_KEY).cast("bigint"))
                              ).drop(*on)

@@ -24,6 +24,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_reference(df: DataFrame) -> DataFrame:
+    """Broadcast a reference table whose size is fixed by definition (the
+    region and nation lists, a source's region list): its bound does not
+    depend on the data volume, so no runtime check is spent on it."""
+    return F.broadcast(df)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """MERGE-style upsert: rows of ``updates`` replace target rows with the same
     key, new keys are added, other target rows stay.  ``updates`` must hold one

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.operators.gold import UNKNOWN_KEY, assign_keys, calendar_from, resolve_keys
-from indicata.operators.joins import checked_broadcast
 from indicata.operators.measures import with_changes
+from indicata.sinks.files import materialize
 
 UNKNOWN_NAME = "UNKNOWN"
 
@@ -64,7 +64,15 @@ def keyed_fact(tidy_monthly: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
                        F.col("source_key").cast("bigint"), "value")
 
 
-def build_star(tidy_monthly: DataFrame, region_names: DataFrame) -> Star:
+def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool = False) -> Star:
+    """Dimensions and keyed fact from a tidy monthly table.
+
+    The tidy table feeds five dimensions and the fact; unless it is already a
+    written table (``written=True``) it is written once first, so it is
+    computed once rather than once per consumer.
+    """
+    if not written:
+        tidy_monthly = materialize(tidy_monthly, "silver_monthly")
     dims = build_dims(tidy_monthly, region_names)
     fact = keyed_fact(tidy_monthly, dims)
     return Star(
@@ -80,14 +88,15 @@ def build_star(tidy_monthly: DataFrame, region_names: DataFrame) -> Star:
 def star_by_region_month(star: Star, source: str, measure: str) -> DataFrame:
     """Star query: one source and measure, summed per region and month.
 
-    Dimensions are filtered first and broadcast after a size check; the fact is
-    scanned once, joined map side, and partially aggregated before the single
-    shuffle on ``(region, period)``.
+    Dimensions are filtered first; the planner broadcasts them from their size
+    estimate (re-checked by AQE at runtime), so the fact is scanned once,
+    joined map side, and partially aggregated before the single shuffle on
+    ``(region, period)``.
     """
-    src = checked_broadcast(star.dim_source.where(F.col("source") == source).select("source_key"))
-    mea = checked_broadcast(star.dim_measure.where(F.col("measure") == measure).select("measure_key"))
-    reg = checked_broadcast(star.dim_region.select("region_key", "region"))
-    cal = checked_broadcast(star.dim_calendar.select("calendar_key", F.col("month_start").alias("period")))
+    src = star.dim_source.where(F.col("source") == source).select("source_key")
+    mea = star.dim_measure.where(F.col("measure") == measure).select("measure_key")
+    reg = star.dim_region.select("region_key", "region")
+    cal = star.dim_calendar.select("calendar_key", F.col("month_start").alias("period"))
     f = (star.fact.join(src, "source_key").join(mea, "measure_key")
          .join(reg, "region_key").join(cal, "calendar_key"))
     return f.groupBy("region", "period").agg(F.sum("value").cast("decimal(18,4)").alias("value"))

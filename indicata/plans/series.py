@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.operators.joins import checked_broadcast
+from indicata.operators.joins import broadcast_reference
 from indicata.operators.silver import VALUE_TYPE, tidy
 from indicata.tables import Tables
 
@@ -18,9 +18,10 @@ UNKNOWN_REGION = "UNKNOWN"
 
 
 def nation_regions(t: Tables) -> DataFrame:
-    """``n_nationkey -> region`` (nation and region are reference tables)."""
+    """``n_nationkey -> region`` (nation and region are reference tables of
+    fixed size: 25 and 5 rows)."""
     return (t.nation.select("n_nationkey", "n_regionkey")
-            .join(checked_broadcast(t.region.select("r_regionkey", F.col("r_name").alias("region"))),
+            .join(broadcast_reference(t.region.select("r_regionkey", F.col("r_name").alias("region"))),
                   F.col("n_regionkey") == F.col("r_regionkey"))
             .select("n_nationkey", "region"))
 
@@ -29,13 +30,13 @@ def customer_regions(t: Tables) -> DataFrame:
     """``c_custkey -> region``; customer grows with the data, the nation map
     is broadcast into the customer scan."""
     return (t.customer.select("c_custkey", "c_nationkey")
-            .join(checked_broadcast(nation_regions(t)), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(broadcast_reference(nation_regions(t)), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select("c_custkey", "region"))
 
 
 def supplier_regions(t: Tables) -> DataFrame:
     return (t.supplier.select("s_suppkey", "s_nationkey")
-            .join(checked_broadcast(nation_regions(t)), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            .join(broadcast_reference(nation_regions(t)), F.col("s_nationkey") == F.col("n_nationkey"), "left")
             .select("s_suppkey", "region"))
 
 
