@@ -1 +1,350 @@
-"""Catalog: Bronze queries."""
+"""Catalog: Bronze — landing scans, lineage, text rules, grids, requests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from indicata.functions import (cell_text_legacy, cell_text_xlsx, empty_to_null, float_text,
+                                url_last_segment)
+from indicata.operators.bronze import add_lineage, all_strings, width_violations
+from indicata.plans.catalog import query, tables
+from indicata.session import scratch_path
+from indicata.sinks.files import read_snapshot, write_snapshot
+from indicata.sources.cells import fill_headers, grid_shape, to_grid
+from indicata.sources.csv_text import read_delimited, write_delimited
+from indicata.sources.json_docs import energy_bronze, parse_documents
+from indicata.sources.manifest import tag_with_manifest
+from indicata.sources.requests import fetch_outcome, request_grid
+
+RUN_TS = "2024-01-01T00:00:00+00:00"  # fixed stamp: deterministic lineage in checks
+API_PATH = "/api/demand"
+BASE_URL = "https://api.example/demand"
+
+
+# ── S1 delimited text ─────────────────────────────────────────────────────
+
+@query("scan_csv_strings", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer
+""")
+def scan_csv_strings(spark, base):
+    """Land ``customer`` as ``;`` text, scan it back as all strings."""
+    path = scratch_path(spark, "customer_csv")
+    write_delimited(all_strings(tables(spark, base).customer), path)
+    df = read_delimited(spark, path)
+    return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+# ── S2/R1 JSON documents ──────────────────────────────────────────────────
+
+POINTS_PER_DOCUMENT = 50
+
+
+def _landed_documents(t):
+    """Events landed as series documents: one document per block of 50
+    consecutive event ids, one series per event type in it."""
+    e = t.events.select(
+        (F.col("event_id") / POINTS_PER_DOCUMENT).cast("bigint").alias("block"), "event_type",
+        F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+                 F.col("value").alias("value"),
+                 F.get_json_object("props", "$.k").cast("int").alias("percentage")).alias("point"))
+    series = e.groupBy("block", "event_type").agg(F.collect_list("point").alias("values")).select(
+        "block", F.struct(F.col("event_type").alias("type"),
+                          F.struct(F.col("values").alias("values")).alias("attributes")).alias("s"))
+    docs = series.groupBy("block").agg(F.collect_list("s").alias("included"))
+    return docs.select(F.concat(F.lit("chunk_"), F.col("block").cast("string")).alias("geo_name"),
+                       F.to_json(F.struct("included")).alias("body"))
+
+
+@query("json_series_points", f"""
+SELECT event_type AS series_type, 'chunk_' || CAST(event_id // {POINTS_PER_DOCUMENT} AS VARCHAR) AS geo_name,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime, CAST(value AS VARCHAR) AS value,
+       CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS percentage,
+       '{RUN_TS}' AS _ingestion_timestamp, '{API_PATH}' AS _source_api
+FROM events
+""")
+def json_series_points(spark, base):
+    points = parse_documents(_landed_documents(tables(spark, base)), context=["geo_name"])
+    return energy_bronze(points, RUN_TS, API_PATH)
+
+
+# ── S6 manifest ──────────────────────────────────────────────────────────
+
+def _manifest(spark):
+    i = F.col("id")
+    return spark.range(20).select(
+        F.concat(F.lit("src"), i.cast("string")).alias("file_id"),
+        F.when(i % 2 == 0, F.lit("estado")).otherwise(F.lit("entes")).alias("agent"),
+        (i >= 10).alias("is_continuation"), (F.lit(1) + i % 3).cast("int").alias("header_rows"))
+
+
+@query("manifest_tag", """
+WITH m AS (SELECT 'src' || CAST(i AS VARCHAR) AS file_id,
+                  CASE WHEN i % 2 = 0 THEN 'estado' ELSE 'entes' END AS agent,
+                  i >= 10 AS is_continuation, CAST(1 + i % 3 AS INTEGER) AS header_rows
+           FROM range(20) t(i))
+SELECT d.doc_id, d.source, m.agent, m.is_continuation, m.header_rows
+FROM documents d JOIN m ON d.source = m.file_id
+""")
+def manifest_tag(spark, base):
+    docs = tables(spark, base).documents.select("doc_id", "source")
+    return tag_with_manifest(docs, _manifest(spark), "source")
+
+
+# ── S7 request grid ──────────────────────────────────────────────────────
+
+@query("request_grid", f"""
+WITH b AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
+y AS (SELECT CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS year FROM b),
+r AS (SELECT r_name AS geo_name, r_regionkey AS geo_id,
+             CASE WHEN r_regionkey = 0 THEN 'peninsular' ELSE 'ccaa' END AS geo_limit FROM region)
+SELECT geo_name, geo_id, geo_limit, year,
+       '{BASE_URL}?start_date=' || year || '-01-01T00:00&end_date=' || year
+       || '-12-31T23:59&time_trunc=month&geo_trunc=electric_system&geo_limit=' || geo_limit
+       || '&geo_ids=' || geo_id AS url
+FROM r CROSS JOIN y
+""")
+def request_grid_q(spark, base):
+    t = tables(spark, base)
+    years = t.orders.select(F.year("o_orderdate").alias("y"))
+    regions = t.region.select(
+        F.col("r_name").alias("geo_name"), F.col("r_regionkey").alias("geo_id"),
+        F.when(F.col("r_regionkey") == 0, F.lit("peninsular")).otherwise(F.lit("ccaa")).alias("geo_limit"))
+    return request_grid(regions, years.select(F.min("y")).scalar(), years.select(F.max("y")).scalar(),
+                        BASE_URL)
+
+
+# ── S8 fetch outcome ─────────────────────────────────────────────────────
+
+@query("fetch_outcome", """
+WITH a AS (
+  SELECT user_id AS request_id,
+         CASE WHEN event_type IN ('error', 'signup') THEN 'transient'
+              WHEN event_type = 'click' THEN 'permanent' ELSE 'success' END AS cls,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+  FROM events),
+f AS (SELECT * FROM a WHERE n <= 4),
+u AS (SELECT request_id, COALESCE(min(n) FILTER (WHERE cls <> 'transient'), max(n)) AS used
+      FROM f GROUP BY request_id)
+SELECT u.request_id, CAST(u.used AS INTEGER) AS attempts_used, f.cls AS final_class,
+       CASE f.cls WHEN 'success' THEN 'success' WHEN 'permanent' THEN 'permanent_error' ELSE 'exhausted' END AS outcome,
+       CAST((SELECT COALESCE(SUM(CAST(pow(2, g.n) AS BIGINT)), 0) FROM f g
+             WHERE g.request_id = u.request_id AND g.n < u.used AND g.cls = 'transient') AS BIGINT) AS wait_seconds
+FROM u JOIN f ON f.request_id = u.request_id AND f.n = u.used
+""")
+def fetch_outcome_q(spark, base):
+    """Attempt log = events per user in (ts, event_id) order; the event type
+    stands for the response class."""
+    e = tables(spark, base).events
+    cls = (F.when(F.col("event_type").isin("error", "signup"), F.lit("transient"))
+           .when(F.col("event_type") == "click", F.lit("permanent")).otherwise(F.lit("success")))
+    attempts = e.select(F.col("user_id").alias("request_id"), "ts", "event_id", cls.alias("cls"))
+    return fetch_outcome(attempts, "request_id", ["ts", "event_id"], klass="cls")
+
+
+# ── S5 / A3 / R3 cell grids ──────────────────────────────────────────────
+
+CUSTOMER_CELLS_SQL = """
+  SELECT 'part_' || CAST(c_custkey % 4 AS VARCHAR) AS file, 'Sheet1' AS sheet,
+         CAST(c_custkey // 4 + 1 AS INTEGER) AS row_idx, *
+  FROM customer WHERE c_custkey % 11 <> 0
+"""
+
+
+def _customer_cells(t):
+    """Customers as sheet cells: four files, a row per customer, five
+    columns; a name cell is blank for every 7th key and every 11th key's row
+    is blank, so blank cells and rows must be restored by the grid."""
+    texts = all_strings(t.customer.withColumn("_k", F.col("c_custkey")), keep=("_k",))
+    k = F.col("_k")
+    cells = texts.select(
+        F.concat(F.lit("part_"), (k % 4).cast("string")).alias("file"),
+        F.lit("Sheet1").alias("sheet"),
+        (F.floor(k / 4) + 1).cast("int").alias("row_idx"),
+        F.explode(F.array(*[
+            F.struct(F.lit(i).alias("col_idx"), v.alias("text")) for i, v in enumerate([
+                F.col("c_custkey"), F.when(k % 7 != 0, F.col("c_name")),
+                F.col("c_nationkey"), F.col("c_acctbal"), F.col("c_mktsegment")], 1)])).alias("cell"),
+        (k % 11 == 0).alias("_blank_row"))
+    return (cells.where(~F.col("_blank_row") & F.col("cell.text").isNotNull())
+            .select("file", "sheet", "row_idx", "cell.col_idx", "cell.text"))
+
+
+@query("grid_from_cells", f"""
+WITH c AS ({CUSTOMER_CELLS_SQL}),
+m AS (SELECT file, sheet, max(row_idx) AS n FROM c GROUP BY file, sheet),
+s AS (SELECT file, sheet, CAST(unnest(generate_series(1, n)) AS INTEGER) AS row_idx FROM m)
+SELECT s.file, s.sheet, s.row_idx,
+       COALESCE(CAST(c.c_custkey AS VARCHAR), '') AS col_01,
+       COALESCE(CASE WHEN c.c_custkey % 7 <> 0 THEN c.c_name END, '') AS col_02,
+       COALESCE(CAST(c.c_nationkey AS VARCHAR), '') AS col_03,
+       COALESCE(CAST(c.c_acctbal AS VARCHAR), '') AS col_04,
+       COALESCE(c.c_mktsegment, '') AS col_05
+FROM s LEFT JOIN c ON s.file = c.file AND s.sheet = c.sheet AND s.row_idx = c.row_idx
+""")
+def grid_from_cells(spark, base):
+    return to_grid(_customer_cells(tables(spark, base)), width=5)
+
+
+@query("grid_shape", f"""
+WITH c AS ({CUSTOMER_CELLS_SQL})
+SELECT file, sheet, max(row_idx) AS n_rows, 5 AS n_cols,
+       count(*) * 5 - count(*) FILTER (WHERE c_custkey % 7 = 0) AS n_cells
+FROM c GROUP BY file, sheet
+""")
+def grid_shape_q(spark, base):
+    return grid_shape(_customer_cells(tables(spark, base)))
+
+
+@query("header_fill", """
+WITH c AS (SELECT CAST(o_orderkey // 8 + 1 AS INTEGER) AS row_idx, CAST(o_orderkey % 8 + 1 AS INTEGER) AS col_idx,
+                  CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '' END AS text
+           FROM orders)
+SELECT 'orders' AS file, 'Sheet1' AS sheet, row_idx, col_idx, text,
+       last_value(NULLIF(text, '') IGNORE NULLS) OVER (PARTITION BY row_idx ORDER BY col_idx
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
+FROM c
+""")
+def header_fill(spark, base):
+    """Sparse header rows (merged-cell gaps) filled forward along the row."""
+    o = tables(spark, base).orders
+    cells = o.select(F.lit("orders").alias("file"), F.lit("Sheet1").alias("sheet"),
+                     (F.floor(F.col("o_orderkey") / 8) + 1).cast("int").alias("row_idx"),
+                     (F.col("o_orderkey") % 8 + 1).cast("int").alias("col_idx"),
+                     F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(F.lit(""))
+                     .alias("text"))
+    return fill_headers(cells)
+
+
+# ── F1–F3, F5 text functions ─────────────────────────────────────────────
+
+@query("float_text", """
+SELECT p_partkey, CAST(p_retailprice AS VARCHAR) AS price_text FROM part
+UNION ALL
+SELECT -1 - o_orderkey, CAST(o_totalprice AS VARCHAR) FROM orders
+""")
+def float_text_q(spark, base):
+    t = tables(spark, base)
+    return (t.part.select("p_partkey", float_text("p_retailprice").alias("price_text"))
+            .unionByName(t.orders.select((F.lit(-1) - F.col("o_orderkey")).alias("p_partkey"),
+                                         float_text("o_totalprice").alias("price_text"))))
+
+
+def _part_cells(t, integral_as_int: bool):
+    p = t.part
+    price = F.col("p_retailprice")
+    raw_price = (F.when(price == F.floor(price), price.cast("decimal(38,0)").cast("string"))
+                 .otherwise(float_text(price))) if integral_as_int else float_text(price)
+    return p.select("p_partkey", raw_price.alias("price_raw"),
+                    F.col("p_size").cast("string").alias("size_raw"),
+                    F.when(F.col("p_size") > 25, F.lit("1")).otherwise(F.lit("0")).alias("flag_raw"),
+                    (F.lit(45000) + F.col("p_size")).cast("string").alias("date_raw"),
+                    "p_brand")
+
+
+@query("cell_text_legacy", """
+SELECT p_partkey,
+       CASE WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR)
+            ELSE CAST(p_retailprice AS VARCHAR) END AS price_text,
+       CAST(p_size AS VARCHAR) AS size_text,
+       CASE WHEN p_size > 25 THEN '1' ELSE '0' END AS flag_text,
+       CAST(45000 + p_size AS VARCHAR) AS date_text,
+       p_brand AS brand_text
+FROM part
+""")
+def cell_text_legacy_q(spark, base):
+    c = _part_cells(tables(spark, base), integral_as_int=False)
+    return c.select("p_partkey", cell_text_legacy("price_raw", F.lit("n")).alias("price_text"),
+                    cell_text_legacy("size_raw", F.lit("n")).alias("size_text"),
+                    cell_text_legacy("flag_raw", F.lit("b")).alias("flag_text"),
+                    cell_text_legacy("date_raw", F.lit("d")).alias("date_text"),
+                    cell_text_legacy("p_brand", F.lit("s")).alias("brand_text"))
+
+
+@query("cell_text_xlsx", """
+SELECT p_partkey,
+       CASE WHEN p_retailprice = floor(p_retailprice) THEN CAST(CAST(p_retailprice AS BIGINT) AS VARCHAR)
+            ELSE CAST(p_retailprice AS VARCHAR) END AS price_text,
+       CAST(p_size AS VARCHAR) AS size_text,
+       CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END AS flag_text,
+       strftime(DATE '1899-12-30' + CAST(45000 + p_size AS INTEGER), '%Y-%m-%d %H:%M:%S') AS date_text,
+       p_brand AS brand_text
+FROM part
+""")
+def cell_text_xlsx_q(spark, base):
+    c = _part_cells(tables(spark, base), integral_as_int=True)
+    return c.select("p_partkey", cell_text_xlsx("price_raw", F.lit("n")).alias("price_text"),
+                    cell_text_xlsx("size_raw", F.lit("n")).alias("size_text"),
+                    cell_text_xlsx("flag_raw", F.lit("b")).alias("flag_text"),
+                    cell_text_xlsx("date_raw", F.lit("d")).alias("date_text"),
+                    cell_text_xlsx("p_brand", F.lit("s")).alias("brand_text"))
+
+
+@query("path_parts", """
+SELECT page_id, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1) AS host,
+       regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+       regexp_extract(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1)
+         AS last_segment
+FROM pages
+""")
+def path_parts(spark, base):
+    p = tables(spark, base).pages
+    return p.select("page_id", F.try_parse_url("url", F.lit("HOST")).alias("host"),
+                    F.try_parse_url("url", F.lit("PATH")).alias("path"),
+                    url_last_segment("url").alias("last_segment"))
+
+
+# ── K1 snapshot ──────────────────────────────────────────────────────────
+
+@query("snapshot_roundtrip", "SELECT * FROM orders")
+def snapshot_roundtrip(spark, base):
+    """Write ``orders`` as a snapshot with one output per status (dynamic
+    overwrite), read it back."""
+    path = scratch_path(spark, "orders_snapshot")
+    write_snapshot(tables(spark, base).orders, path, per_file_col="o_orderstatus")
+    return read_snapshot(spark, path)
+
+
+# ── P1, P2, P3, P8 Bronze projections ────────────────────────────────────
+
+@query("bronze_lineage", f"""
+SELECT o_orderkey, '{RUN_TS}' AS _ingestion_timestamp, 'orders.parquet' AS _source_file FROM orders
+""")
+def bronze_lineage(spark, base):
+    o = tables(spark, base).orders.select("o_orderkey")
+    return add_lineage(o, RUN_TS)
+
+
+@query("bronze_all_strings", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+       o_orderpriority
+FROM orders
+""")
+def bronze_all_strings(spark, base):
+    return all_strings(tables(spark, base).orders)
+
+
+@query("empty_to_null", """
+SELECT conv_id, turn, NULLIF(CASE WHEN turn % 5 = 4 THEN '' ELSE role END, '') AS role,
+       NULLIF(CASE WHEN turn % 4 = 3 THEN '' ELSE text END, '') AS text
+FROM conversations
+""")
+def empty_to_null_q(spark, base):
+    c = tables(spark, base).conversations
+    role = F.when(F.col("turn") % 5 == 4, F.lit("")).otherwise(F.col("role"))
+    text = F.when(F.col("turn") % 4 == 3, F.lit("")).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", empty_to_null(role).alias("role"), empty_to_null(text).alias("text"))
+
+
+@query("width_violations", """
+SELECT doc_id, 'text' AS column_name, CAST(length(text) AS BIGINT) AS n_chars FROM documents WHERE length(text) > 500
+UNION ALL
+SELECT doc_id, 'lang', CAST(length(lang) AS BIGINT) FROM documents WHERE length(lang) > 500
+UNION ALL
+SELECT doc_id, 'source', CAST(length(source) AS BIGINT) FROM documents WHERE length(source) > 500
+""")
+def width_violations_q(spark, base):
+    d = tables(spark, base).documents.select("doc_id", "text", "lang", "source")
+    return width_violations(d, ["doc_id"], 500)
