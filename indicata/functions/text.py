@@ -34,9 +34,12 @@ def float_text(c) -> Column:
         r"\.$", ".0")
     # Python prints the shortest digit string that reads back as the same
     # double; Java's own rendering is not always the shortest, so the first
-    # ``%.{p}e`` rendering that round-trips is taken.
-    shortest = [format_string_e(d, p) for p in range(0, 17)]
-    sci = F.coalesce(*[F.when(s.cast("double") == d, s) for s in shortest])
+    # ``%.{p}e`` rendering (p = 0..16) that round-trips is taken.  One
+    # higher-order expression keeps the generated code small.
+    candidates = F.transform(
+        F.sequence(F.lit(0), F.lit(16)),
+        lambda p: F.printf(F.concat(F.lit("%."), p.cast("string"), F.lit("e")), d))
+    sci = F.element_at(F.filter(candidates, lambda s: s.cast("double") == d), 1)
     return (
         F.when(d.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(d), F.lit("nan"))
@@ -48,11 +51,6 @@ def float_text(c) -> Column:
     )
 
 
-def format_string_e(d: Column, decimals: int) -> Column:
-    """``d`` as ``m.mmme±XX`` with ``decimals`` mantissa decimals."""
-    return F.format_string(f"%.{decimals}e", d)
-
-
 def json_number_text(raw) -> Column:
     """Text of a JSON number token read as a string.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,15 +177,13 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFra
     greatest of the remaining columns (a total order, so both engines and
     every rerun keep the same row).
 
-    Written as a hash aggregate of ``max(struct(order…, rest…))`` instead of a
-    ``row_number`` window: the aggregate combines map-side, so a hot key is
-    reduced on every task before the shuffle instead of being sorted in one.
+    ``row_number() = 1`` is planned with a partial WindowGroupLimit: every
+    task keeps only its best row per key *before* the shuffle, so a hot key
+    arrives at its reducer as one row per task, not as its whole history.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = F.max(F.struct(*[F.col(c) for c in order_by + rest])).alias("_best")
-    return (df.groupBy(*keys).agg(packed)
-            .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order_by + rest])
-            .select(*df.columns))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by + rest])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
