@@ -106,3 +106,24 @@ def region_yoy(star: Star, source: str, measure: str) -> DataFrame:
     """Year-over-year (and month-over-month) change per region and month."""
     return with_changes(star_by_region_month(star, source, measure), ["region"]) \
         .select("region", "period", "value", "yoy", "mom")
+
+
+def derive_measures(tidy_monthly: DataFrame, additive: DataFrame | None = None) -> DataFrame:
+    """All four derived measures per series (source, indicator, region,
+    measure): YoY, MoM, YTD, QTD.  ``additive``: ``measure, additive`` —
+    flows are summed to date, index-like measures (default) averaged."""
+    from indicata.operators.measures import with_qtd, with_ytd
+
+    series_cols = ["source", "indicator", "region", "measure"]
+    df = tidy_monthly
+    if additive is not None:
+        df = df.join(additive.select("measure", F.col("additive").cast("boolean")), "measure", "left")
+    else:
+        df = df.withColumn("additive", F.lit(None).cast("boolean"))
+    flag = F.coalesce(F.col("additive"), F.lit(False))
+    df = with_changes(df, series_cols)
+    df = with_ytd(df, series_cols, additive=flag)
+    df = with_qtd(df, series_cols, additive=flag)
+    return df.select(*series_cols, "period", "value", "yoy", "mom",
+                     F.col("ytd").cast("decimal(18,4)").alias("ytd"),
+                     F.col("qtd").cast("decimal(18,4)").alias("qtd"))

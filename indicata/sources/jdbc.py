@@ -28,9 +28,11 @@ def staging_ddl(columns: list[str], width: int = STAGING_WIDTH) -> str:
 
 
 def write_staging(df: DataFrame, url: str, table: str, properties: dict | None = None,
-                  width: int = STAGING_WIDTH, batch_size: int = BATCH_SIZE) -> None:
+                  width: int = STAGING_WIDTH, batch_size: int = BATCH_SIZE,
+                  empty_as_null: bool = True) -> None:
     """Drop-and-create ``table`` and load ``df`` (all strings, ``''`` -> NULL)."""
-    staged = df.select(*[empty_to_null(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns])
+    text = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    staged = df.select(*[(empty_to_null(t) if empty_as_null else t).alias(c) for t, c in zip(text, df.columns)])
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
     (staged.write.mode("overwrite")
