@@ -30,11 +30,18 @@ class Star:
 
 
 def with_unknown(dim: DataFrame, key_col: str) -> DataFrame:
-    """Add the unknown member row (key -1, every text column 'UNKNOWN')."""
-    spark = dim.sparkSession
-    row = [UNKNOWN_KEY if f.name == key_col else (UNKNOWN_NAME if f.dataType.simpleString() == "string" else None)
+    """Add the unknown member row (key -1, every text column 'UNKNOWN').
+
+    The row is built from ``range(1)`` so the planner keeps exact size
+    statistics for the dimension (a local Python list would hide them and
+    turn every later dimension join into a shuffle join).
+    """
+    one = dim.sparkSession.range(1)
+    row = [F.lit(UNKNOWN_KEY).cast(f.dataType).alias(f.name) if f.name == key_col
+           else (F.lit(UNKNOWN_NAME) if f.dataType.simpleString() == "string" else F.lit(None))
+           .cast(f.dataType).alias(f.name)
            for f in dim.schema.fields]
-    return dim.unionByName(spark.createDataFrame([row], dim.schema))
+    return dim.unionByName(one.select(*row))
 
 
 def build_dims(tidy_monthly: DataFrame, region_names: DataFrame) -> dict[str, DataFrame]:
