@@ -42,7 +42,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from indicata.plans import catalog_gold, catalog_silver, catalog_bronze  # noqa: F401
+    from indicata.plans import catalog_bronze, catalog_gold, catalog_layers, catalog_silver  # noqa: F401
 
 
 def tables(spark: SparkSession, base: str) -> Tables:

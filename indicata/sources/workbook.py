@@ -182,7 +182,12 @@ def read_xlsx_cells(spark: SparkSession, path: str, sheet: str | None = None,
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", True).load(path).select("path", "content"))
-    return files.mapInPandas(_decoder(sheet, sheet_index), CELL_SCHEMA)
+    return decode_workbooks(files, sheet, sheet_index)
+
+
+def decode_workbooks(files: DataFrame, sheet: str | None = None, sheet_index: int | None = None) -> DataFrame:
+    """Cell table of a ``(path, content)`` frame of workbook bytes."""
+    return files.select("path", "content").mapInPandas(_decoder(sheet, sheet_index), CELL_SCHEMA)
 
 
 def xlsx_text(cells: DataFrame) -> DataFrame:
@@ -196,4 +201,4 @@ def legacy_text(cells: DataFrame) -> DataFrame:
     return cells.withColumn("text", cell_text_legacy("raw", "ctype"))
 
 
-__all__ = ["CELL_SCHEMA", "decode_xlsx", "read_xlsx_cells", "xlsx_text", "legacy_text", "file_name"]
+__all__ = ["CELL_SCHEMA", "decode_xlsx", "decode_workbooks", "read_xlsx_cells", "xlsx_text", "legacy_text", "file_name"]

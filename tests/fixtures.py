@@ -3,93 +3,15 @@
 from __future__ import annotations
 
 import os
-import zipfile
-from xml.sax.saxutils import escape
 
-
-def _col_letters(n: int) -> str:
-    s = ""
-    while n:
-        n, r = divmod(n - 1, 26)
-        s = chr(65 + r) + s
-    return s
+from indicata.plans.landing import xlsx_bytes
 
 
 def write_xlsx(path: str, sheets: dict[str, dict[tuple[int, int], tuple]]) -> str:
-    """Write a minimal XLSX.  Cell spec: ``(row, col) -> (kind, value)`` with
-    kind ``s`` shared string, ``is`` inline string, ``n`` number text,
-    ``d`` date serial (date style), ``b`` boolean, ``e`` error,
-    ``f`` formula ``(formula, cached number text)``, ``fs`` formula with a
-    cached string."""
-    shared: list[str] = []
-
-    def sst(v):
-        if v not in shared:
-            shared.append(v)
-        return shared.index(v)
-
-    sheet_xml = []
-    for cells in sheets.values():
-        rows: dict[int, list] = {}
-        for (r, c), spec in sorted(cells.items()):
-            rows.setdefault(r, []).append((c, spec))
-        out = []
-        for r in sorted(rows):
-            cs = []
-            for c, (kind, value) in rows[r]:
-                ref = f"{_col_letters(c)}{r}"
-                if kind == "s":
-                    cs.append(f'<c r="{ref}" t="s"><v>{sst(value)}</v></c>')
-                elif kind == "is":
-                    cs.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(value)}</t></is></c>')
-                elif kind == "n":
-                    cs.append(f'<c r="{ref}"><v>{value}</v></c>')
-                elif kind == "d":
-                    cs.append(f'<c r="{ref}" s="1"><v>{value}</v></c>')
-                elif kind == "b":
-                    cs.append(f'<c r="{ref}" t="b"><v>{value}</v></c>')
-                elif kind == "e":
-                    cs.append(f'<c r="{ref}" t="e"><v>{escape(value)}</v></c>')
-                elif kind == "f":
-                    formula, cached = value
-                    cs.append(f'<c r="{ref}"><f>{escape(formula)}</f><v>{cached}</v></c>')
-                elif kind == "fs":
-                    formula, cached = value
-                    cs.append(f'<c r="{ref}" t="str"><f>{escape(formula)}</f><v>{escape(cached)}</v></c>')
-                elif kind == "blank":
-                    cs.append(f'<c r="{ref}" s="0"/>')
-            out.append(f'<row r="{r}">{"".join(cs)}</row>')
-        sheet_xml.append(
-            '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-            f'<sheetData>{"".join(out)}</sheetData></worksheet>')
-    names = list(sheets)
-    wb = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-          '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-          'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>'
-          + "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1))
-          + '</sheets></workbook>')
-    rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-            + "".join(f'<Relationship Id="rId{i}" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
-                      f'relationships/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
-            + '</Relationships>')
-    styles = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-              '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-              '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14" applyNumberFormat="1"/></cellXfs>'
-              '</styleSheet>')
-    sst_xml = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-               '<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-               + "".join(f"<si><t>{escape(s)}</t></si>" for s in shared) + "</sst>")
+    """Write a workbook file (cell spec as in ``indicata.plans.landing.xlsx_bytes``)."""
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    with zipfile.ZipFile(path, "w") as z:
-        z.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types/>')
-        z.writestr("xl/workbook.xml", wb)
-        z.writestr("xl/_rels/workbook.xml.rels", rels)
-        z.writestr("xl/styles.xml", styles)
-        z.writestr("xl/sharedStrings.xml", sst_xml)
-        for i, x in enumerate(sheet_xml, 1):
-            z.writestr(f"xl/worksheets/sheet{i}.xml", x)
+    with open(path, "wb") as f:
+        f.write(xlsx_bytes(sheets))
     return path
 
 
