@@ -96,14 +96,15 @@ def manifest_tag(spark, base):
 
 @query("request_grid", f"""
 WITH b AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
-y AS (SELECT CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS year FROM b),
-r AS (SELECT r_name AS geo_name, r_regionkey AS geo_id,
-             CASE WHEN r_regionkey = 0 THEN 'peninsular' ELSE 'ccaa' END AS geo_limit FROM region)
+g AS (SELECT r_name AS geo_name, r_regionkey AS geo_id,
+             CASE WHEN r_regionkey = 0 THEN 'peninsular' ELSE 'ccaa' END AS geo_limit,
+             CAST(unnest(generate_series((SELECT lo FROM b), (SELECT hi FROM b))) AS INTEGER) AS year
+      FROM region)
 SELECT geo_name, geo_id, geo_limit, year,
        '{BASE_URL}?start_date=' || year || '-01-01T00:00&end_date=' || year
        || '-12-31T23:59&time_trunc=month&geo_trunc=electric_system&geo_limit=' || geo_limit
        || '&geo_ids=' || geo_id AS url
-FROM r CROSS JOIN y
+FROM g
 """)
 def request_grid_q(spark, base):
     t = tables(spark, base)

@@ -8,11 +8,13 @@ from pyspark.sql import types as T
 from indicata.functions import float_text, safe_rate
 from indicata.operators.joins import upsert
 from indicata.operators.quality import (column_profile, count_check, filter_group_count,
-                                        log_audit, progress, reconcile_diff, sample_rows, totals)
+                                        log_audit, progress, reconcile_diff, sample_rows, totals,
+                                        totals_vs_expected)
 from indicata.operators.silver import (apply_scope, cleanse_text, consolidate, dedup_exact,
                                        dedup_latest, enforce_types, map_values, reject_rows,
                                        typed_rows, unmapped, unpivot_measures, verify_types)
-from indicata.plans.catalog import query, tables
+from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL,
+                                    query, tables)
 
 # ── P10 type enforcement ──────────────────────────────────────────────────
 # Landed text for events, dirtied by fixed rules: a decimal comma, a
@@ -423,3 +425,41 @@ def safe_rate_q(spark, base):
         F.sum(price * F.col("l_discount").cast("decimal(18,2)")).alias("d"),
         F.sum(price * F.col("l_tax").cast("decimal(18,2)")).alias("t"))
     return g.select("l_orderkey", safe_rate("d", "t").alias("discount_to_tax"))
+
+
+# ── A5 fact totals per source against the sources ───────────────────────
+
+@query("totals_vs_expected", f"""
+WITH f AS ({ORDERS_BY_REGION_SQL} UNION ALL {LINEITEM_BY_REGION_SQL} UNION ALL {EVENTS_BY_TYPE_SQL}),
+a AS (SELECT source, CAST(SUM(value) AS DECIMAL(18,4)) AS total FROM f GROUP BY source),
+e AS (
+  SELECT 'orders' AS source, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS total FROM orders
+  UNION ALL
+  SELECT 'lineitem', CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))
+                               AS DECIMAL(18,4))) AS DECIMAL(18,4)) FROM lineitem
+  UNION ALL
+  SELECT 'events', CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DECIMAL(18,4)) FROM events)
+SELECT COALESCE(a.source, e.source) AS source, a.total AS actual_total, e.total AS expected_total,
+       CASE WHEN a.total IS NOT DISTINCT FROM e.total THEN 'OK' ELSE 'MISMATCH' END AS status
+FROM a FULL JOIN e ON a.source = e.source
+""")
+def totals_vs_expected_q(spark, base):
+    """Totals of the consolidated monthly fact per source, checked against
+    totals computed straight from each source table."""
+    from indicata.operators.silver import VALUE_TYPE
+    from indicata.plans import series
+
+    t = tables(spark, base)
+    fact = consolidate([series.orders_by_region(t), series.lineitem_by_region(t), series.events_by_type(t)])
+    actual = fact.groupBy("source").agg(F.sum("value").cast(VALUE_TYPE).alias("total"))
+    li = t.lineitem
+    expected = (t.orders.agg(F.sum(F.col("o_totalprice").cast(VALUE_TYPE)).cast(VALUE_TYPE).alias("total"))
+                .select(F.lit("orders").alias("source"), "total")
+                .unionByName(li.agg(F.sum((F.col("l_extendedprice").cast("decimal(18,2)")
+                                           * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)")))
+                                          .cast(VALUE_TYPE)).cast(VALUE_TYPE).alias("total"))
+                             .select(F.lit("lineitem").alias("source"), "total"))
+                .unionByName(t.events.agg(F.sum(F.col("value").cast(VALUE_TYPE)).cast(VALUE_TYPE).alias("total"))
+                             .select(F.lit("events").alias("source"), "total")))
+    return totals_vs_expected(actual, expected, ["source"], ["total"]).select(
+        "source", F.col("actual_total"), F.col("expected_total"), "status")

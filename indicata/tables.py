@@ -19,6 +19,7 @@ class Tables:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}.parquet"
@@ -26,4 +27,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        # one reader per table (file listing and schema resolved once)
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]

@@ -91,3 +91,14 @@ def test_plan_guards(spark, sf_small):
     assert "WindowGroupLimit" in _plan(QUERIES["dedup_latest"](spark, sf_small))
     cols = _plan(QUERIES["bronze_lineage"](spark, sf_small))
     assert "ReadSchema: struct<o_orderkey:bigint>" in cols                 # column pruning
+
+
+def test_yoy_and_mom_share_one_shuffle(spark, sf_small):
+    from indicata.operators.measures import with_changes
+    from indicata.plans.series import orders_by_status
+    from indicata.tables import Tables
+
+    monthly = orders_by_status(Tables(spark, sf_small))
+    base = monthly._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    both = with_changes(monthly, ["indicator"])._jdf.queryExecution().executedPlan().toString()
+    assert both.count("Exchange") == base + 1
