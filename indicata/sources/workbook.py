@@ -23,9 +23,8 @@ from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from indicata.functions.text import cell_text_legacy, cell_text_xlsx, file_name
+from indicata.functions.text import cell_text_legacy, cell_text_xlsx
 
 CELL_SCHEMA = ("file string, sheet string, sheet_idx int, row_idx int, col_idx int, "
                "ctype string, raw string")
@@ -201,4 +200,4 @@ def legacy_text(cells: DataFrame) -> DataFrame:
     return cells.withColumn("text", cell_text_legacy("raw", "ctype"))
 
 
-__all__ = ["CELL_SCHEMA", "decode_xlsx", "decode_workbooks", "read_xlsx_cells", "xlsx_text", "legacy_text", "file_name"]
+__all__ = ["CELL_SCHEMA", "decode_xlsx", "decode_workbooks", "read_xlsx_cells", "xlsx_text", "legacy_text"]
