@@ -60,7 +60,10 @@ def json_number_text(raw) -> Column:
     """
     r = F.trim(_col(raw))
     is_int = r.rlike(r"^-?[0-9]+$")
-    as_int = F.regexp_replace(r, r"^(-?)0+(?=[0-9])", "$1")
+    # up to 38 digits through a decimal (drops leading zeros, -0 -> 0);
+    # longer integer tokens keep their digits with leading zeros removed
+    as_int = F.coalesce(r.try_cast("decimal(38,0)").cast("string"),
+                        F.regexp_replace(r, r"^(-?)0+(?=[0-9])", "$1"))
     return (F.when(r.isNull(), F.lit(None).cast("string"))
             .when(is_int, as_int)
             .otherwise(float_text(r.try_cast("double"))))

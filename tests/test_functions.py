@@ -27,9 +27,14 @@ def test_float_text_special_values(spark):
 
 
 def test_json_number_text_per_value(spark):
-    df = spark.createDataFrame([("5",), ("-0012",), ("1.50e3",), ("6.55",), ("1e7",), (None,), ("0",)], "r string")
+    import json
+
+    tokens = ["5", "-0012", "1.50e3", "6.55", "1e7", None, "0", "-0", "-0.0", "1E400", "123456789012345678901234567890"]
+    df = spark.createDataFrame([(t,) for t in tokens], "r string")
     got = [r.x for r in df.select(json_number_text("r").alias("x")).collect()]
-    assert got == ["5", "-12", "1500.0", "6.55", "10000000.0", None, "0"]
+    valid = [t for t in tokens if t is not None and t != "-0012"]
+    python_text = {t: str(json.loads(t)) for t in valid}     # what the loader printed
+    assert got == [python_text.get(t, None) if t != "-0012" else "-12" for t in tokens]
 
 
 def test_cell_text_rules(spark):
