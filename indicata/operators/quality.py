@@ -63,17 +63,36 @@ def totals_vs_expected(actual: DataFrame, expected: DataFrame, keys: list[str],
 
 # ── A7 column profile ─────────────────────────────────────────────────────
 
-def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True,
+                   rsd: float = 0.01) -> DataFrame:
     """One row per column: rows, non-null, empty-text and distinct counts.
 
-    Values are stacked to ``(column_name, value)`` text pairs and counted with
-    one two-level aggregate (distinct values per column first, combined map
-    side), so no single task ever holds a column's value set.
+    ``exact=True``: values are stacked to ``(column_name, value)`` text pairs
+    and counted with one two-level aggregate (distinct values per column
+    first, combined map side), so no single task ever holds a column's value
+    set; the shuffle carries each task's distinct values.
+    ``exact=False``: one aggregate pass with HyperLogLog distinct counts
+    (relative error ``rsd``); the shuffle carries one small row per task,
+    whatever the data volume.
     """
     cols = columns or df.columns
+    if not exact:
+        aggs = []
+        for i, c in enumerate(cols):
+            v = F.col(f"`{c}`").cast("string")
+            aggs += [F.count(v).alias(f"nn{i}"), F.count_if(v == "").alias(f"ne{i}"),
+                     F.approx_count_distinct(v, rsd).alias(f"nd{i}")]
+        wide = df.agg(F.count(F.lit(1)).alias("n"), *aggs)
+        rows = [F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"),
+                         F.col("n").cast("bigint").alias("n_rows"),
+                         F.col(f"nn{i - 1}").cast("bigint").alias("n_non_null"),
+                         F.col(f"ne{i - 1}").cast("bigint").alias("n_empty"),
+                         F.col(f"nd{i - 1}").cast("bigint").alias("n_distinct"))
+                for i, c in enumerate(cols, 1)]
+        return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"),
-                 F.col(c).cast("string").alias("v")) for i, c in enumerate(cols, 1)
+                 F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cols, 1)
     ])).alias("p")).select("p.*")
     per_value = pairs.groupBy("ordinal", "column_name", "v").agg(F.count(F.lit(1)).alias("k"))
     return (per_value.groupBy("ordinal", "column_name").agg(

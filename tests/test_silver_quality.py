@@ -104,6 +104,8 @@ def test_profile_progress_totals_sample(spark):
     df = spark.createDataFrame([(1, ""), (2, "x"), (3, None)], "k int, s string")
     prof = {r.column_name: r for r in column_profile(df).collect()}
     assert (prof["s"].n_rows, prof["s"].n_non_null, prof["s"].n_empty, prof["s"].n_distinct) == (3, 2, 1, 2)
+    approx = {r.column_name: r for r in column_profile(df, exact=False).collect()}
+    assert (approx["s"].n_rows, approx["s"].n_non_null, approx["s"].n_empty, approx["s"].n_distinct) == (3, 2, 1, 2)
     p = progress(df.withColumn("g", F.lit("a")), ["g", "k"], [F.col("g"), F.col("k")]).orderBy("k").collect()
     assert [r.running_rows for r in p] == [1, 2, 3]
     tv = totals_vs_expected(spark.createDataFrame([("a", 1)], "g string, n int"),
