@@ -148,27 +148,28 @@ def fetch_outcome_q(spark, base):
 
 CUSTOMER_CELLS_SQL = """
   SELECT 'part_' || CAST(c_custkey % 4 AS VARCHAR) AS file, 'Sheet1' AS sheet,
-         CAST(c_custkey // 4 + 1 AS INTEGER) AS row_idx, *
-  FROM customer WHERE c_custkey % 11 <> 0
+         CAST(c_custkey // 4 + 1 + c_custkey // 40 AS INTEGER) AS row_idx, *
+  FROM customer
 """
 
 
 def _customer_cells(t):
-    """Customers as sheet cells: four files, a row per customer, five
-    columns; a name cell is blank for every 7th key and every 11th key's row
-    is blank, so blank cells and rows must be restored by the grid."""
+    """Customers as sheet cells: four files, one row per customer, and after
+    every ten rows of a file one blank row (a gap in the numbering).  Column
+    6 holds a flag only for one market segment, so most of its cells are
+    blank.  Every customer value is in the grid; the grid restores blanks."""
     texts = all_strings(t.customer.withColumn("_k", F.col("c_custkey")), keep=("_k",))
     k = F.col("_k")
     cells = texts.select(
         F.concat(F.lit("part_"), (k % 4).cast("string")).alias("file"),
         F.lit("Sheet1").alias("sheet"),
-        (F.floor(k / 4) + 1).cast("int").alias("row_idx"),
+        (F.floor(k / 4) + 1 + F.floor(k / 40)).cast("int").alias("row_idx"),
         F.explode(F.array(*[
             F.struct(F.lit(i).alias("col_idx"), v.alias("text")) for i, v in enumerate([
-                F.col("c_custkey"), F.when(k % 7 != 0, F.col("c_name")),
-                F.col("c_nationkey"), F.col("c_acctbal"), F.col("c_mktsegment")], 1)])).alias("cell"),
-        (k % 11 == 0).alias("_blank_row"))
-    return (cells.where(~F.col("_blank_row") & F.col("cell.text").isNotNull())
+                F.col("c_custkey"), F.col("c_name"), F.col("c_nationkey"), F.col("c_acctbal"),
+                F.col("c_mktsegment"),
+                F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("auto"))], 1)])).alias("cell"))
+    return (cells.where(F.col("cell.text").isNotNull())
             .select("file", "sheet", "row_idx", "cell.col_idx", "cell.text"))
 
 
@@ -178,20 +179,22 @@ m AS (SELECT file, sheet, max(row_idx) AS n FROM c GROUP BY file, sheet),
 s AS (SELECT file, sheet, CAST(unnest(generate_series(1, n)) AS INTEGER) AS row_idx FROM m)
 SELECT s.file, s.sheet, s.row_idx,
        COALESCE(CAST(c.c_custkey AS VARCHAR), '') AS col_01,
-       COALESCE(CASE WHEN c.c_custkey % 7 <> 0 THEN c.c_name END, '') AS col_02,
+       COALESCE(c.c_name, '') AS col_02,
        COALESCE(CAST(c.c_nationkey AS VARCHAR), '') AS col_03,
        COALESCE(CAST(c.c_acctbal AS VARCHAR), '') AS col_04,
-       COALESCE(c.c_mktsegment, '') AS col_05
+       COALESCE(c.c_mktsegment, '') AS col_05,
+       CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 'auto' ELSE '' END AS col_06
 FROM s LEFT JOIN c ON s.file = c.file AND s.sheet = c.sheet AND s.row_idx = c.row_idx
 """)
 def grid_from_cells(spark, base):
-    return to_grid(_customer_cells(tables(spark, base)), width=5)
+    return to_grid(_customer_cells(tables(spark, base)), width=6)
 
 
 @query("grid_shape", f"""
 WITH c AS ({CUSTOMER_CELLS_SQL})
-SELECT file, sheet, max(row_idx) AS n_rows, 5 AS n_cols,
-       count(*) * 5 - count(*) FILTER (WHERE c_custkey % 7 = 0) AS n_cells
+SELECT file, sheet, max(row_idx) AS n_rows,
+       CASE WHEN count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') > 0 THEN 6 ELSE 5 END AS n_cols,
+       count(*) * 5 + count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS n_cells
 FROM c GROUP BY file, sheet
 """)
 def grid_shape_q(spark, base):
@@ -199,22 +202,30 @@ def grid_shape_q(spark, base):
 
 
 @query("header_fill", """
-WITH c AS (SELECT CAST(o_orderkey // 8 + 1 AS INTEGER) AS row_idx, CAST(o_orderkey % 8 + 1 AS INTEGER) AS col_idx,
-                  CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '' END AS text
-           FROM orders)
+WITH o AS (SELECT CAST(o_orderkey // 8 + 1 AS INTEGER) AS row_idx, CAST(o_orderkey % 8 + 1 AS INTEGER) AS col_idx,
+                  o_orderpriority FROM orders),
+c AS (SELECT o.row_idx, o.col_idx,
+             CASE WHEN o.o_orderpriority = p.o_orderpriority THEN '' ELSE o.o_orderpriority END AS text
+      FROM o LEFT JOIN o p ON p.row_idx = o.row_idx AND p.col_idx = o.col_idx - 1)
 SELECT 'orders' AS file, 'Sheet1' AS sheet, row_idx, col_idx, text,
        last_value(NULLIF(text, '') IGNORE NULLS) OVER (PARTITION BY row_idx ORDER BY col_idx
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
 FROM c
 """)
 def header_fill(spark, base):
-    """Sparse header rows (merged-cell gaps) filled forward along the row."""
+    """Header rows with merged cells: ``orders`` laid out eight to a row,
+    each cell's priority kept only where it differs from its left neighbour
+    (a merged run keeps its value in the first cell only).  Filling forward
+    along the row restores every priority."""
     o = tables(spark, base).orders
-    cells = o.select(F.lit("orders").alias("file"), F.lit("Sheet1").alias("sheet"),
-                     (F.floor(F.col("o_orderkey") / 8) + 1).cast("int").alias("row_idx"),
-                     (F.col("o_orderkey") % 8 + 1).cast("int").alias("col_idx"),
-                     F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(F.lit(""))
-                     .alias("text"))
+    pos = o.select((F.floor(F.col("o_orderkey") / 8) + 1).cast("int").alias("row_idx"),
+                   (F.col("o_orderkey") % 8 + 1).cast("int").alias("col_idx"), "o_orderpriority")
+    left = pos.select("row_idx", (F.col("col_idx") + 1).alias("col_idx"),
+                      F.col("o_orderpriority").alias("_left"))
+    cells = pos.join(left, ["row_idx", "col_idx"], "left").select(
+        F.lit("orders").alias("file"), F.lit("Sheet1").alias("sheet"), "row_idx", "col_idx",
+        F.when(F.col("o_orderpriority") == F.col("_left"), F.lit("")).otherwise(F.col("o_orderpriority"))
+        .alias("text"))
     return fill_headers(cells)
 
 
@@ -328,15 +339,19 @@ def bronze_all_strings(spark, base):
 
 
 @query("empty_to_null", """
-SELECT conv_id, turn, NULLIF(CASE WHEN turn % 5 = 4 THEN '' ELSE role END, '') AS role,
-       NULLIF(CASE WHEN turn % 4 = 3 THEN '' ELSE text END, '') AS text
-FROM conversations
+SELECT c.conv_id, c.turn, c.role, c.text, NULLIF(COALESCE(n.text, ''), '') AS reply
+FROM conversations c LEFT JOIN conversations n ON n.conv_id = c.conv_id AND n.turn = c.turn + 1
 """)
 def empty_to_null_q(spark, base):
+    """Each turn with the text of the reply to it; the last turn of a
+    conversation lands with an empty reply, which the staging rule stores as
+    NULL.  The reply is found by a key join on (conversation, turn + 1), so a
+    very long conversation is never gathered into one task."""
     c = tables(spark, base).conversations
-    role = F.when(F.col("turn") % 5 == 4, F.lit("")).otherwise(F.col("role"))
-    text = F.when(F.col("turn") % 4 == 3, F.lit("")).otherwise(F.col("text"))
-    return c.select("conv_id", "turn", empty_to_null(role).alias("role"), empty_to_null(text).alias("text"))
+    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("_reply"))
+    landed = c.join(nxt, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "role", "text", F.coalesce(F.col("_reply"), F.lit("")).alias("reply"))
+    return landed.select("conv_id", "turn", "role", "text", empty_to_null("reply").alias("reply"))
 
 
 @query("width_violations", """
