@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.operators.bronze import positional_names
+from indicata.operators.bronze import positional_names, width_violations
+from indicata.operators.quality import count_check, sample_rows
+from indicata.sources.jdbc import STAGING_WIDTH, read_table, write_staging
 from indicata.sources.cells import column_names, to_grid
 from indicata.sources.csv_text import bronze_from_delimited, overlong_rows, read_delimited, well_formed
 from indicata.sources.json_docs import energy_bronze, parse_documents
@@ -29,6 +31,29 @@ def bronze_delimited(spark: SparkSession, landing: str, run_ts: str, sep: str =
     return bronze_from_delimited(well_formed(raw), run_ts), overlong_rows(raw)
 
 
+def stage_delimited(spark: SparkSession, landing: str, run_ts: str, url: str, table: str,
+                    properties: dict | None = None, key_cols: list[str] | None = None,
+                    width: int = STAGING_WIDTH, empty_as_null: bool = True) -> dict[str, DataFrame]:
+    """Delimited text -> Bronze -> staging table, then validated.
+
+    Values wider than the staging columns are found *before* the load; if
+    any exist the load is not attempted and the report is returned.  After
+    the load: row count against the source (``OK``/``MISMATCH``) and a
+    5-row sample read back in key order.
+    """
+    bronze, overlong = bronze_delimited(spark, landing, run_ts)
+    keys = key_cols or [bronze.columns[0]]
+    too_wide = width_violations(bronze, keys, width)
+    out = {"bronze": bronze, "overlong": overlong, "too_wide": too_wide}
+    if too_wide.limit(1).count():
+        return out
+    write_staging(bronze, url, table, properties, width=width, empty_as_null=empty_as_null)
+    staged = read_table(spark, url, table, properties)
+    out["count_check"] = count_check(bronze, staged)
+    out["sample"] = sample_rows(staged, keys, 5)
+    return out
+
+
 def bronze_energy(payloads: DataFrame, run_ts: str, api_path: str, strict: bool = True) -> DataFrame:
     """Landed JSON payloads ``(geo_name, year, body)`` -> Energy Bronze."""
     points = parse_documents(payloads, context=["geo_name"], strict=strict)
@@ -64,5 +89,5 @@ def bronze_tax(spark: SparkSession, workbooks: str | DataFrame, run_ts: str,
     return _grid_bronze(xlsx_text(cells), run_ts, width, [])
 
 
-__all__ = ["bronze_delimited", "bronze_energy", "bronze_construction", "bronze_tax", "TAX_SHEET",
+__all__ = ["stage_delimited", "bronze_delimited", "bronze_energy", "bronze_construction", "bronze_tax", "TAX_SHEET",
            "column_names", "positional_names"]

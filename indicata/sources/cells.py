@@ -102,3 +102,14 @@ def label_cells(cells: DataFrame, header_rows: DataFrame, keys: tuple[str, ...]
     data = cells.join(header_rows, keys) \
         .where(F.col("row_idx") > F.col("header_rows")).drop("header_rows")
     return data.join(hdr, [*keys, "col_idx"], "left")
+
+
+def wider_than_header(cells: DataFrame, keys: tuple[str, ...] = ("file", "sheet")) -> DataFrame:
+    """Rows with cells beyond the last cell of the sheet's first row (the
+    loader that sized its frame from row 1 would break on them); the grid
+    itself is sized by the widest row, so these are reported, not lost."""
+    keys = list(keys)
+    widths = cells.groupBy(*keys, "row_idx").agg(F.max("col_idx").alias("n_cols"))
+    first = widths.where(F.col("row_idx") == 1).select(*keys, F.col("n_cols").alias("header_cols"))
+    return widths.join(first, keys, "left").where(
+        F.col("header_cols").isNull() | (F.col("n_cols") > F.col("header_cols")))

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicata.operators.bronze import staging_nulls, width_violations
-from indicata.plans.bronze import bronze_delimited, bronze_tax
-from indicata.sources.cells import fill_headers, grid_shape, label_cells, to_grid, with_blank_cells
+from indicata.plans.bronze import bronze_delimited, bronze_tax, stage_delimited
+from indicata.sources.cells import (fill_headers, grid_shape, label_cells, to_grid, wider_than_header,
+                                   with_blank_cells)
 from indicata.sources.csv_text import header_names
 from indicata.sources.jdbc import read_table, write_staging
 from indicata.sources.json_docs import malformed_documents, parse_documents
@@ -102,6 +103,7 @@ def test_header_fill_and_labels(spark, tmp_path):
     assert [r.header for r in lab] == ["Delegación", "Recaudación / IRPF", "Recaudación / IVA", "Devoluciones / IRPF"]
     shape = grid_shape(cells).first()
     assert (shape.n_rows, shape.n_cols) == (6, 5)
+    assert [(r.row_idx, r.n_cols, r.header_cols) for r in wider_than_header(cells).collect()] == [(6, 5, 4)]
 
 
 def test_grid_spine_keeps_blank_rows(spark):
@@ -163,3 +165,20 @@ def test_jdbc_staging_roundtrip(spark, tmp_path):
     wide = spark.createDataFrame([("x" * 501,)], "k string")
     with pytest.raises(Exception, match="(?i)truncat"):
         write_staging(wide, url, "STAGING_W", props, empty_as_null=False)
+
+
+def test_stage_delimited_entry(spark, tmp_path):
+    """Text -> Bronze -> staging -> count check + sample; a too-wide value
+    stops the load before it starts."""
+    landing = tmp_path / "ipi"
+    landing.mkdir()
+    (landing / "ipi.csv").write_text("Region;Periodo;Total\nMadrid;2024M01;101,5\nCat;2024M02;99,1\n",
+                                     encoding="utf-8-sig")
+    url = "jdbc:derby:memory:indicata_stage;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    out = stage_delimited(spark, str(landing), RUN_TS, url, "STAGING_IPI", props, empty_as_null=False)
+    assert out["count_check"].first().status == "OK"
+    assert [r.Region for r in out["sample"].collect()] == ["Cat", "Madrid"]
+    (landing / "ipi.csv").write_text("Region;Periodo;Total\nMadrid;" + "x" * 501 + ";1\n", encoding="utf-8-sig")
+    out = stage_delimited(spark, str(landing), RUN_TS, url, "STAGING_IPI2", props, empty_as_null=False)
+    assert "count_check" not in out and out["too_wide"].count() == 1
