@@ -44,14 +44,26 @@ def with_unknown(dim: DataFrame, key_col: str) -> DataFrame:
     return dim.unionByName(one.select(*row))
 
 
-def build_dims(tidy_monthly: DataFrame, region_names: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions for a tidy monthly table; ``region_names`` has ``region``."""
+def build_dims(tidy_monthly: DataFrame, region_names: DataFrame,
+               existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Dimensions for a tidy monthly table; ``region_names`` has ``region``.
+
+    ``existing``: the previous run's dimensions; their keys are kept and new
+    natural keys are numbered after them, so keys are stable across runs.
+    """
+    existing = existing or {}
+
+    def prev(name: str, key: str):
+        d = existing.get(name)
+        return d.where(F.col(key) != UNKNOWN_KEY) if d is not None else None
+
     return {
-        "dim_region": assign_keys(region_names, "region_key", ["region"]),
+        "dim_region": assign_keys(region_names, "region_key", ["region"], prev("dim_region", "region_key")),
         "dim_calendar": calendar_from(tidy_monthly, "period"),
-        "dim_source": assign_keys(tidy_monthly, "source_key", ["source"]),
-        "dim_indicator": assign_keys(tidy_monthly, "indicator_key", ["indicator"]),
-        "dim_measure": assign_keys(tidy_monthly, "measure_key", ["measure"]),
+        "dim_source": assign_keys(tidy_monthly, "source_key", ["source"], prev("dim_source", "source_key")),
+        "dim_indicator": assign_keys(tidy_monthly, "indicator_key", ["indicator"],
+                                     prev("dim_indicator", "indicator_key")),
+        "dim_measure": assign_keys(tidy_monthly, "measure_key", ["measure"], prev("dim_measure", "measure_key")),
     }
 
 
@@ -71,7 +83,8 @@ def keyed_fact(tidy_monthly: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
                        F.col("source_key").cast("bigint"), "value")
 
 
-def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool = False) -> Star:
+def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool = False,
+               existing: dict[str, DataFrame] | None = None) -> Star:
     """Dimensions and keyed fact from a tidy monthly table.
 
     The tidy table feeds five dimensions and the fact; unless it is already a
@@ -80,7 +93,7 @@ def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool =
     """
     if not written:
         tidy_monthly = materialize(tidy_monthly, "silver_monthly")
-    dims = build_dims(tidy_monthly, region_names)
+    dims = build_dims(tidy_monthly, region_names, existing)
     fact = keyed_fact(tidy_monthly, dims)
     return Star(
         fact=fact,

@@ -18,8 +18,25 @@ from indicata.operators.silver import consolidate
 from indicata.plans.bronze import bronze_delimited, bronze_energy
 from indicata.plans.gold import build_star, derive_measures
 from indicata.plans.silver import latest_observations, silver_delimited, silver_energy
+from indicata.sinks.files import materialize
 from indicata.sinks.run_log import StepLogger, observed
 
+DIMENSIONS = ("dim_region", "dim_calendar", "dim_source", "dim_indicator", "dim_measure")
+
+
+def previous_dims(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
+    """Last run's dimensions, copied to the shared scratch folder first so
+    the Gold paths can be overwritten while the keys are carried over."""
+    out = {}
+    for name in DIMENSIONS:
+        path = f"{lake}/gold/{name}"
+        try:
+            df = spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - first run: no previous dimension
+            continue
+        out[name] = materialize(df, f"prev_{name}")
+    return out
+
 
 @dataclass
 class RunConfig:
@@ -76,8 +93,8 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
             else silver.select("region").distinct()
         monthly = silver.groupBy("source", "indicator", "region", "period", "measure") \
             .agg(F.sum("value").cast("decimal(18,4)").alias("value"))
-        star = build_star(monthly, regions)
-        for dim in ("dim_region", "dim_calendar", "dim_source", "dim_indicator", "dim_measure"):
+        star = build_star(monthly, regions, existing=previous_dims(spark, conf.lake))
+        for dim in DIMENSIONS:
             getattr(star, dim).write.mode("overwrite").parquet(f"{conf.lake}/gold/{dim}")
         out["fact"] = _write(star.fact, f"{conf.lake}/gold/fact", "gold_fact", info)
         out["measures"] = _write(derive_measures(monthly), f"{conf.lake}/gold/measures", "gold_measures", {})

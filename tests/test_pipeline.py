@@ -27,9 +27,14 @@ def test_run_medallion_end_to_end(spark, tmp_path):
     assert log.where("event = 'start'").count() == log.where("event = 'success'").count() == 5
     bronze_rows = log.where("step = 'bronze_ipi' and event = 'success'").first().rows_out
     assert bronze_rows == 5
-    # rerun overwrites, never appends
+    keys_before = {r.region: r.region_key for r in spark.read.parquet(str(tmp_path / "lake" / "gold" / "dim_region")).collect()}
+    # rerun overwrites, never appends; a new region keeps the old keys stable
+    conf.regions = ["Aaa-new"]
     run_medallion(spark, conf)
     assert spark.read.parquet(str(tmp_path / "lake" / "bronze" / "ipi")).count() == 5
+    keys_after = {r.region: r.region_key for r in spark.read.parquet(str(tmp_path / "lake" / "gold" / "dim_region")).collect()}
+    assert all(keys_after[k] == v for k, v in keys_before.items())
+    assert keys_after["Aaa-new"] == max(keys_before.values()) + 1
 
 
 def test_landing_stream_reads_each_file_once(spark, tmp_path):
