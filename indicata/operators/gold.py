@@ -12,18 +12,12 @@ from indicata.operators.joins import checked_broadcast
 UNKNOWN_KEY = -1
 
 
-def month_start(c) -> F.Column:
-    """First day of the month of a date/timestamp column, as DATE."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.trunc(col.cast("date"), "month")
-
-
 def calendar_from(df: DataFrame, period_col: str = "period") -> DataFrame:
     """Calendar dimension covering every month from the first to the last
     period in ``df`` (gaps included).
 
-    The bounds are one global aggregate (a scalar subquery), the months are
-    generated with ``sequence`` — no join, no driver round trip.
+    The bounds are one global aggregate (one row); the months between them
+    are generated with ``sequence`` — no join, no driver round trip.
     """
     bounds = df.agg(F.min(period_col).alias("lo"), F.max(period_col).alias("hi"))
     months = bounds.select(
