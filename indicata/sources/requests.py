@@ -18,15 +18,19 @@ TIME_TRUNC = "month"
 GEO_TRUNC = "electric_system"
 
 
-def request_grid(regions: DataFrame, first_year: Column | int, last_year: Column | int,
+def request_grid(regions: DataFrame, first_year: Column | int, last_year: Column | int | None,
                  base_url: str, geo_limit: str = "geo_limit", geo_id: str = "geo_id") -> DataFrame:
     """One row per region and year with its URL.
 
     Years are generated per region row with ``explode(sequence(...))`` — a
-    generator, not a join; bounds may be scalar-subquery columns.
+    generator, not a join; bounds may be scalar-subquery columns.  Without a
+    last year the grid runs to the current year (a partial year is normal).
     """
     lo = first_year if isinstance(first_year, Column) else F.lit(first_year)
-    hi = last_year if isinstance(last_year, Column) else F.lit(last_year)
+    if last_year is None:
+        hi = F.year(F.current_date())
+    else:
+        hi = last_year if isinstance(last_year, Column) else F.lit(last_year)
     g = regions.select("*", F.explode(F.sequence(lo, hi)).alias("year"))
     y = F.col("year").cast("string")
     url = F.concat(

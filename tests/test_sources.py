@@ -131,6 +131,9 @@ def test_request_grid(spark):
     u = [r.url for r in g if r.geo_name == "Madrid" and r.year == 2015][0]
     assert u == ("https://api.example/demand?start_date=2015-01-01T00:00&end_date=2015-12-31T23:59"
                  "&time_trunc=month&geo_trunc=electric_system&geo_limit=ccaa&geo_ids=13")
+    import datetime as dt
+    to_now = request_grid(regions, 2014, None, "https://api.example/demand")
+    assert to_now.agg(F.max("year")).first()[0] == dt.date.today().year
 
 
 def test_manifest(spark):
