@@ -53,18 +53,14 @@ def _is_date_code(code: str) -> bool:
 
 
 def _text_of(elem) -> str:
-    """Concatenated ``<t>`` text of a shared/inline string (phonetic runs skipped)."""
+    """Text of a shared/inline string item: its ``<t>``, or the ``<t>`` of
+    each rich-text run ``<r>``; phonetic runs ``<rPh>`` are not text."""
     parts = []
-    for node in elem.iter():
-        if node.tag == f"{_MAIN}rPh":
-            continue
-        if node.tag == f"{_MAIN}t" and node.text:
-            parts.append(node.text)
-    if elem.find(f"{_MAIN}rPh") is not None:
-        phon = "".join(t.text or "" for r in elem.findall(f"{_MAIN}rPh") for t in r.iter(f"{_MAIN}t"))
-        if phon:
-            joined = "".join(parts)
-            return joined[: len(joined) - len(phon)] if joined.endswith(phon) else joined
+    for child in elem:
+        if child.tag == f"{_MAIN}t":
+            parts.append(child.text or "")
+        elif child.tag == f"{_MAIN}r":
+            parts.extend(t.text or "" for t in child.iter(f"{_MAIN}t"))
     return "".join(parts)
 
 

@@ -185,3 +185,30 @@ def test_stage_delimited_entry(spark, tmp_path):
     (landing / "ipi.csv").write_text("Region;Periodo;Total\nMadrid;" + "x" * 501 + ";1\n", encoding="utf-8-sig")
     out = stage_delimited(spark, str(landing), RUN_TS, url, "STAGING_IPI2", props, empty_as_null=False)
     assert "count_check" not in out and out["too_wide"].count() == 1
+
+
+def test_xlsx_rich_text_and_cells_without_refs():
+    import io
+    import zipfile
+
+    ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{ns}" xmlns:r="{rel}"><sheets>'
+                           '<sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/'
+                                      'relationships"><Relationship Id="rId1" Target="worksheets/s.xml"/>'
+                                      '</Relationships>',
+        "xl/sharedStrings.xml": f'<sst xmlns="{ns}"><si><r><t>Recau</t></r><r><t>dación</t></r>'
+                                '<rPh><t>ふりがな</t></rPh></si></sst>',
+        "xl/worksheets/s.xml": f'<worksheet xmlns="{ns}"><sheetData>'
+                               '<row><c t="s"><v>0</v></c><c><v>2</v></c></row>'
+                               '<row r="4"><c><v>3.5</v></c><c r="D4" t="b"><v>0</v></c></row>'
+                               '</sheetData></worksheet>',
+    }
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for name, xml in parts.items():
+            z.writestr(name, xml)
+    cells = [c[3:] for c in decode_xlsx(buf.getvalue(), "x.xlsx")]
+    assert cells == [(1, 1, "s", "Recaudación"), (1, 2, "n", "2"), (4, 1, "n", "3.5"), (4, 4, "b", "0")]
