@@ -29,11 +29,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def tidy(df: DataFrame, source, indicator, region, period, measure, value) -> DataFrame:
+def tidy(df: DataFrame, source, indicator, region, period, measure, value,
+         keep: tuple[str, ...] = ()) -> DataFrame:
     """Project any frame onto the tidy contract.
 
     Each argument is a ``Column`` or a constant; a plain string is always a
-    constant (pass ``F.col(name)`` for a column).
+    constant (pass ``F.col(name)`` for a column).  ``keep`` passes extra
+    columns through (e.g. the load stamp used by ``latest_observations``).
     """
     def as_col(v):
         return v if isinstance(v, Column) else F.lit(v)
@@ -44,6 +46,7 @@ def tidy(df: DataFrame, source, indicator, region, period, measure, value) -> Da
         F.trunc(as_col(period).cast("date"), "month").alias("period"),
         as_col(measure).cast("string").alias("measure"),
         as_col(value).cast(VALUE_TYPE).alias("value"),
+        *[F.col(c) for c in keep],
     )
 
 

@@ -70,7 +70,8 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
         with log.step(f"silver_{name}") as info:
             tidy_rows, rejects = silver_delimited(
                 out[f"bronze_{name}"], name, opts["region_col"], opts["indicator_col"], opts["period_col"],
-                opts["value_col"], opts.get("measure", "index"), opts.get("decimal_comma", True))
+                opts["value_col"], opts.get("measure", "index"), opts.get("decimal_comma", True),
+                keep=("_ingestion_timestamp",))
             rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/{name}")
             tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/{name}",
                                      f"silver_{name}", info))
@@ -80,7 +81,7 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
             out["bronze_energy"] = _write(bronze_energy(payloads, ts, conf.energy_api_path),
                                           f"{conf.lake}/bronze/energy", "bronze_energy", info)
         with log.step("silver_energy") as info:
-            tidy_rows, rejects = silver_energy(out["bronze_energy"])
+            tidy_rows, rejects = silver_energy(out["bronze_energy"], keep=("_ingestion_timestamp",))
             rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/energy")
             tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/energy",
                                      "silver_energy", info))

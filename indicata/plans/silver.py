@@ -36,7 +36,7 @@ def month_from_text(text: Column) -> Column:
             .otherwise(F.trunc(F.substring(t, 1, 10).try_cast("date"), "month")))
 
 
-def silver_energy(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+def silver_energy(bronze: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Energy Bronze -> tidy: one observation per point and measure
     (``value`` and ``percentage``)."""
     long = bronze.select("series_type", "geo_name", "datetime", "_ingestion_timestamp",
@@ -47,22 +47,22 @@ def silver_energy(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     long = long.withColumn("raw", cleanse_text("raw")).withColumn("parsed", parse_as(F.col("raw"), VALUE_TYPE))
     good, rejects = _split(long, "raw", "parsed", ["series_type", "geo_name", "datetime", "measure"])
     out = tidy(good, "energy", F.col("series_type"), F.col("geo_name"), month_from_text(F.col("datetime")),
-               F.col("measure"), F.col("parsed"))
+               F.col("measure"), F.col("parsed"), keep)
     return out, rejects
 
 
 def silver_delimited(bronze: DataFrame, source: str, region_col: str, indicator_col: str,
                      period_col: str, value_col: str, measure: str = "index",
-                     decimal_comma: bool = True) -> tuple[DataFrame, DataFrame]:
+                     decimal_comma: bool = True, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Delimited Bronze (IPI/IPC) -> tidy.  Names of the four columns come
     from configuration since headers differ per publication."""
     raw = cleanse_text(F.col(f"`{value_col}`"))
     df = bronze.select(F.col(f"`{region_col}`").alias("_region"), F.col(f"`{indicator_col}`").alias("_ind"),
-                       F.col(f"`{period_col}`").alias("_period"), raw.alias("raw"),
+                       F.col(f"`{period_col}`").alias("_period"), raw.alias("raw"), *[F.col(c) for c in keep],
                        parse_as(raw, VALUE_TYPE, decimal_comma=decimal_comma).alias("parsed"))
     good, rejects = _split(df, "raw", "parsed", ["_region", "_ind", "_period"])
     out = tidy(good, source, cleanse_text("_ind"), cleanse_text("_region"), month_from_text(F.col("_period")),
-               measure, F.col("parsed"))
+               measure, F.col("parsed"), keep)
     return out, rejects
 
 

@@ -125,3 +125,18 @@ def test_silver_energy_contract(spark):
     assert sorted((str(r.period), r.measure, str(r.value)) for r in tidy.collect()) == [
         ("2014-01-01", "percentage", "1.0000"), ("2014-01-01", "value", "22733442.0700")]
     assert [r.raw for r in rejects.collect()] == ["abc"]
+
+
+def test_latest_observation_newest_load_wins(spark):
+    from decimal import Decimal
+
+    from indicata.plans.silver import latest_observations
+
+    rows = [("ipi", "i", "r", dt.date(2024, 1, 1), "index", Decimal("1"), "2024-01-01T00:00:00+00:00"),
+            ("ipi", "i", "r", dt.date(2024, 1, 1), "index", Decimal("2"), "2024-02-01T00:00:00+00:00"),
+            ("ipi", "i", "r", dt.date(2024, 2, 1), "index", Decimal("5"), "2024-01-01T00:00:00+00:00")]
+    df = spark.createDataFrame(rows, "source string, indicator string, region string, period date, "
+                                     "measure string, value decimal(18,4), _ingestion_timestamp string")
+    got = sorted((str(r.period), str(r.value)) for r in latest_observations(df).collect())
+    assert got == [("2024-01-01", "2.0000"), ("2024-02-01", "5.0000")]
+    assert latest_observations(df).columns == ["source", "indicator", "region", "period", "measure", "value"]
