@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from indicata.operators.bronze import run_stamp
 from indicata.operators.silver import consolidate
-from indicata.plans.bronze import bronze_delimited, bronze_energy
+from indicata.plans.bronze import TAX_SHEET, bronze_construction, bronze_delimited, bronze_energy, bronze_tax
 from indicata.plans.gold import build_star, derive_measures
-from indicata.plans.silver import latest_observations, silver_delimited, silver_energy
+from indicata.plans.silver import (latest_observations, silver_construction, silver_delimited, silver_energy,
+                                   silver_tax)
+from indicata.sources.cells import grid_to_cells
 from indicata.sinks.files import materialize
 from indicata.sinks.run_log import StepLogger, observed
 
@@ -47,6 +49,13 @@ class RunConfig:
     energy_api_path: str = "/api/demand"
     regions: list[str] = field(default_factory=list)
     data_scope: str = "full_history"
+    # workbooks: folder of XLSX files; manifest rows (file_id, agent, is_continuation, header_rows)
+    construction_workbooks: str | None = None
+    construction_manifest: list[tuple] = field(default_factory=list)
+    tax_workbooks: str | None = None
+    tax_period: str | None = None          # month the tax crosstab reports (YYYY-MM-DD)
+    tax_header_rows: int = 1
+    delegation_map: list[tuple] = field(default_factory=list)   # (delegation, region)
 
 
 def _write(df: DataFrame, path: str, step: str, info: dict) -> DataFrame:
@@ -85,6 +94,38 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
             rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/energy")
             tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/energy",
                                      "silver_energy", info))
+    if conf.construction_workbooks:
+        manifest = spark.createDataFrame(
+            conf.construction_manifest, "file_id string, agent string, is_continuation boolean, header_rows int")
+        with log.step("bronze_construction") as info:
+            b = bronze_construction(spark, conf.construction_workbooks, manifest, ts)
+            b, obs = observed(b, "bronze_construction")
+            b.write.mode("overwrite").partitionBy("_source_file").parquet(f"{conf.lake}/bronze/construction")
+            info["rows_out"] = obs.get.get("rows", 0)
+        with log.step("silver_construction") as info:
+            grid = spark.read.parquet(f"{conf.lake}/bronze/construction").withColumn("sheet", F.lit(""))
+            cells = grid_to_cells(grid.withColumnRenamed("_source_file", "file"), row_col="_row_number",
+                                  extra=("contracting_agent",))
+            hdr = manifest.select(F.col("file_id").alias("file"), F.lit("").alias("sheet"), "header_rows")
+            tidy_rows, rejects = silver_construction(cells, hdr)
+            rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/construction")
+            tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/construction",
+                                     "silver_construction", info))
+    if conf.tax_workbooks:
+        with log.step("bronze_tax") as info:
+            b = bronze_tax(spark, conf.tax_workbooks, ts, sheet=TAX_SHEET)
+            b, obs = observed(b, "bronze_tax")
+            b.write.mode("overwrite").partitionBy("_source_file").parquet(f"{conf.lake}/bronze/tax")
+            info["rows_out"] = obs.get.get("rows", 0)
+        with log.step("silver_tax") as info:
+            grid = spark.read.parquet(f"{conf.lake}/bronze/tax").withColumn("sheet", F.lit(TAX_SHEET))
+            cells = grid_to_cells(grid.withColumnRenamed("_source_file", "file"), row_col="_row_number")
+            hdr = cells.select("file", "sheet").distinct().withColumn("header_rows", F.lit(conf.tax_header_rows))
+            dmap = spark.createDataFrame(conf.delegation_map, "delegation string, region string")
+            tidy_rows, rejects, unmapped_names = silver_tax(cells, hdr, dmap, conf.tax_period)
+            rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/tax")
+            unmapped_names.write.mode("overwrite").parquet(f"{conf.lake}/quality/tax_unmapped")
+            tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/tax", "silver_tax", info))
     with log.step("gold") as info:
         silver = consolidate(tidy_parts)
         if conf.data_scope not in (None, "", "full_history"):

@@ -113,3 +113,13 @@ def wider_than_header(cells: DataFrame, keys: tuple[str, ...] = ("file", "sheet"
     first = widths.where(F.col("row_idx") == 1).select(*keys, F.col("n_cols").alias("header_cols"))
     return widths.join(first, keys, "left").where(
         F.col("header_cols").isNull() | (F.col("n_cols") > F.col("header_cols")))
+
+
+def grid_to_cells(grid: DataFrame, keys: tuple[str, ...] = ("file", "sheet"),
+                  row_col: str = "row_idx", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Positional grid (``col_01…``) back to the long cell table, blanks
+    dropped — how Silver reads a written Bronze grid."""
+    data = [c for c in grid.columns if c.startswith("col_")]
+    long = grid.select(*keys, F.col(row_col).alias("row_idx"), *extra, F.explode(F.array(*[
+        F.struct(F.lit(int(c[4:])).alias("col_idx"), F.col(c).alias("text")) for c in data])).alias("c"))
+    return long.select(*keys, "row_idx", *extra, "c.col_idx", "c.text").where(F.col("text") != "")

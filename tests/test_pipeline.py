@@ -6,7 +6,8 @@ from indicata.plans.run import RunConfig, run_medallion
 from indicata.sinks.run_log import read_log
 from indicata.streaming.landing import start_landing
 
-from tests.fixtures import ipi_csv
+from tests.fixtures import ipi_csv, tax_workbook
+from tests.test_workbook_silver import _construction_book
 from tests.test_sources import PAYLOADS
 
 
@@ -51,3 +52,28 @@ def test_landing_stream_reads_each_file_once(spark, tmp_path):
     assert sorted(r.v for r in got.collect()) == ["", "x", "y"]
     assert {r._source_file for r in got.select("_source_file").collect()} == {"a.csv", "b.csv"}
     assert got.where(F.col("_ingestion_timestamp").endswith("+00:00")).count() == 3
+
+
+def test_run_medallion_all_sources(spark, tmp_path):
+    cons = str(tmp_path / "landing" / "cons")
+    _construction_book(os.path.join(cons, "A1.xlsx"), [("2024M01", "1000.0", "3")])
+    _construction_book(os.path.join(cons, "A2.xlsx"), [("2024M02", "1500", "2")])
+    tax_workbook(str(tmp_path / "landing" / "tax" / "tax.xlsx"))
+    conf = RunConfig(
+        lake=str(tmp_path / "lake"), log=str(tmp_path / "log"),
+        construction_workbooks=cons,
+        construction_manifest=[("A1.xlsx", "estado", False, 2), ("A2.xlsx", "estado", True, 2)],
+        tax_workbooks=str(tmp_path / "landing" / "tax"), tax_period="2024-03-01", tax_header_rows=2,
+        delegation_map=[("Madrid", "Comunidad de Madrid"), ("Barcelona", "Cataluña")])
+    run_medallion(spark, conf)
+    silver = spark.read.parquet(str(tmp_path / "lake" / "silver" / "construction"))
+    assert sorted((str(r.period), r.measure, str(r.value)) for r in silver.collect()) == [
+        ("2024-01-01", "Licitación / Importe", "1000.0000"), ("2024-01-01", "Licitación / Número", "3.0000"),
+        ("2024-02-01", "Licitación / Importe", "1500.0000"), ("2024-02-01", "Licitación / Número", "2.0000")]
+    tax = spark.read.parquet(str(tmp_path / "lake" / "silver" / "tax"))
+    assert tax.where("region = 'Comunidad de Madrid'").count() == 3
+    assert spark.read.parquet(str(tmp_path / "lake" / "quality" / "tax_unmapped")).first().delegation == "Atlantis"
+    fact = spark.read.parquet(str(tmp_path / "lake" / "gold" / "fact"))
+    sources = {r.source for r in spark.read.parquet(str(tmp_path / "lake" / "gold" / "dim_source")).collect()}
+    assert {"construction", "tax"} <= sources and fact.count() == silver.count() + tax.count()
+    assert os.path.isdir(str(tmp_path / "lake" / "bronze" / "construction" / "_source_file=A1.xlsx"))
