@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from indicata.operators.joins import checked_broadcast
+
 HEADER_SEP = " / "
 
 
@@ -95,13 +97,19 @@ def header_names(filled: DataFrame, keys: tuple[str, ...] = ("file", "sheet"),
 
 def label_cells(cells: DataFrame, header_rows: DataFrame, keys: tuple[str, ...] = ("file", "sheet"),
                 text: str = "text") -> DataFrame:
-    """Data cells (below the header) with their column's header name."""
+    """Data cells (below the header) with their column's header name.
+
+    The header names are one row per sheet column (at most 16,384 per sheet)
+    and are broadcast after a row-count check: a narrow sheet puts a large
+    share of all cells on one ``col_idx``, which a shuffle join would send to
+    a single task.
+    """
     keys = list(keys)
     hdr = header_names(fill_headers(with_blank_cells(cells, header_rows, tuple(keys), text),
                                     tuple(keys), text), tuple(keys))
-    data = cells.join(header_rows, keys) \
+    data = cells.join(checked_broadcast(header_rows), keys) \
         .where(F.col("row_idx") > F.col("header_rows")).drop("header_rows")
-    return data.join(hdr, [*keys, "col_idx"], "left")
+    return data.join(checked_broadcast(hdr), [*keys, "col_idx"], "left")
 
 
 def wider_than_header(cells: DataFrame, keys: tuple[str, ...] = ("file", "sheet")) -> DataFrame:
