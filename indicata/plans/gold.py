@@ -89,11 +89,17 @@ def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool =
 
     The tidy table feeds five dimensions and the fact; unless it is already a
     written table (``written=True``) it is written once first, so it is
-    computed once rather than once per consumer.
+    computed once rather than once per consumer.  ``existing``: the previous
+    run's dimensions (keys carried over).
     """
     if not written:
         tidy_monthly = materialize(tidy_monthly, "silver_monthly")
-    dims = build_dims(tidy_monthly, region_names, existing)
+    # Dimensions are written once too: the fact joins then see their real
+    # (small) file sizes, so the planner's own size check broadcasts them —
+    # computed in-plan they would be estimated as large as the Silver table
+    # and joined by shuffle on keys with a handful of values.
+    dims = {name: materialize(d, name)
+            for name, d in build_dims(tidy_monthly, region_names, existing).items()}
     fact = keyed_fact(tidy_monthly, dims)
     return Star(
         fact=fact,
