@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.operators.gold import UNKNOWN_KEY, assign_keys, calendar_from, resolve_keys
+from indicata.operators.joins import checked_broadcast
 from indicata.operators.measures import with_changes
 from indicata.sinks.files import materialize
 
@@ -143,7 +144,10 @@ def derive_measures(tidy_monthly: DataFrame, additive: DataFrame | None = None)
     series_cols = ["source", "indicator", "region", "measure"]
     df = tidy_monthly
     if additive is not None:
-        df = df.join(additive.select("measure", F.col("additive").cast("boolean")), "measure", "left")
+        # a handful of measures: always a broadcast (after the size check),
+        # never a shuffle of the fact on a low-cardinality key
+        flags = checked_broadcast(additive.select("measure", F.col("additive").cast("boolean")))
+        df = df.join(flags, "measure", "left")
     else:
         df = df.withColumn("additive", F.lit(None).cast("boolean"))
     flag = F.coalesce(F.col("additive"), F.lit(False))

@@ -42,6 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("INDICATA_DRIVER_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

@@ -64,15 +64,19 @@ def with_blank_cells(cells: DataFrame, header_rows: DataFrame, keys: tuple[str,
     """Header cells of every position ``1..width`` (absent ones ``''``).
 
     ``header_rows``: ``keys…, header_rows`` (rows 1..n of a sheet are header).
+    Only header-row cells take part: the cell table is cut to them through
+    a broadcast of the (one row per sheet) header counts before any shuffle.
     """
     keys = list(keys)
+    hr = checked_broadcast(header_rows.select(*keys, "header_rows"))
     widths = cells.groupBy(*keys).agg(F.max("col_idx").alias("_w"))
-    positions = (widths.join(header_rows, keys)
+    positions = (widths.join(hr, keys)
                  .select(*keys, F.explode(F.sequence(F.lit(1), F.col("header_rows"))).alias("row_idx"),
                          F.col("_w"))
                  .select(*keys, "row_idx", F.explode(F.sequence(F.lit(1), F.col("_w"))).alias("col_idx")))
-    return positions.join(cells.select(*keys, "row_idx", "col_idx", text),
-                          [*keys, "row_idx", "col_idx"], "left") \
+    head = (cells.join(hr, keys).where(F.col("row_idx") <= F.col("header_rows"))
+            .select(*keys, "row_idx", "col_idx", text))
+    return positions.join(head, [*keys, "row_idx", "col_idx"], "left") \
         .withColumn(text, F.coalesce(F.col(text), F.lit("")))
 
 
