@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from indicata.operators.gold import UNKNOWN_KEY, assign_keys, calendar_from, resolve_keys
 from indicata.operators.joins import checked_broadcast
 from indicata.operators.measures import with_changes
-from indicata.sinks.files import materialize
+from indicata.sinks.files import materialize, materialize_all
 
 UNKNOWN_NAME = "UNKNOWN"
 
@@ -99,8 +99,7 @@ def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool =
     # (small) file sizes, so the planner's own size check broadcasts them —
     # computed in-plan they would be estimated as large as the Silver table
     # and joined by shuffle on keys with a handful of values.
-    dims = {name: materialize(d, name)
-            for name, d in build_dims(tidy_monthly, region_names, existing).items()}
+    dims = materialize_all(build_dims(tidy_monthly, region_names, existing))
     fact = keyed_fact(tidy_monthly, dims)
     return Star(
         fact=fact,

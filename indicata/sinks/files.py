@@ -44,6 +44,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_all(frames: dict[str, DataFrame], max_parallel: int = 8) -> dict[str, DataFrame]:
+    """``materialize`` several independent frames, submitting their write
+    jobs concurrently (Spark schedules jobs from different threads side by
+    side), so many small tables cost about one job's latency."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(frames)))) as pool:
+        futures = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def publish_upsert(spark: SparkSession, merged: DataFrame, versions_root: str, version: str) -> str:
     """Write a merged table to ``versions_root/version`` (a new location) and
     return it; callers switch readers to the returned path afterwards."""

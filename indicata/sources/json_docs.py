@@ -42,14 +42,14 @@ def parse_documents(payloads: DataFrame, body: str = "body", context: list[str]
     with ``malformed_documents`` to report them.
     """
     context = context or []
-    # parse once; the strictness check reads the parsed column
-    parsed = payloads.select(*context, F.from_json(F.col(body), DOCUMENT).alias("_doc"),
-                             F.substring(F.col(body), 1, 200).alias("_head"))
+    # The strictness check references the parsed document several times in
+    # one projection; Spark's subexpression elimination evaluates it once.
+    doc = F.from_json(F.col(body), DOCUMENT)
     if strict:
-        d = F.col("_doc")
-        bad = d.isNull() | d["included"].isNull()
-        parsed = parsed.select(*context, F.when(bad, F.raise_error(F.concat(
-            F.lit("malformed document: "), F.col("_head")))).otherwise(d).alias("_doc"))
+        bad = doc.isNull() | doc["included"].isNull()
+        doc = F.when(bad, F.raise_error(F.concat(
+            F.lit("malformed document: "), F.substring(F.col(body), 1, 200)))).otherwise(doc)
+    parsed = payloads.select(*context, doc.alias("_doc"))
     if not strict:
         parsed = parsed.where(F.col("_doc.included").isNotNull())
     s = F.col("s")
