@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from indicata.functions import float_text, safe_rate
-from indicata.operators.joins import upsert
+from indicata.operators.joins import broadcast_reference, upsert
 from indicata.operators.quality import (column_profile, count_check, filter_group_count,
                                         log_audit, progress, reconcile_diff, sample_rows, totals,
                                         totals_vs_expected)
@@ -229,12 +229,12 @@ DELEGATION_MAP_SQL = """
 def _delegations(t):
     names = t.nation.select("n_nationkey", F.col("n_name").alias("delegation"))
     return (t.supplier.select("s_suppkey", "s_nationkey")
-            .join(F.broadcast(names), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(broadcast_reference(names), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", "delegation"))
 
 
 def _delegation_map(t):
-    return (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    return (t.nation.join(broadcast_reference(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
             .where(F.col("r_name") != "MIDDLE EAST")
             .select(F.col("n_name").alias("delegation"), F.col("r_name").alias("region")))
 
