@@ -87,7 +87,7 @@ def cell_text_legacy(value, ctype=None) -> Column:
     t = _col(ctype)
     return (F.when(v.isNull(), F.lit(""))
             .when(t == "b", F.when(v.isin("1", "true", "TRUE", "True"), F.lit("1")).otherwise(F.lit("0")))
-            .when(t.isin("n", "d", "e") & numeric.isNotNull(), number_text)
+            .when(t.isin("n", "d", "d1904", "e") & numeric.isNotNull(), number_text)
             .otherwise(v))
 
 
@@ -104,14 +104,20 @@ def cell_text_xlsx(value, ctype) -> Column:
     number = (F.when(is_int, F.trim(v).cast("decimal(38,0)").cast("string"))
               .otherwise(float_text(v.try_cast("double"))))
     serial = v.try_cast("double")
-    micros = F.round(serial * F.lit(86400 * 1_000_000)).cast("bigint")
+    # 1900 system: day 1 is 1900-01-01 and the calendar counts a 29 Feb 1900
+    # that never existed, so serials below 60 sit one day later than the
+    # plain 1899-12-30 epoch gives.  1904 system: day 0 is 1904-01-01.
+    days = (F.when(t == "d1904", serial + F.lit(1462))
+            .when((serial > 0) & (serial < 60), serial + F.lit(1))
+            .otherwise(serial))
+    micros = F.round(days * F.lit(86400 * 1_000_000)).cast("bigint")
     stamp = F.timestamp_micros(micros + F.lit(-2209161600 * 1_000_000))
     date_text = F.when(F.date_format(stamp, "SSSSSS") == "000000",
                        F.date_format(stamp, "yyyy-MM-dd HH:mm:ss")).otherwise(
         F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return (F.when(v.isNull() | (v == ""), F.lit(""))
             .when(t == "b", F.when(v.isin("1", "true", "TRUE"), F.lit("True")).otherwise(F.lit("False")))
-            .when(t == "d", date_text)
+            .when(t.isin("d", "d1904"), date_text)
             .when(t == "n", number)
             .otherwise(v))
 

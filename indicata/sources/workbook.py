@@ -7,8 +7,9 @@ batches.  Many workbooks decode in parallel; nothing passes through the driver.
 
 Per cell: ``file, sheet, sheet_idx, row_idx, col_idx, ctype, raw`` where
 ``ctype`` is ``s`` (text: shared, inline or formula string), ``n`` (number),
-``d`` (number in a date format; ``raw`` is the day serial), ``b`` (boolean
-``1``/``0``) or ``e`` (error text), and ``raw`` is the cached value as stored.
+``d`` (number in a date format; ``raw`` is the day serial; ``d1904`` in a
+workbook using the 1904 date system), ``b`` (boolean ``1``/``0``) or ``e``
+(error text), and ``raw`` is the cached value as stored.
 Formulas contribute their cached value.  Empty cells are not emitted; the
 grid builder restores them.
 """
@@ -64,6 +65,12 @@ def _text_of(elem) -> str:
     return "".join(parts)
 
 
+def _uses_1904(z: zipfile.ZipFile) -> bool:
+    """Workbooks saved with the 1904 date system count days from 1904-01-01."""
+    pr = ET.fromstring(z.read("xl/workbook.xml")).find(f"{_MAIN}workbookPr")
+    return pr is not None and pr.get("date1904", "0").lower() in ("1", "true")
+
+
 def _sheets(z: zipfile.ZipFile) -> list[tuple[str, str]]:
     """``(sheet name, part path)`` in workbook order."""
     rels = {}
@@ -114,6 +121,7 @@ def decode_xlsx(content: bytes, file: str, sheet: str | None = None,
         chosen = [(i, n, p) for i, (n, p) in enumerate(sheets)]
     shared = _shared_strings(z)
     dates = _date_styles(z)
+    date_type = "d1904" if _uses_1904(z) else "d"
     for idx, name, part in chosen:
         row_no, col_no = 0, 0
         with z.open(part) as fh:
@@ -144,7 +152,7 @@ def decode_xlsx(content: bytes, file: str, sheet: str | None = None,
                 elif t in ("b", "e"):
                     ctype = t
                 else:
-                    ctype = "d" if int(elem.get("s", 0)) in dates else "n"
+                    ctype = date_type if int(elem.get("s", 0)) in dates else "n"
                 elem.clear()
                 if raw is None:
                     continue

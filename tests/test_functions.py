@@ -69,3 +69,11 @@ def test_status_backoff_rate(spark):
     r = spark.range(1).select(backoff_seconds(F.lit(3)).alias("b"), safe_rate(F.lit(1), F.lit(0)).alias("z"),
                               safe_rate(F.lit(1), F.lit(3)).alias("q")).first()
     assert r.b == 8 and r.z is None and math.isclose(r.q, 0.333333)
+
+
+def test_xlsx_date_systems(spark):
+    rows = [("1", "d"), ("59", "d"), ("61", "d"), ("0", "d1904"), ("45321.25", "d1904")]
+    df = spark.createDataFrame(rows, "v string, t string")
+    got = [r.x for r in df.select(cell_text_xlsx("v", "t").alias("x")).collect()]
+    assert got == ["1900-01-01 00:00:00", "1900-02-28 00:00:00", "1900-03-01 00:00:00",
+                   "1904-01-01 00:00:00", "2028-01-31 06:00:00"]
