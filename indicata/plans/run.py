@@ -58,9 +58,12 @@ class RunConfig:
     delegation_map: list[tuple] = field(default_factory=list)   # (delegation, region)
 
 
-def _write(df: DataFrame, path: str, step: str, info: dict) -> DataFrame:
+def _write(df: DataFrame, path: str, step: str, info: dict, partition_by: list[str] | None = None) -> DataFrame:
     df, obs = observed(df, step)
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     info["rows_out"] = obs.get.get("rows", 0)
     return df.sparkSession.read.parquet(path)
 
@@ -138,6 +141,8 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
         star = build_star(monthly, regions, existing=previous_dims(spark, conf.lake))
         for dim in DIMENSIONS:
             getattr(star, dim).write.mode("overwrite").parquet(f"{conf.lake}/gold/{dim}")
-        out["fact"] = _write(star.fact, f"{conf.lake}/gold/fact", "gold_fact", info)
+        # one directory per source: a source-filtered query prunes to its
+        # files, and reloading a source replaces only its own partition
+        out["fact"] = _write(star.fact, f"{conf.lake}/gold/fact", "gold_fact", info, ["source_key"])
         out["measures"] = _write(derive_measures(monthly), f"{conf.lake}/gold/measures", "gold_measures", {})
     return out

@@ -77,3 +77,7 @@ def test_run_medallion_all_sources(spark, tmp_path):
     sources = {r.source for r in spark.read.parquet(str(tmp_path / "lake" / "gold" / "dim_source")).collect()}
     assert {"construction", "tax"} <= sources and fact.count() == silver.count() + tax.count()
     assert os.path.isdir(str(tmp_path / "lake" / "bronze" / "construction" / "_source_file=A1.xlsx"))
+    parts = sorted(p for p in os.listdir(str(tmp_path / "lake" / "gold" / "fact")) if p.startswith("source_key="))
+    assert len(parts) == 2                                          # fact partitioned by source
+    pruned = fact.where("source_key = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_key" in pruned
