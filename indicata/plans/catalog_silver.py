@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from indicata.functions import float_text, safe_rate
 from indicata.operators.joins import broadcast_reference, upsert
 from indicata.operators.quality import (column_profile, count_check, filter_group_count,
-                                        log_audit, progress, reconcile_diff, sample_rows, totals,
-                                        totals_vs_expected)
+                                        log_audit, progress, reconcile_diff, reconcile_exact, sample_rows,
+                                        totals, totals_vs_expected)
 from indicata.operators.silver import (apply_scope, cleanse_text, consolidate, dedup_exact,
                                        dedup_latest, enforce_types, map_values, reject_rows,
                                        typed_rows, unmapped, unpivot_measures, verify_types)
@@ -340,6 +340,18 @@ def reconcile_diff_q(spark, base):
     return reconcile_diff(o, _current_orders(o), ["o_orderkey"])
 
 
+@query("version_diff", f"""
+WITH c AS ({CURRENT_ORDERS_SQL})
+SELECT *, 'removed' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM c)
+UNION ALL
+SELECT *, 'added' AS side FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM orders)
+""")
+def version_diff(spark, base):
+    """Unkeyed difference of two versions (multiset, both directions)."""
+    o = tables(spark, base).orders
+    return reconcile_exact(o, _current_orders(o))
+
+
 # ── A2, A4, A5, A7, A8, L1 ───────────────────────────────────────────────
 
 @query("ingest_progress", """
