@@ -10,7 +10,7 @@ from indicata.operators.bronze import add_lineage, all_strings, width_violations
 from indicata.plans.catalog import query, tables
 from indicata.session import scratch_path
 from indicata.sinks.files import read_snapshot, write_snapshot
-from indicata.sources.cells import fill_headers, grid_shape, to_grid
+from indicata.sources.cells import fill_headers, grid_shape, label_cells, to_grid
 from indicata.sources.csv_text import read_delimited, write_delimited
 from indicata.sources.json_docs import energy_bronze, parse_documents
 from indicata.sources.manifest import tag_with_manifest
@@ -229,6 +229,44 @@ def header_fill(spark, base):
     return fill_headers(cells)
 
 
+@query("header_labels", """
+WITH o AS (SELECT 'f' || CAST(o_orderkey % 3 AS VARCHAR) AS file, CAST(o_orderkey // 3 + 1 AS INTEGER) AS row_idx, *
+           FROM orders),
+c AS (SELECT file, row_idx, 1 AS col_idx, o_orderpriority AS text FROM o
+      UNION ALL SELECT file, row_idx, 2, o_orderstatus FROM o
+      UNION ALL SELECT file, row_idx, 3, o_orderstatus FROM o WHERE row_idx > 2
+      UNION ALL SELECT file, row_idx, 4, CAST(o_totalprice AS VARCHAR) FROM o),
+w AS (SELECT file, max(col_idx) AS width FROM c GROUP BY file),
+r AS (SELECT file, width, unnest(generate_series(1, 2)) AS row_idx FROM w),
+p AS (SELECT file, row_idx, unnest(generate_series(1, width)) AS col_idx FROM r),
+h AS (SELECT p.file, p.row_idx, p.col_idx, COALESCE(c.text, '') AS text
+      FROM p LEFT JOIN c ON c.file = p.file AND c.row_idx = p.row_idx AND c.col_idx = p.col_idx),
+f AS (SELECT file, row_idx, col_idx,
+             last_value(NULLIF(text, '') IGNORE NULLS) OVER (PARTITION BY file, row_idx ORDER BY col_idx
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM h),
+n AS (SELECT file, col_idx, string_agg(filled, ' / ' ORDER BY row_idx) AS header FROM f GROUP BY file, col_idx)
+SELECT c.file, 'Sheet1' AS sheet, c.row_idx, c.col_idx, c.text, n.header
+FROM c LEFT JOIN n ON n.file = c.file AND n.col_idx = c.col_idx
+WHERE c.row_idx > 2
+""")
+def header_labels(spark, base):
+    """Multi-row headers attached to data cells: ``orders`` laid out as three
+    sheets, four columns, two header rows; column 3 repeats column 2, and in
+    the header rows it is a merged cell (blank), so its name comes from the
+    fill.  Data cells get ``row 1 / row 2`` of their column."""
+    o = tables(spark, base).orders
+    file = F.concat(F.lit("f"), (F.col("o_orderkey") % 3).cast("string"))
+    row = (F.floor(F.col("o_orderkey") / 3) + 1).cast("int")
+    cells = o.select(file.alias("file"), F.lit("Sheet1").alias("sheet"), row.alias("row_idx"), F.explode(F.array(
+        F.struct(F.lit(1).alias("col_idx"), F.col("o_orderpriority").alias("text")),
+        F.struct(F.lit(2).alias("col_idx"), F.col("o_orderstatus").alias("text")),
+        F.struct(F.lit(3).alias("col_idx"), F.when(row > 2, F.col("o_orderstatus")).alias("text")),
+        F.struct(F.lit(4).alias("col_idx"), float_text("o_totalprice").alias("text")))).alias("c"))
+    cells = cells.select("file", "sheet", "row_idx", "c.col_idx", "c.text").where(F.col("text").isNotNull())
+    header_rows = cells.select("file", "sheet").distinct().withColumn("header_rows", F.lit(2))
+    return label_cells(cells, header_rows).select("file", "sheet", "row_idx", "col_idx", "text", "header")
+
+
 # ── F1–F3, F5 text functions ─────────────────────────────────────────────
 
 @query("float_text", """
