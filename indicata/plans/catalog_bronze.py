@@ -263,7 +263,9 @@ def header_labels(spark, base):
         F.struct(F.lit(3).alias("col_idx"), F.when(row > 2, F.col("o_orderstatus")).alias("text")),
         F.struct(F.lit(4).alias("col_idx"), float_text("o_totalprice").alias("text")))).alias("c"))
     cells = cells.select("file", "sheet", "row_idx", "c.col_idx", "c.text").where(F.col("text").isNotNull())
-    header_rows = cells.select("file", "sheet").distinct().withColumn("header_rows", F.lit(2))
+    # per-sheet header depth is configuration (as in a manifest), not data
+    header_rows = spark.range(3).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("file"),
+                                        F.lit("Sheet1").alias("sheet"), F.lit(2).alias("header_rows"))
     return label_cells(cells, header_rows).select("file", "sheet", "row_idx", "col_idx", "text", "header")
 
 

@@ -103,17 +103,21 @@ def label_cells(cells: DataFrame, header_rows: DataFrame, keys: tuple[str, ...]
                 text: str = "text") -> DataFrame:
     """Data cells (below the header) with their column's header name.
 
-    The header names are one row per sheet column (at most 16,384 per sheet)
-    and are broadcast after a row-count check: a narrow sheet puts a large
-    share of all cells on one ``col_idx``, which a shuffle join would send to
-    a single task.
+    The header names are one row per sheet column (at most 16,384 per sheet).
+    They are computed once and written as a small table, so the join to the
+    data cells is planned from their real size — a broadcast.  A narrow sheet
+    puts a large share of all cells on one ``col_idx``, which a shuffle join
+    would send to a single task; a row count instead of the write would
+    recompute the header pass over the whole cell table.
     """
+    from indicata.sinks.files import materialize
+
     keys = list(keys)
-    hdr = header_names(fill_headers(with_blank_cells(cells, header_rows, tuple(keys), text),
-                                    tuple(keys), text), tuple(keys))
+    hdr = materialize(header_names(fill_headers(with_blank_cells(cells, header_rows, tuple(keys), text),
+                                                tuple(keys), text), tuple(keys)), "header_names")
     data = cells.join(checked_broadcast(header_rows), keys) \
         .where(F.col("row_idx") > F.col("header_rows")).drop("header_rows")
-    return data.join(checked_broadcast(hdr), [*keys, "col_idx"], "left")
+    return data.join(hdr, [*keys, "col_idx"], "left")
 
 
 def wider_than_header(cells: DataFrame, keys: tuple[str, ...] = ("file", "sheet")) -> DataFrame:
