@@ -19,6 +19,7 @@ from indicata.plans.bronze import TAX_SHEET, bronze_construction, bronze_delimit
 from indicata.plans.gold import build_star, derive_measures
 from indicata.plans.silver import (latest_observations, silver_construction, silver_delimited, silver_energy,
                                    silver_tax)
+from indicata.functions.text import file_name
 from indicata.sources.cells import grid_to_cells
 from indicata.sinks.files import materialize
 from indicata.sinks.run_log import StepLogger, observed
@@ -123,7 +124,11 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
         with log.step("silver_tax") as info:
             grid = spark.read.parquet(f"{conf.lake}/bronze/tax").withColumn("sheet", F.lit(TAX_SHEET))
             cells = grid_to_cells(grid.withColumnRenamed("_source_file", "file"), row_col="_row_number")
-            hdr = cells.select("file", "sheet").distinct().withColumn("header_rows", F.lit(conf.tax_header_rows))
+            # one row per landed workbook, from the file listing (contents not read)
+            hdr = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
+                   .option("recursiveFileLookup", True).load(conf.tax_workbooks)
+                   .select(file_name(F.col("path")).alias("file"), F.lit(TAX_SHEET).alias("sheet"),
+                           F.lit(conf.tax_header_rows).alias("header_rows")))
             dmap = spark.createDataFrame(conf.delegation_map, "delegation string, region string")
             tidy_rows, rejects, unmapped_names = silver_tax(cells, hdr, dmap, conf.tax_period)
             rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/tax")
