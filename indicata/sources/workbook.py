@@ -122,41 +122,45 @@ def decode_xlsx(content: bytes, file: str, sheet: str | None = None,
     shared = _shared_strings(z)
     dates = _date_styles(z)
     date_type = "d1904" if _uses_1904(z) else "d"
+    cell_tag, row_tag = f"{_MAIN}c", f"{_MAIN}row"
+    v_tag, is_tag = f"{_MAIN}v", f"{_MAIN}is"
     for idx, name, part in chosen:
-        row_no, col_no = 0, 0
+        row_no = 0
+        pending: list[tuple] = []   # cells of the row being read: (col or None, row or None, ctype, raw)
         with z.open(part) as fh:
-            for event, elem in ET.iterparse(fh, events=("start", "end")):
+            for _, elem in ET.iterparse(fh, events=("end",)):
                 tag = elem.tag
-                if tag == f"{_MAIN}row":
-                    if event == "start":
-                        r = elem.get("r")
-                        row_no, col_no = (int(r) if r else row_no + 1), 0
+                if tag == cell_tag:
+                    ref = elem.get("r")
+                    m = _REF.match(ref) if ref else None
+                    t = elem.get("t", "n")
+                    v = elem.find(v_tag)
+                    raw = v.text if v is not None else None
+                    if t == "inlineStr":
+                        is_ = elem.find(is_tag)
+                        raw, ctype = (_text_of(is_) if is_ is not None else None), "s"
+                    elif t == "s":
+                        raw, ctype = (shared[int(raw)] if raw is not None else None), "s"
+                    elif t in ("str", "d"):
+                        ctype = "s"
+                    elif t in ("b", "e"):
+                        ctype = t
                     else:
-                        elem.clear()
-                    continue
-                if tag != f"{_MAIN}c" or event != "end":
-                    continue
-                ref = elem.get("r")
-                m = _REF.match(ref) if ref else None
-                col_no = _col_number(m.group(1)) if m else col_no + 1
-                t = elem.get("t", "n")
-                v = elem.find(f"{_MAIN}v")
-                raw = v.text if v is not None else None
-                if t == "inlineStr":
-                    is_ = elem.find(f"{_MAIN}is")
-                    raw, ctype = (_text_of(is_) if is_ is not None else None), "s"
-                elif t == "s":
-                    raw, ctype = (shared[int(raw)] if raw is not None else None), "s"
-                elif t in ("str", "d"):
-                    ctype = "s"
-                elif t in ("b", "e"):
-                    ctype = t
-                else:
-                    ctype = date_type if int(elem.get("s", 0)) in dates else "n"
-                elem.clear()
-                if raw is None:
-                    continue
-                yield (file, name, idx, row_no, col_no, ctype, raw)
+                        ctype = date_type if int(elem.get("s", 0)) in dates else "n"
+                    pending.append((_col_number(m.group(1)) if m else None,
+                                    int(m.group(2)) if m else None, ctype, raw))
+                    elem.clear()
+                elif tag == row_tag:
+                    # the row's number is known at its end: its r attribute or the next one
+                    r = elem.get("r")
+                    row_no = int(r) if r else row_no + 1
+                    col_no = 0
+                    for col, row, ctype, raw in pending:
+                        col_no = col if col is not None else col_no + 1
+                        if raw is not None:
+                            yield (file, name, idx, row if row is not None else row_no, col_no, ctype, raw)
+                    pending = []
+                    elem.clear()
 
 
 def _decoder(sheet: str | None, sheet_index: int | None):
