@@ -68,3 +68,40 @@ def test_hot_key_aggregate_combines_before_shuffle(spark):
     assert row.n_events == 20_000 and row.last_state == "b"         # 59997 is odd
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_hot_customer_series_exact(spark, tmp_path):
+    """A third of all orders on one customer: the per-region monthly totals
+    stay exact, and the orders are summed per (customer, month) before the
+    customer join."""
+    import datetime as dt
+
+    from indicata.plans.series import orders_by_region
+    from indicata.tables import Tables
+
+    base = str(tmp_path)
+    spark.createDataFrame([(0, "EUROPE"), (1, "ASIA")], "r_regionkey int, r_name string") \
+        .write.parquet(f"{base}/region.parquet")
+    spark.createDataFrame([(i, f"N{i}", i % 2) for i in range(4)], "n_nationkey int, n_name string, n_regionkey int") \
+        .write.parquet(f"{base}/nation.parquet")
+    spark.range(1000).select(F.col("id").alias("c_custkey"), F.lit("c").alias("c_name"),
+                             (F.col("id") % 4).cast("int").alias("c_nationkey"), F.lit(0.0).alias("c_acctbal"),
+                             F.lit("S").alias("c_mktsegment")).write.parquet(f"{base}/customer.parquet")
+    orders = spark.range(30_000).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"), (F.col("id") % 100 + 0.25).alias("o_totalprice"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 600).cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(f"{base}/orders.parquet")
+    got = {(r.region, r.period): r.value for r in orders_by_region(Tables(spark, base)).collect()}
+    # direct computation, one pass, no pre-aggregation
+    o, c = spark.read.parquet(f"{base}/orders.parquet"), spark.read.parquet(f"{base}/customer.parquet")
+    n, g = spark.read.parquet(f"{base}/nation.parquet"), spark.read.parquet(f"{base}/region.parquet")
+    want = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .join(g, n.n_regionkey == g.r_regionkey)
+            .groupBy(F.col("r_name").alias("region"), F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period"))
+            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,4)")).alias("v")).collect())
+    assert got == {(r.region, r.period): r.v for r in want}
+    assert sum(got.values()) == sum(i % 100 + 0.25 for i in range(30_000))
+    assert all(isinstance(p, dt.date) for _, p in got)
