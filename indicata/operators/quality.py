@@ -126,7 +126,10 @@ def reconcile_diff(baseline: DataFrame, current: DataFrame, keys: list[str]) ->
     """Keyed content diff: ``keys…, change`` in ``added``/``removed``/``changed``.
 
     One full outer join on the key (both sides shuffled once on it); the
-    comparison of the other columns is null-safe.
+    comparison of the other columns is null-safe.  The key must identify a
+    row on each side (a table's key): then every key meets at most one
+    partner and nothing multiplies.  For data without such a key use
+    ``reconcile_exact``, a multiset difference computed by aggregation.
     """
     others = [c for c in baseline.columns if c not in keys]
     b = baseline.select(*keys, F.struct(*others).alias("_b"), F.lit(True).alias("_in_b"))
@@ -139,7 +142,11 @@ def reconcile_diff(baseline: DataFrame, current: DataFrame, keys: list[str]) ->
 
 
 def reconcile_exact(baseline: DataFrame, current: DataFrame) -> DataFrame:
-    """Unkeyed diff (multiset): rows only in one side, with ``side``."""
+    """Unkeyed diff (multiset): rows only in one side, with ``side``.
+
+    ``exceptAll`` runs as a union plus a count per distinct row (partially
+    aggregated), so duplicated rows never pair up.
+    """
     return (baseline.exceptAll(current).withColumn("side", F.lit("removed"))
             .unionByName(current.exceptAll(baseline).withColumn("side", F.lit("added"))))
 
