@@ -22,23 +22,20 @@ from indicata.plans.silver import (latest_observations, silver_construction, sil
 from indicata.functions.text import file_name
 from indicata.sources.cells import grid_to_cells
 from indicata.sinks.files import materialize
-from indicata.sinks.run_log import StepLogger, observed
+from indicata.sinks.run_log import StepLogger, observed, read_log
 
 DIMENSIONS = ("dim_region", "dim_calendar", "dim_source", "dim_indicator", "dim_measure")
 
 
-def previous_dims(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
-    """Last run's dimensions, copied to the shared scratch folder first so
-    the Gold paths can be overwritten while the keys are carried over."""
-    out = {}
-    for name in DIMENSIONS:
-        path = f"{lake}/gold/{name}"
-        try:
-            df = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - first run: no previous dimension
-            continue
-        out[name] = materialize(df, f"prev_{name}")
-    return out
+def previous_dims(spark: SparkSession, lake: str, log_path: str) -> dict[str, DataFrame]:
+    """Last run's dimensions, if a previous run completed its Gold step (the
+    run log says so), copied to the shared scratch folder first so the Gold
+    paths can be overwritten while the keys are carried over."""
+    done = (read_log(spark, log_path).where((F.col("step") == "gold") & (F.col("event") == "success"))
+            .limit(1).count())
+    if not done:
+        return {}
+    return {name: materialize(spark.read.parquet(f"{lake}/gold/{name}"), f"prev_{name}") for name in DIMENSIONS}
 
 
 @dataclass
@@ -143,7 +140,7 @@ def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
             else silver.select("region").distinct()
         monthly = silver.groupBy("source", "indicator", "region", "period", "measure") \
             .agg(F.sum("value").cast("decimal(18,4)").alias("value"))
-        star = build_star(monthly, regions, existing=previous_dims(spark, conf.lake))
+        star = build_star(monthly, regions, existing=previous_dims(spark, conf.lake, conf.log))
         for dim in DIMENSIONS:
             getattr(star, dim).write.mode("overwrite").parquet(f"{conf.lake}/gold/{dim}")
         # one directory per source: a source-filtered query prunes to its
