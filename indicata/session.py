@@ -29,12 +29,41 @@ ENGINE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the engine needs to an existing session."""
+    """Apply the runtime settings the engine needs to an existing session and
+    make the package importable in the session's Python workers."""
     for key, value in ENGINE_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (what
+    ``--py-files`` does), once per application.  Needed by the tasks that run
+    Python (the workbook decode); the driver's ``sys.path`` does not reach
+    worker processes."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="indicata-pkg-"), "indicata.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "indicata") -> SparkSession:
     """A local session for tests and the bench (no UI, no extra ports)."""
@@ -51,6 +80,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
