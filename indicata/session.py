@@ -45,7 +45,10 @@ def ship_package(spark: SparkSession) -> None:
     ``--py-files`` does), once per application.  Needed by the tasks that run
     Python (the workbook decode); the driver's ``sys.path`` does not reach
     worker processes."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context to ship through
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return
@@ -91,10 +94,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     reach; it is used as is.  Only when nothing is configured (tests, a laptop)
     a fresh local folder is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the conf is visible
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="indicata-ckpt-")
+    if sc is None:
+        return current
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
