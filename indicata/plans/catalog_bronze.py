@@ -36,6 +36,24 @@ def scan_csv_strings(spark, base):
     return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+@query("landing_stream", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer
+""")
+def landing_stream(spark, base):
+    """``customer`` dropped as ``;`` text into a landing folder, picked up by
+    the checkpointed ``availableNow`` file stream into a Bronze Parquet table,
+    read back (data columns; the stream's stamp and file names vary)."""
+    from indicata.streaming.landing import start_landing
+
+    landing = scratch_path(spark, "stream_landing")
+    write_delimited(all_strings(tables(spark, base).customer), landing)
+    target, checkpoint = scratch_path(spark, "stream_bronze"), scratch_path(spark, "stream_checkpoint")
+    start_landing(spark, landing, target, checkpoint).awaitTermination()
+    return spark.read.parquet(target).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
 # ── S2/R1 JSON documents ──────────────────────────────────────────────────
 
 POINTS_PER_DOCUMENT = 50
