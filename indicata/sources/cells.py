@@ -9,7 +9,9 @@ the very end, so no step needs a whole sheet in one task:
 * ``fill_headers`` — merged header cells forward-filled along the row;
 * ``header_names`` / ``label_cells`` — multi-row headers joined with
   ``" / "`` and attached to the data cells;
-* ``grid_shape`` — rows, columns and cells per sheet.
+* ``grid_shape`` — rows, columns and cells per sheet;
+* ``wider_than_header`` — rows wider than the sheet's first row (reported);
+* ``grid_to_cells`` — a written positional grid back to cells (Silver's input).
 """
 
 from __future__ import annotations
