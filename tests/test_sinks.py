@@ -27,3 +27,19 @@ def test_publish_upsert_writes_new_versions(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(v1).collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(Exception):
         publish_upsert(spark, merged.where(F.col("k") > 0), root, "v0002")   # a version is never overwritten
+
+
+def test_step_logger_records_failure_and_success(spark, tmp_path):
+    from indicata.operators.quality import log_audit
+    from indicata.sinks.run_log import StepLogger, read_log
+
+    log = StepLogger(spark, str(tmp_path / "log"), run_id="r1")
+    with log.step("ok_step") as info:
+        info["rows_out"] = 5
+    with pytest.raises(ValueError), log.step("bad_step"):
+        raise ValueError("landing missing")
+    rows = {(r.step, r.event): r for r in read_log(spark, str(tmp_path / "log")).collect()}
+    assert rows[("ok_step", "success")].rows_out == 5
+    assert "landing missing" in rows[("bad_step", "failure")].message
+    audit = log_audit(read_log(spark, str(tmp_path / "log")).where("step = 'bad_step'"), "run_id", "ts", "event")
+    assert audit.first().last_state == "failure"
