@@ -23,6 +23,10 @@ def test_run_medallion_end_to_end(spark, tmp_path):
     assert out["bronze_ipi"].count() == 5
     silver_ipi = spark.read.parquet(str(tmp_path / "lake" / "silver" / "ipi")).collect()
     assert sorted(str(r.value) for r in silver_ipi) == ["101.5000", "99.0000"]
+    rejects = spark.read.parquet(str(tmp_path / "lake" / "rejects" / "ipi")).collect()
+    assert [r.raw for r in rejects] == ["Total"]                  # the repeated header row; NA and '' are blanks
+    quarantined = spark.read.parquet(str(tmp_path / "lake" / "quarantine" / "ipi")).collect()
+    assert len(quarantined) == 1                                  # the overlong row
     assert out["fact"].count() > 0
     log = read_log(spark, conf.log)
     assert log.where("event = 'start'").count() == log.where("event = 'success'").count() == 5
