@@ -140,3 +140,21 @@ def test_latest_observation_newest_load_wins(spark):
     got = sorted((str(r.period), str(r.value)) for r in latest_observations(df).collect())
     assert got == [("2024-01-01", "2.0000"), ("2024-02-01", "5.0000")]
     assert latest_observations(df).columns == ["source", "indicator", "region", "period", "measure", "value"]
+
+
+def test_checked_broadcast_respects_its_bound(spark):
+    from indicata.operators.joins import checked_broadcast
+
+    small = spark.range(10)
+    assert "broadcast" in checked_broadcast(small, 100)._jdf.queryExecution().analyzed().toString().lower()
+    over = checked_broadcast(small, 5)
+    assert "broadcast" not in over._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_scope_values(spark, sf_small):
+    import pytest
+
+    o = spark.read.parquet(f"{sf_small}/orders.parquet")
+    assert apply_scope(o, "o_orderdate", "since=1999-01-15").where("o_orderdate < '1999-01-15'").count() == 0
+    with pytest.raises(ValueError):
+        apply_scope(o, "o_orderdate", "last_month")
