@@ -45,13 +45,19 @@ def to_grid(cells: DataFrame, width: int | None = None, keys: tuple[str, ...] =
     keys = list(keys)
     width = width if width is not None else sheet_width(cells)
     rows = cells.groupBy(*keys, "row_idx").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_idx", text))).alias("_cells"))
+        F.map_from_entries(F.collect_list(F.struct("col_idx", text))).alias("_cells"),
+        F.max("col_idx").alias("_max_col"))
     spine = (cells.groupBy(*keys).agg(F.max("row_idx").alias("_n"))
              .select(*keys, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("row_idx")))
     grid = spine.join(rows, [*keys, "row_idx"], "left")
-    return grid.select(*keys, "row_idx", *[
-        F.coalesce(F.element_at(F.col("_cells"), F.lit(i)), F.lit("")).alias(name)
-        for i, name in enumerate(column_names(width), 1)])
+    cols = [F.coalesce(F.element_at(F.col("_cells"), F.lit(i)), F.lit("")).alias(name)
+            for i, name in enumerate(column_names(width), 1)]
+    # a cell beyond the given width fails the job rather than vanishing; the
+    # check rides on the first column so it cannot be pruned away
+    cols[0] = F.when(F.col("_max_col") > width, F.raise_error(F.concat(
+        F.lit(f"cell beyond grid width {width} in row "), F.col("row_idx").cast("string")))
+    ).otherwise(F.coalesce(F.element_at(F.col("_cells"), F.lit(1)), F.lit(""))).alias(column_names(width)[0])
+    return grid.select(*keys, "row_idx", *cols)
 
 
 def grid_shape(cells: DataFrame, keys: tuple[str, ...] = ("file", "sheet")) -> DataFrame:

@@ -111,6 +111,8 @@ def test_grid_spine_keeps_blank_rows(spark):
                                   "file string, sheet string, row_idx int, col_idx int, text string")
     g = to_grid(cells).orderBy("row_idx").collect()
     assert [(r.row_idx, r.col_01, r.col_02) for r in g] == [(1, "a", ""), (2, "", ""), (3, "", "b")]
+    with pytest.raises(Exception, match="beyond grid width"):
+        to_grid(cells, width=1).collect()                      # never drops a cell silently
 
 
 def test_fetch_outcome_policy(spark):
