@@ -214,3 +214,13 @@ def test_xlsx_rich_text_and_cells_without_refs():
             z.writestr(name, xml)
     cells = [c[3:] for c in decode_xlsx(buf.getvalue(), "x.xlsx")]
     assert cells == [(1, 1, "s", "Recaudación"), (1, 2, "n", "2"), (4, 1, "n", "3.5"), (4, 4, "b", "0")]
+
+
+def test_grid_round_trip(spark):
+    from indicata.sources.cells import grid_to_cells
+
+    cells = spark.createDataFrame([("f", "s", 1, 1, "a"), ("f", "s", 1, 3, "c"), ("f", "s", 4, 2, "x"),
+                                   ("g", "s", 2, 1, "y")],
+                                  "file string, sheet string, row_idx int, col_idx int, text string")
+    back = grid_to_cells(to_grid(cells))
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in cells.collect())
