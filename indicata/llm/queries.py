@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indicata.llm import bpe
+from indicata.llm import bpe, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +21,26 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(docs, path, public_tokenizers.PATTERN))
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of all sources takes."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rule and learned verdict of all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs, rules).select(
+        "row.doc_id", *[f"stats.{x}" for x in quality.STATISTICS[:5]], "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_quality_rules": op7_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_mix_sources": mixing.oracle(),
+}
