@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from indicata.llm import bpe, mixing, quality
+from indicata.llm import bpe, langid, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents; learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded texts of all documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,10 +44,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", *[f"stats.{x}" for x in quality.STATISTICS[:5]], "base_failed", "kept")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    found = toxicity.score(docs, toxicity.learn(docs, labels))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op7_quality_rules": op7_quality_rules,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
