@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, langid, mixing, quality, toxicity
+from indicata.llm import bpe, langid, mixing, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows by inner product for every hundredth vector."""
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents; learned from those not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -53,6 +58,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op3_language_id": op3_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
@@ -61,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_exact_top_k": topk.oracle(),
     "op6_mix_sources": mixing.oracle(),
 }

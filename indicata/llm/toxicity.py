@@ -1,6 +1,7 @@
 """Toxicity by multiple-instance learning: a document is toxic if any of its sentences is.
 
-Each sentence has a logistic score from its words and word beginnings; a document's score is the noisy-or of its
+Each sentence has a logistic score from its words and word beginnings (0 where it holds none that was learned, so
+that length alone never makes a document toxic); a document's score is the noisy-or of its
 sentences, 1 - prod(1 - p).  Weights are trained through the noisy-or from document labels alone; the sentence scores
 then tell where the offence is.
 """
@@ -68,10 +69,10 @@ class Model:
         self._tokens = _Weights(self.weights)
 
     def sentences(self, text: str) -> list[float]:
-        """Log-odds of each sentence (with any token)."""
+        """Log-odds of each sentence that holds a weighted feature; the others score 0."""
         get = self._tokens.__getitem__
-        split = (x.split() for x in BREAKS.split(text.lower()))
-        return [self.bias + sum(map(get, x)) for x in split if x]
+        sums = (sum(map(get, x.split())) for x in BREAKS.split(text.lower()))
+        return [self.bias + x for x in sums if x]
 
     def score(self, text: str | None) -> float:
         """1 - prod(1 - p) over the sentences; 0 without any."""
@@ -82,9 +83,9 @@ class Model:
         """(start, end, p) of the sentences with a score of at least ``at_least``."""
         get, out, start = self._tokens.__getitem__, [], 0
         for stop in [m.span() for m in BREAKS.finditer(text)] + [(len(text), len(text))]:
-            z = self.bias + sum(map(get, text[start:stop[0]].lower().split()))
-            p = 1 / (1 + np.exp(-z))
-            if p >= at_least and text[start:stop[0]].strip():
+            weight = sum(map(get, text[start:stop[0]].lower().split()))
+            p = 1 / (1 + np.exp(-self.bias - weight))
+            if weight and p >= at_least:
                 out.append((start, stop[0], float(p)))
             start = stop[1]
         return out
@@ -114,14 +115,14 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = 400, rate: float = 0.3
     rows, cols, owner = [], [], []
     for d, doc in enumerate(tokens):
         for sentence in doc:
-            if sentence:
-                held = {chosen[x] for token in sentence for x in parts[token] if x in chosen}
+            held = {chosen[x] for token in sentence for x in parts[token] if x in chosen}
+            if held:
                 cols.extend(held)
                 rows.extend([len(owner)] * len(held))
                 owner.append(d)
     rows, cols, owner = np.array(rows, int), np.array(cols, int), np.array(owner, int)
     n, m = len(texts), len(chosen)
-    w, b = np.zeros(m), -6.0
+    w, b = np.zeros(m), -4.0
     seen, seen_b = np.full(m, 1e-8), 1e-8
     for _ in range(steps):
         z = b + np.bincount(rows, w[cols], len(owner))
