@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, langid, mixing, quality, topk, toxicity
+from indicata.llm import bpe, html, langid, mixing, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", *[f"stats.{x}" for x in quality.STATISTICS[:5]], "base_failed", "kept")
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; labels learned from those not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op7_quality_rules": op7_quality_rules,
+    "op8_main_text": op8_main_text,
     "op9_toxicity": op9_toxicity,
 }
 
