@@ -55,3 +55,48 @@ def whole_row(df: DataFrame, *named: tuple[str, str]) -> DataFrame:
     """All columns packed in ``row`` beside copies of the named ones, so that added columns can't clash."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                      *[F.col(f"`{c}`").alias(alias) for c, alias in named])
+
+
+def map_groups(df: DataFrame, group: str, fn: Callable[[pa.Table], pa.Table | None], schema: str,
+               order: tuple[str, ...] = ()) -> DataFrame:
+    """``fn`` over the rows of each value of ``group``, whose groups are bounded by construction.
+
+    Rows are dealt out by the value and sorted in their partition; a task holds one group at a time, so many tiny
+    groups cost little and a partition may be of any size."""
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def flush():
+            out = fn(pa.Table.from_batches(held))
+            if out is not None:
+                yield from (x for x in out.to_batches() if x.num_rows)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(group).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and keys[a] != last:
+                    yield from flush()
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = keys[a]
+        if held:
+            yield from flush()
+
+    return df.repartition(group).sortWithinPartitions(group, *order).mapInArrow(run, schema)
+
+
+def pair_blocks(df: DataFrame, group: str, size: str, member: str, most: int) -> DataFrame:
+    """Rows of groups of any size (``size``: rows of the row's group) as groups of bounded size: a group beyond
+    ``most`` rows is cut in blocks, and each pair of blocks (each block with itself, too) is a group of its own.  Adds
+    ``g`` (the new group), ``block`` and ``within`` (whether the group is a block with itself)."""
+    n = F.ceil(F.col(size) / most).cast("int")
+    own = F.pmod(F.xxhash64(member, group), n).cast("int")
+    one = df.withColumn("blocks", n).withColumn("block", F.when(F.col("blocks") > 1, own).otherwise(F.lit(0)))
+    each = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    return each.withColumn("g", F.xxhash64(F.lit("pairs"), F.col(group), low, high)).withColumn(
+        "within", low == high).drop("blocks", "other")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, html, langid, mixing, quality, topk, toxicity
+from indicata.llm import bpe, html, langid, minhash, mixing, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near duplicates among all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded texts of all documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,6 +71,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_language_id": op3_language_id,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op7_quality_rules": op7_quality_rules,
