@@ -58,14 +58,14 @@ def whole_row(df: DataFrame, *named: tuple[str, str]) -> DataFrame:
 
 
 def map_groups(df: DataFrame, group: str, fn: Callable[[pa.Table], pa.Table | None], schema: str,
-               order: tuple[str, ...] = ()) -> DataFrame:
+               gather: int = 0) -> DataFrame:
     """``fn`` over the rows of each value of ``group``, whose groups are bounded by construction.
 
-    Rows are dealt out by the value and sorted in their partition; a task holds one group at a time, so many tiny
-    groups cost little and a partition may be of any size."""
+    Rows are dealt out by the value and sorted in their partition; a task holds one group at a time (with ``gather``,
+    whole groups until they have so many bytes), so many tiny groups cost little and a partition may be of any size."""
     def run(batches):
         held: list[pa.RecordBatch] = []
-        last = None
+        last, size = None, 0
 
         def flush():
             out = fn(pa.Table.from_batches(held))
@@ -78,15 +78,17 @@ def map_groups(df: DataFrame, group: str, fn: Callable[[pa.Table], pa.Table | No
             keys = batch.column(group).to_numpy(zero_copy_only=False)
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
-                if held and keys[a] != last:
+                if held and keys[a] != last and size >= gather:
                     yield from flush()
-                    held = []
-                held.append(batch.slice(a, b - a))
+                    held, size = [], 0
+                part = batch.slice(a, b - a)
+                held.append(part)
                 last = keys[a]
+                size += part.nbytes if gather else 0
         if held:
             yield from flush()
 
-    return df.repartition(group).sortWithinPartitions(group, *order).mapInArrow(run, schema)
+    return df.repartition(group).sortWithinPartitions(group).mapInArrow(run, schema)
 
 
 def pair_blocks(df: DataFrame, group: str, size: str, member: str, most: int) -> DataFrame:

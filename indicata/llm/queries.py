@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, html, langid, minhash, mixing, quality, topk, toxicity
+from indicata.llm import bpe, html, langid, minhash, mixing, quality, substrings, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without strings of 400 bytes that occur twice."""
+    return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents; learned from those not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -70,6 +75,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_repeated_strings": op2_repeated_strings,
     "op3_language_id": op3_language_id,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_byte_bpe": op5_byte_bpe,
