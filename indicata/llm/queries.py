@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, html, langid, minhash, mixing, quality, substrings, topk, toxicity
+from indicata.llm import bpe, html, langid, lines, minhash, mixing, quality, substrings, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that all documents lose as fuzzy repeats, and a digest of what is left."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select(
+        "row.doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_repeated_strings": op2_repeated_strings,
@@ -83,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_main_text": op8_main_text,
     "op9_toxicity": op9_toxicity,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
