@@ -15,11 +15,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.llm import graph, shingles
-from indicata.llm.common import map_groups, map_slices, pair_blocks, utf8
+from indicata.llm.common import map_groups, map_slices, pair_blocks, utf8, whole_row
 from indicata.sinks.files import materialize
 
 K = 32
@@ -241,3 +241,39 @@ def _with_values(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, "values"])
     kinds = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in classes.schema)
     return classes.mapInArrow(run, f"{kinds}, values array<bigint>")
+
+
+def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that ``found`` (their ``near_duplicates``) doesn't keep: one row of each
+    group, and every row without words.
+
+    Where ids repeat, rows are told apart by their sets; of the rows of a kept set and id, the least by hash stays.
+    """
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("kept"))
+    ids = materialize(ids.where("n > 1 OR NOT kept"), "near-dropped")
+    own = F.col(f"`{key}`")
+
+    def without(names: DataFrame, how: str) -> DataFrame:
+        names = names.select(F.col("doc_id").alias("__id"))
+        names = F.broadcast(names) if names.count() <= SENT else names
+        return docs.join(names, own.eqNullSafe(F.col("__id")), how)
+
+    out = without(ids, "left_anti")
+    if ids.where("n > 1").isEmpty():
+        return out
+    again = whole_row(without(ids.where("n > 1"), "left_semi"), (key, "doc_id"), (text, "text"))
+    row = again.schema["row"].dataType.simpleString()
+
+    def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values, before = shingle_sets(batch)
+        sigs = [signature(values[a:b]) for a, b in zip(before, before[1:])]
+        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(sigs, pa.binary())],
+                                          ["row", "id", "sig"])
+
+    signed = map_slices(again, "text", sign, f"row {row}, id {again.schema['doc_id'].dataType.simpleString()}, "
+                        "sig binary")
+    kept = found.where("kept").select("doc_id", F.col("sig").alias("kept_sig")).distinct()
+    rows = signed.join(kept, signed["id"].eqNullSafe(kept["doc_id"]) & (signed["sig"] == kept["kept_sig"]))
+    first = Window.partitionBy("sig").orderBy(F.xxhash64("row"))
+    one = rows.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
+    return out.unionByName(one).unionByName(signed.where(F.col("sig").isNull()).select("row.*"))

@@ -127,3 +127,27 @@ def oracle(share: float = SHARE, most: int = MOST, weights: tuple[int, ...] = WE
                 FROM ranked r JOIN goal g ON r.source IS NOT DISTINCT FROM g.source)
     SELECT doc_id, size, source_size, target,
            ((floor(per * (nth + 1) + u) - floor(per * nth + u))::BIGINT * size)::BIGINT AS taken FROM crossed"""
+
+
+def take(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with each row as often as ``mixed`` (their ``mix``) has it.
+
+    Where ids repeat, the copies of an id are dealt over its rows in order of their hash, equal rows counted together,
+    so that the copies of equal ids add up, though not by size.
+    """
+    counts = materialize(mixed.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.count(F.lit(1)).alias("__m"), F.sum("copies").alias("__copies")), "mix-copies")
+    own = F.col(f"`{key}`")
+    once = docs.join(counts.where("__m = 1 AND __copies > 0"), own.eqNullSafe(F.col("__id"))).select(
+        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__i"))
+    out = once.drop("__i")
+    if counts.where("__m > 1").isEmpty():
+        return out
+    again = docs.join(counts.where("__m > 1"), own.eqNullSafe(F.col("__id"))).groupBy(
+        *[docs[c] for c in docs.columns], "__id", "__m", "__copies").agg(F.count(F.lit(1)).alias("__n"))
+    order = Window.partitionBy("__id").orderBy(F.xxhash64(*docs.columns)).rowsBetween(Window.unboundedPreceding, -1)
+    again = again.withColumn("__at", F.coalesce(F.sum("__n").over(order), F.lit(0)))
+    share = lambda x: F.floor(x * F.col("__copies") / F.col("__m"))
+    again = again.withColumn("__k", share(F.col("__at") + F.col("__n")) - share(F.col("__at"))).where("__k > 0")
+    return out.unionByName(again.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__k")))).select(
+        *docs.columns))
