@@ -66,7 +66,8 @@ def json_number_text(raw) -> Column:
                         F.regexp_replace(r, r"^(-?)0+(?=[0-9])", "$1"))
     return (F.when(r.isNull(), F.lit(None).cast("string"))
             .when(is_int, as_int)
-            .otherwise(float_text(r.try_cast("double"))))
+            # a text value ("n/d") stays as it is
+            .otherwise(F.coalesce(float_text(r.try_cast("double")), _col(raw))))
 
 
 def cell_text_legacy(value, ctype=None) -> Column:
@@ -78,9 +79,10 @@ def cell_text_legacy(value, ctype=None) -> Column:
     """
     v = _col(value)
     numeric = v.try_cast("double")
-    integral = numeric == F.floor(numeric)
-    number_text = (F.when(integral & (F.abs(numeric) < 9.2e18),
-                          numeric.cast("decimal(38,0)").cast("string"))
+    # every double from 2**53 on is integral (floor would overflow there)
+    large = F.abs(numeric) >= 2.0 ** 53
+    integral = F.when(large, F.abs(numeric) < 1e38).otherwise(numeric == F.floor(F.when(~large, numeric)))
+    number_text = (F.when(integral, numeric.try_cast("decimal(38,0)").cast("string"))
                    .otherwise(float_text(numeric)))
     if ctype is None:
         return F.when(numeric.isNull(), F.coalesce(v, F.lit(""))).otherwise(number_text)
@@ -96,8 +98,9 @@ def cell_text_xlsx(value, ctype) -> Column:
 
     ``''`` for an empty cell; numbers keep their kind (``5`` stays ``5``,
     ``5.0`` stays ``5.0``); booleans ``True``/``False``; date cells
-    ``YYYY-MM-DD HH:MM:SS`` (raw is the day serial, epoch 1899-12-30);
-    strings and error values as written.
+    ``YYYY-MM-DD HH:MM:SS`` (raw is the day serial, epoch 1899-12-30), a
+    serial below 1 is a time only, ``HH:MM:SS``; durations (``t``) print as
+    ``[N day[s], ]H:MM:SS``; strings and error values as written.
     """
     v, t = _col(value), _col(ctype)
     is_int = v.rlike(r"^\s*-?[0-9]+\s*$")
@@ -115,9 +118,20 @@ def cell_text_xlsx(value, ctype) -> Column:
     date_text = F.when(F.date_format(stamp, "SSSSSS") == "000000",
                        F.date_format(stamp, "yyyy-MM-dd HH:mm:ss")).otherwise(
         F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    date_text = F.when((t == "d") & (serial >= 0) & (serial < 1),
+                       F.element_at(F.split(date_text, " "), 2)).otherwise(date_text)
+    secs = F.round(serial * F.lit(86400)).cast("bigint")
+    whole = F.floor(secs / 86400).cast("bigint")
+    rest = secs - whole * 86400
+    day_text = F.when(whole == 0, F.lit("")).otherwise(F.concat(
+        whole.cast("string"), F.when(F.abs(whole) == 1, F.lit(" day, ")).otherwise(F.lit(" days, "))))
+    duration = F.concat(day_text, F.floor(rest / 3600).cast("string"), F.lit(":"),
+                        F.lpad(F.floor(rest % 3600 / 60).cast("string"), 2, "0"), F.lit(":"),
+                        F.lpad((rest % 60).cast("string"), 2, "0"))
     return (F.when(v.isNull() | (v == ""), F.lit(""))
             .when(t == "b", F.when(v.isin("1", "true", "TRUE"), F.lit("True")).otherwise(F.lit("False")))
             .when(t.isin("d", "d1904"), date_text)
+            .when(t == "t", duration)
             .when(t == "n", number)
             .otherwise(v))
 

@@ -45,35 +45,8 @@ def all_strings(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def staging_nulls(df: DataFrame) -> DataFrame:
-    """``''`` -> NULL on every string column (staging load rule)."""
-    return df.select(*[empty_to_null(F.col(f"`{f.name}`")).alias(f.name)
-                       if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-                       for f in df.schema.fields])
-
-
-def bronze_empties(df: DataFrame) -> DataFrame:
-    """NULL -> ``''`` on every string column (Bronze keeps empty text)."""
-    return df.select(*[null_to_empty(F.col(f"`{f.name}`")).alias(f.name)
-                       if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-                       for f in df.schema.fields])
-
-
-def positional_names(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rename data columns ``col_01…`` by position (``keep`` untouched)."""
-    i, names = 0, []
-    for c in df.columns:
-        if c in keep:
-            names.append(c)
-        else:
-            i += 1
-            names.append(f"col_{i:02d}")
-    return df.toDF(*names)
 
 
-def tag_context(df: DataFrame, **tags) -> DataFrame:
-    """Write caller context (agent, continuation flag, region…) on every row."""
-    return df.select("*", *[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in tags.items()])
 
 
 def width_violations(df: DataFrame, key_cols: list[str], width: int = 500,
@@ -88,5 +61,4 @@ def width_violations(df: DataFrame, key_cols: list[str], width: int = 500,
             .select(*key_cols, "v.column_name", F.col("v.n_chars").cast("bigint").alias("n_chars")))
 
 
-__all__ = ["run_stamp", "add_lineage", "all_strings", "staging_nulls", "bronze_empties",
-           "positional_names", "tag_context", "width_violations", "file_name"]
+__all__ = ["run_stamp", "add_lineage", "all_strings", "width_violations", "file_name"]

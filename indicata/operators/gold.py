@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.operators.joins import checked_broadcast
-
 UNKNOWN_KEY = -1
 
 
@@ -45,9 +43,10 @@ def assign_keys(natural: DataFrame, key_col: str, order_cols: list[str],
     Keys already in ``existing`` are kept; new natural keys get
     ``max(existing key) + row_number()`` in natural-key order.  Runs on the
     distinct natural keys only, which is what makes the global ordering
-    affordable (a dimension is small by construction).
+    affordable (a dimension is small by construction).  A NULL natural key is
+    the unknown member: it gets no key here and resolves to ``-1``.
     """
-    distinct = natural.select(*order_cols).distinct()
+    distinct = natural.select(*order_cols).dropna().distinct()
     if existing is None:
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
         return distinct.withColumn(key_col, F.row_number().over(w).cast("bigint"))
@@ -61,20 +60,14 @@ def assign_keys(natural: DataFrame, key_col: str, order_cols: list[str],
     return old.unionByName(fresh)
 
 
-def resolve_key(fact: DataFrame, dim: DataFrame, on: list[str], key_col: str,
-                max_dim_rows: int | None = None) -> DataFrame:
+def resolve_key(fact: DataFrame, dim: DataFrame, on: list[str], key_col: str) -> DataFrame:
     """Replace natural key columns ``on`` by the dimension key ``key_col``.
 
-    Left join: a fact row never disappears; an unmatched natural key gets the
-    unknown member ``-1``.  With ``max_dim_rows`` the dimension is broadcast
-    after a row-count check; without it the planner decides from its size
-    estimate and AQE re-decides from the real size at runtime (broadcast under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, sort-merge beyond).
+    Left join: a fact row never disappears; an unmatched or NULL natural key
+    gets the unknown member ``-1``.  The planner decides on a broadcast from
+    its size estimate and AQE re-decides from the real size at runtime.
     """
-    d = dim.select(key_col, *on)
-    if max_dim_rows:
-        d = checked_broadcast(d, max_dim_rows)
-    joined = fact.join(d, on=on, how="left")
+    joined = fact.join(dim.select(key_col, *on), on=on, how="left")
     return joined.withColumn(key_col, F.coalesce(F.col(key_col), F.lit(UNKNOWN_KEY).cast("bigint"))
                              ).drop(*on)
 
@@ -82,9 +75,3 @@ def resolve_key(fact: DataFrame, dim: DataFrame, on: list[str], key_col: str,
 def resolve_keys(fact: DataFrame, dims: list[tuple[DataFrame, list[str], str]]) -> DataFrame:
     """``resolve_key`` for every ``(dim, natural_cols, key_col)``."""
     return reduce(lambda acc, d: resolve_key(acc, *d), dims, fact)
-
-
-def unresolved_counts(fact_with_keys: DataFrame, key_cols: list[str]) -> DataFrame:
-    """One row: number of fact rows that fell to the unknown member, per key."""
-    return fact_with_keys.agg(*[
-        F.count_if(F.col(k) == UNKNOWN_KEY).alias(f"unknown_{k}") for k in key_cols])

@@ -22,7 +22,8 @@ def month_index(period: str = "period") -> Column:
 def _prior_value(series: list[str], months_back: int, value: str) -> Column:
     w = (Window.partitionBy(*series).orderBy(F.col("_midx"))
          .rangeBetween(-months_back, -months_back))
-    return F.first(F.col(value)).over(w)
+    # a row without a month (the unknown member) has no prior one
+    return F.when(F.col("_midx").isNotNull(), F.first(F.col(value)).over(w))
 
 
 def _change(current: Column, prior: Column, scale: int) -> Column:

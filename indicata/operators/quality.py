@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from indicata.operators.joins import prefixed, same_keys
+
 
 # ── A1 row-count check ────────────────────────────────────────────────────
 
@@ -52,10 +54,13 @@ def totals(df: DataFrame, group_cols: list[str], sums: dict[str, Column]) -> Dat
 
 def totals_vs_expected(actual: DataFrame, expected: DataFrame, keys: list[str],
                        measures: list[str]) -> DataFrame:
-    """Join actual and expected totals (full outer) and flag each group."""
-    a = actual.select(*keys, *[F.col(m).alias(f"actual_{m}") for m in measures])
-    e = expected.select(*keys, *[F.col(m).alias(f"expected_{m}") for m in measures])
-    j = a.join(e, on=keys, how="full")
+    """Join actual and expected totals (full outer, NULL groups match) and flag
+    each group."""
+    a = actual.select(*keys, F.lit(True).alias("_in"), *[F.col(m).alias(f"actual_{m}") for m in measures])
+    e = prefixed(expected.select(*keys, *[F.col(m).alias(f"expected_{m}") for m in measures]), keys)
+    j = a.join(e, same_keys(keys), "full").select(
+        *[F.when(F.col("_in"), F.col(k)).otherwise(F.col(f"_other_{k}")).alias(k) for k in keys],
+        *[f"{side}_{m}" for m in measures for side in ("actual", "expected")])
     ok = reduce(lambda x, y: x & y,
                 [F.col(f"actual_{m}").eqNullSafe(F.col(f"expected_{m}")) for m in measures])
     return j.withColumn("status", F.when(ok, F.lit("OK")).otherwise(F.lit("MISMATCH")))
@@ -95,6 +100,11 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
                  F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cols, 1)
     ])).alias("p")).select("p.*")
     per_value = pairs.groupBy("ordinal", "column_name", "v").agg(F.count(F.lit(1)).alias("k"))
+    # a row of count 0 for each column, so that an empty table has a profile
+    seeds = df.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("v"),
+                 F.lit(0).cast("bigint").alias("k")) for i, c in enumerate(cols, 1)])).alias("p")).select("p.*")
+    per_value = per_value.unionByName(seeds)
     return (per_value.groupBy("ordinal", "column_name").agg(
         F.sum("k").cast("bigint").alias("n_rows"),
         F.sum(F.when(F.col("v").isNotNull(), F.col("k")).otherwise(0)).cast("bigint").alias("n_non_null"),
@@ -125,8 +135,8 @@ def log_audit(log: DataFrame, run_col: str, ts_col: str, state_col: str,
 def reconcile_diff(baseline: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
     """Keyed content diff: ``keys…, change`` in ``added``/``removed``/``changed``.
 
-    One full outer join on the key (both sides shuffled once on it); the
-    comparison of the other columns is null-safe.  The key must identify a
+    One full outer join on the key (both sides shuffled once on it); keys and
+    the other columns are compared null-safe.  The key must identify a
     row on each side (a table's key): then every key meets at most one
     partner and nothing multiplies.  For data without such a key use
     ``reconcile_exact``, a multiset difference computed by aggregation.
@@ -134,7 +144,9 @@ def reconcile_diff(baseline: DataFrame, current: DataFrame, keys: list[str]) ->
     others = [c for c in baseline.columns if c not in keys]
     b = baseline.select(*keys, F.struct(*others).alias("_b"), F.lit(True).alias("_in_b"))
     c = current.select(*keys, F.struct(*others).alias("_c"), F.lit(True).alias("_in_c"))
-    j = b.join(c, on=keys, how="full")
+    j = b.join(prefixed(c, keys), same_keys(keys), "full").select(
+        *[F.when(F.col("_in_b"), F.col(k)).otherwise(F.col(f"_other_{k}")).alias(k) for k in keys],
+        "_b", "_c", "_in_b", "_in_c")
     change = (F.when(F.col("_in_b").isNull(), F.lit("added"))
               .when(F.col("_in_c").isNull(), F.lit("removed"))
               .when(~F.col("_b").eqNullSafe(F.col("_c")), F.lit("changed")))
@@ -144,11 +156,14 @@ def reconcile_diff(baseline: DataFrame, current: DataFrame, keys: list[str]) ->
 def reconcile_exact(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """Unkeyed diff (multiset): rows only in one side, with ``side``.
 
-    ``exceptAll`` runs as a union plus a count per distinct row (partially
-    aggregated), so duplicated rows never pair up.
+    One union with +1 and -1, one (partially combined) sum per distinct row,
+    and the remainder expanded: each side is read once and shuffled once.
     """
-    return (baseline.exceptAll(current).withColumn("side", F.lit("removed"))
-            .unionByName(current.exceptAll(baseline).withColumn("side", F.lit("added"))))
+    cols = baseline.columns
+    both = baseline.withColumn("_n", F.lit(1)).unionByName(current.select(*cols).withColumn("_n", F.lit(-1)))
+    left = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    return left.select(*cols, F.when(F.col("_n") > 0, F.lit("removed")).otherwise(F.lit("added")).alias("side"),
+                       F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))).alias("_i")).drop("_i")
 
 
 # ── L1 sample ─────────────────────────────────────────────────────────────

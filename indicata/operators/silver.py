@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indicata.operators.joins import checked_broadcast
-
 VALUE_TYPE = "decimal(18,4)"
 TIDY_COLUMNS = ("source", "indicator", "region", "period", "measure", "value")
 
@@ -59,7 +57,10 @@ def parse_as(raw: Column, target: str, decimal_comma: bool = False,
     t = target.lower()
     if t.startswith("decimal") or t in ("double", "float", "int", "bigint", "smallint"):
         if decimal_comma:
-            text = F.regexp_replace(F.regexp_replace(text, r"\.", ""), ",", ".")
+            # dots only as well-formed grouping; any other text is no number
+            grouped = text.rlike(r"^[+-]?(\d{1,3}(\.\d{3})+|\d+)(,\d+)?$")
+            plain = F.regexp_replace(F.regexp_replace(text, r"\.", ""), ",", ".")
+            text = F.when(grouped, plain)
         return text.try_cast(target)
     if t == "date":
         return F.to_date(F.try_to_timestamp(text, F.lit(fmt))) if fmt else text.try_cast("date")
@@ -198,12 +199,12 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 def map_values(df: DataFrame, mapping: DataFrame, on: str, target: str) -> DataFrame:
     """Left join to a lookup; an unmapped name keeps the row with NULL target."""
-    m = checked_broadcast(mapping.select(on, target).dropDuplicates([on]))
+    m = mapping.select(on, target).dropDuplicates([on])
     return df.join(m, on=on, how="left")
 
 
 def unmapped(df: DataFrame, mapping: DataFrame, on: str) -> DataFrame:
     """Names with no lookup entry and how many rows carry each."""
-    m = checked_broadcast(mapping.select(on).distinct())
+    m = mapping.select(on).distinct()
     return (df.join(m, on=on, how="left_anti").groupBy(on)
             .agg(F.count(F.lit(1)).alias("n_rows")))

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.operators.bronze import positional_names, width_violations
+from indicata.operators.bronze import width_violations
 from indicata.operators.quality import count_check, sample_rows
 from indicata.sources.jdbc import STAGING_WIDTH, read_table, write_staging
-from indicata.sources.cells import column_names, to_grid
-from indicata.sources.csv_text import bronze_from_delimited, overlong_rows, read_delimited, well_formed
+from indicata.sources.cells import to_grid
+from indicata.sources.csv_text import bronze_from_delimited, overlong_rows, read_delimited_files, well_formed
 from indicata.sources.json_docs import energy_bronze, parse_documents
 from indicata.sources.manifest import tag_with_manifest
 from indicata.sources.workbook import legacy_text, read_xlsx_cells, xlsx_text
@@ -25,9 +25,10 @@ TAX_SHEET = "datos_delegaciones"
 
 
 def bronze_delimited(spark: SparkSession, landing: str, run_ts: str, sep: str = ";",
-                     multiline: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Delimited text (IPI/IPC) -> (Bronze rows, overlong rows to quarantine)."""
-    raw = read_delimited(spark, landing, sep=sep, multiline=multiline)
+                     multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Delimited text (IPI/IPC), each file by its own header -> (Bronze rows,
+    whole records of overlong rows to quarantine)."""
+    raw = read_delimited_files(spark, landing, sep=sep, multiline=multiline)
     return bronze_from_delimited(well_formed(raw), run_ts), overlong_rows(raw)
 
 
@@ -37,7 +38,7 @@ def stage_delimited(spark: SparkSession, landing: str, run_ts: str, url: str, ta
     """Delimited text -> Bronze -> staging table, then validated.
 
     Values wider than the staging columns are found *before* the load; if
-    any exist the load is not attempted and the report is returned.  After
+    any exist the load fails with a sample of them.  After
     the load: row count against the source (``OK``/``MISMATCH``) and a
     5-row sample read back in key order.
     """
@@ -45,8 +46,9 @@ def stage_delimited(spark: SparkSession, landing: str, run_ts: str, url: str, ta
     keys = key_cols or [bronze.columns[0]]
     too_wide = width_violations(bronze, keys, width)
     out = {"bronze": bronze, "overlong": overlong, "too_wide": too_wide}
-    if too_wide.limit(1).count():
-        return out
+    wide = too_wide.limit(5).collect()
+    if wide:
+        raise ValueError(f"values wider than {width} characters, nothing loaded: {wide}")
     write_staging(bronze, url, table, properties, width=width, empty_as_null=empty_as_null)
     staged = read_table(spark, url, table, properties)
     out["count_check"] = count_check(bronze, staged)
@@ -89,5 +91,4 @@ def bronze_tax(spark: SparkSession, workbooks: str | DataFrame, run_ts: str,
     return _grid_bronze(xlsx_text(cells), run_ts, width, [])
 
 
-__all__ = ["stage_delimited", "bronze_delimited", "bronze_energy", "bronze_construction", "bronze_tax", "TAX_SHEET",
-           "column_names", "positional_names"]
+__all__ = ["stage_delimited", "bronze_delimited", "bronze_energy", "bronze_construction", "bronze_tax", "TAX_SHEET"]

@@ -14,7 +14,7 @@ from indicata.sources.cells import fill_headers, grid_shape, label_cells, to_gri
 from indicata.sources.csv_text import read_delimited, write_delimited
 from indicata.sources.json_docs import energy_bronze, parse_documents
 from indicata.sources.manifest import tag_with_manifest
-from indicata.sources.requests import fetch_outcome, request_grid
+from indicata.sources.requests import request_grid
 
 RUN_TS = "2024-01-01T00:00:00+00:00"  # fixed stamp: deterministic lineage in checks
 API_PATH = "/api/demand"
@@ -134,34 +134,6 @@ def request_grid_q(spark, base):
                         BASE_URL)
 
 
-# ── S8 fetch outcome ─────────────────────────────────────────────────────
-
-@query("fetch_outcome", """
-WITH a AS (
-  SELECT user_id AS request_id,
-         CASE WHEN event_type IN ('error', 'signup') THEN 'transient'
-              WHEN event_type = 'click' THEN 'permanent' ELSE 'success' END AS cls,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
-  FROM events),
-f AS (SELECT * FROM a WHERE n <= 4),
-u AS (SELECT request_id, COALESCE(min(n) FILTER (WHERE cls <> 'transient'), max(n)) AS used
-      FROM f GROUP BY request_id)
-SELECT u.request_id, CAST(u.used AS INTEGER) AS attempts_used, f.cls AS final_class,
-       CASE f.cls WHEN 'success' THEN 'success' WHEN 'permanent' THEN 'permanent_error' ELSE 'exhausted' END AS outcome,
-       CAST((SELECT COALESCE(SUM(CAST(pow(2, g.n) AS BIGINT)), 0) FROM f g
-             WHERE g.request_id = u.request_id AND g.n < u.used AND g.cls = 'transient') AS BIGINT) AS wait_seconds
-FROM u JOIN f ON f.request_id = u.request_id AND f.n = u.used
-""")
-def fetch_outcome_q(spark, base):
-    """Attempt log = events per user in (ts, event_id) order; the event type
-    stands for the response class."""
-    e = tables(spark, base).events
-    cls = (F.when(F.col("event_type").isin("error", "signup"), F.lit("transient"))
-           .when(F.col("event_type") == "click", F.lit("permanent")).otherwise(F.lit("success")))
-    attempts = e.select(F.col("user_id").alias("request_id"), "ts", "event_id", cls.alias("cls"))
-    return fetch_outcome(attempts, "request_id", ["ts", "event_id"], klass="cls")
-
-
 # ── S5 / A3 / R3 cell grids ──────────────────────────────────────────────
 
 CUSTOMER_CELLS_SQL = """
@@ -379,11 +351,10 @@ def snapshot_roundtrip(spark, base):
 # ── P1, P2, P3, P8 Bronze projections ────────────────────────────────────
 
 @query("bronze_lineage", f"""
-SELECT o_orderkey, '{RUN_TS}' AS _ingestion_timestamp, 'orders.parquet' AS _source_file FROM orders
+SELECT *, '{RUN_TS}' AS _ingestion_timestamp, 'orders.parquet' AS _source_file FROM orders
 """)
 def bronze_lineage(spark, base):
-    o = tables(spark, base).orders.select("o_orderkey")
-    return add_lineage(o, RUN_TS)
+    return add_lineage(tables(spark, base).orders, RUN_TS)
 
 
 @query("bronze_all_strings", """

@@ -1,54 +1,26 @@
-"""Catalog: whole-layer checks on the driver tables — workbook landing and
-decode, Bronze -> Silver for JSON and delimited sources, Gold measures."""
+"""Catalog: whole-layer checks on the driver tables — Bronze -> Silver for JSON
+and delimited sources, Gold measures, and whole medallion runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from indicata.functions import float_text, iso_utc
-from indicata.operators.bronze import run_stamp
+from indicata.operators.bronze import all_strings, run_stamp
 from indicata.plans import series
 from indicata.plans.bronze import bronze_delimited, bronze_energy
 from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL,
                                     query, tables)
 from indicata.plans.catalog_bronze import API_PATH, RUN_TS, _landed_documents
-from indicata.plans.gold import derive_measures
-from indicata.plans.landing import workbooks_from_rows
-from indicata.plans.silver import silver_delimited, silver_energy
-from indicata.operators.silver import consolidate
+from indicata.plans.gold import (Star, build_dims, derive_measures, keyed_fact, star_by_region_month,
+                                 with_unknown)
+from indicata.plans.run import RunConfig, run_medallion
+from indicata.plans.silver import reject_rows, silver_delimited, silver_energy, tidy_rows
+from indicata.operators.silver import consolidate, tidy
 from indicata.session import scratch_path
-from indicata.sources.cells import to_grid
-from indicata.sources.csv_text import write_delimited
-from indicata.sources.workbook import decode_workbooks, xlsx_text
-
-# ── S3/S4/F3: workbooks ──────────────────────────────────────────────────
-
-PART_KINDS = ["n", "s", "is", "n", "n", "b", "d", "f"]
-PART_HEADER = ["key", "name", "brand", "size", "price", "large", "since", "double_size"]
-
-
-@query("xlsx_cells", """
-SELECT CAST(p_partkey AS VARCHAR) AS col_01, p_name AS col_02, p_brand AS col_03, CAST(p_size AS VARCHAR) AS col_04,
-       CAST(p_retailprice AS VARCHAR) AS col_05, CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END AS col_06,
-       strftime(DATE '1899-12-30' + CAST(45000 + p_size AS INTEGER), '%Y-%m-%d %H:%M:%S') AS col_07,
-       CAST(p_size * 2 AS VARCHAR) AS col_08
-FROM part
-""")
-def xlsx_cells(spark, base):
-    """``part`` landed as workbooks (one per Arrow batch, header row +
-    typed cells: shared/inline strings, numbers, boolean, date serial,
-    formula with cached value), decoded back to cells, rendered as the
-    cached-value reader prints them, and spread into the positional grid."""
-    p = tables(spark, base).part
-    values = [F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_brand"), F.col("p_size").cast("string"),
-              float_text("p_retailprice"), F.when(F.col("p_size") > 25, F.lit("1")).otherwise(F.lit("0")),
-              (F.lit(45000) + F.col("p_size")).cast("string"), (F.col("p_size") * 2).cast("string")]
-    rows = p.select(*[v.alias(h) for v, h in zip(values, PART_HEADER)])
-    books = rows.mapInPandas(workbooks_from_rows(PART_HEADER, PART_KINDS, "datos", "part"),
-                             "path string, content binary")
-    grid = to_grid(xlsx_text(decode_workbooks(books)), width=len(PART_KINDS))
-    return grid.where(F.col("row_idx") > 1).select(*[f"col_{i:02d}" for i in range(1, 9)])
-
+from indicata.sinks.files import materialize, materialize_all
+from indicata.sources.csv_text import (RECORD_COL, _csv, _padded, overlong_rows, read_delimited_files, well_formed,
+                                       write_delimited)
 
 # ── F4: ISO UTC text ─────────────────────────────────────────────────────
 
@@ -76,8 +48,7 @@ FROM events GROUP BY ALL
 """)
 def energy_tidy(spark, base):
     bronze = bronze_energy(_landed_documents(tables(spark, base)), RUN_TS, API_PATH)
-    tidy, _rejects = silver_energy(bronze)
-    return series.monthly(tidy)
+    return series.monthly(tidy_rows(silver_energy(bronze)))
 
 
 # ── M1 + M2: delimited text with decimal commas -> Bronze -> Silver ──────
@@ -95,21 +66,166 @@ def ipi_tidy(spark, base):
     """``orders`` landed as the statistics-office text layout (``;``,
     ``YYYYMmm`` periods, decimal commas), loaded to Bronze and typed into the
     tidy contract, then summed per month."""
-    o = tables(spark, base).orders
-    text = o.select(
+    bronze, _overlong = bronze_delimited(spark, land_orders(spark, base), run_stamp())
+    return series.monthly(tidy_rows(silver_delimited(bronze, "ipi", *IPI_COLUMNS, measure="index")))
+
+
+def land_orders(spark, base, value=None, period=None):
+    """``orders`` as statistics-office text; ``value`` and ``period`` replace the texts of these columns."""
+    text = tables(spark, base).orders.select(
         F.col("o_orderpriority").alias(IPI_COLUMNS[0]),
         F.concat(F.lit("status_"), "o_orderstatus").alias(IPI_COLUMNS[1]),
-        F.date_format("o_orderdate", "yyyy'M'MM").alias(IPI_COLUMNS[2]),
-        F.regexp_replace(float_text("o_totalprice"), r"\.", ",").alias(IPI_COLUMNS[3]))
-    landing = scratch_path(spark, "ipi_landing")
-    write_delimited(text, landing)
-    bronze, _overlong = bronze_delimited(spark, landing, run_stamp(), multiline=False)
-    tidy, _rejects = silver_delimited(bronze, "ipi", *IPI_COLUMNS, measure="index", decimal_comma=True)
-    return series.monthly(tidy)
+        (F.date_format("o_orderdate", "yyyy'M'MM") if period is None else period).alias(IPI_COLUMNS[2]),
+        (F.regexp_replace(float_text("o_totalprice"), r"\.", ",") if value is None else value).alias(IPI_COLUMNS[3]))
+    return write_delimited(text, scratch_path(spark, "ipi_landing"))
+
+
+# ── P10: unreadable periods and numbers are rejected, blanks counted ─────
+
+@query("period_rejects", """
+WITH d AS (SELECT *, o_orderkey % 7 AS k FROM orders),
+t AS (SELECT CASE WHEN k = 1 THEN year(o_orderdate) || 'M13' WHEN k = 2 THEN 'n/d'
+                  ELSE strftime(o_orderdate, '%YM%m') END AS raw_period,
+             CASE WHEN k = 3 THEN '1234.56' WHEN k = 4 THEN '' WHEN k = 5 THEN '1.234,56' WHEN k = 2 THEN 'x,y'
+                  ELSE '12,5' END AS raw_value, k, o_orderstatus, o_orderpriority FROM d)
+SELECT 'ok' AS status, '' AS "column", '' AS raw, count(*) AS n,
+       CAST(sum(CASE WHEN k = 5 THEN 1234.56 ELSE 12.5 END) AS DECIMAL(38,4)) AS total FROM t WHERE k IN (0, 5, 6)
+UNION ALL SELECT 'blank', '', '', count(*), NULL FROM t WHERE k = 4
+UNION ALL SELECT 'reject', 'period', raw_period, count(*), NULL FROM t WHERE k IN (1, 2) GROUP BY raw_period
+UNION ALL SELECT 'reject', 'value', raw_value, count(*), NULL FROM t WHERE k IN (2, 3) GROUP BY raw_value
+""")
+def period_rejects(spark, base):
+    """``orders`` landed with months of 13, words for months, a decimal point where commas are due, and blanks:
+    what Silver accepts, finds blank and rejects (a row per failed text)."""
+    k = F.col("o_orderkey") % 7
+    period = (F.when(k == 1, F.concat(F.year("o_orderdate").cast("string"), F.lit("M13")))
+              .when(k == 2, F.lit("n/d")).otherwise(F.date_format("o_orderdate", "yyyy'M'MM")))
+    value = (F.when(k == 3, F.lit("1234.56")).when(k == 4, F.lit("")).when(k == 5, F.lit("1.234,56"))
+             .when(k == 2, F.lit("x,y")).otherwise(F.lit("12,5")))
+    bronze, _overlong = bronze_delimited(spark, land_orders(spark, base, value, period), run_stamp())
+    seen = materialize(silver_delimited(bronze, "ipi", *IPI_COLUMNS), "period_rejects")
+    empty = F.lit("")
+    counted = seen.where("status <> 'reject'").groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("status") == "ok", F.col("value"))).cast(
+            "decimal(38,4)").alias("total")).select("status", empty.alias("column"), empty.alias("raw"), "n", "total")
+    rejected = reject_rows(seen).groupBy("column", "raw").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("reject").alias("status"), "column", "raw", "n", F.lit(None).cast("decimal(38,4)").alias("total"))
+    return counted.unionByName(rejected)
+
+
+# ── S1/P8: ragged rows and files with headers of their own ───────────────
+
+@query("csv_ragged", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 5 = 1 THEN '' ELSE c_mktsegment END
+       AS c_mktsegment, NULL AS record FROM customer WHERE c_custkey % 5 IN (0, 1, 2)
+UNION ALL SELECT '', '', '', CAST(c_custkey AS VARCHAR) || ';' || c_name || ';' || c_mktsegment || ';' ||
+       CASE WHEN c_custkey % 5 = 3 THEN '' ELSE ';lost' END FROM customer WHERE c_custkey % 5 IN (3, 4)
+""")
+def csv_ragged(spark, base):
+    """``customer`` landed with short rows and rows with surplus fields, an empty one first: short rows are padded,
+    overlong ones come back as their whole record."""
+    c, k = tables(spark, base).customer, F.col("c_custkey") % 5
+    line = F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name",
+                       F.when(k == 1, F.lit(None)).otherwise(F.col("c_mktsegment")),
+                       F.when(k == 3, F.lit("")), F.when(k == 4, F.lit("")), F.when(k == 4, F.lit("lost")))
+    landing = scratch_path(spark, "csv_ragged")
+    lines = c.select(line.alias("value"))
+    names = ["c_custkey", "c_name", "c_mktsegment"]
+    lines.write.text(landing)
+    read = _padded(_csv(spark.read, ";", "UTF-8", False).option("header", False)
+                   .schema(", ".join(f"{n} string" for n in [*names, RECORD_COL])).csv(landing), names, ";")
+    good = well_formed(read).select(*names, F.lit(None).cast("string").alias("record"))
+    bad = overlong_rows(read).select(*[F.lit("").alias(n) for n in names], F.col(RECORD_COL).alias("record"))
+    return good.unionByName(bad)
+
+
+@query("csv_two_orders", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment,
+       CASE WHEN c_custkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) ELSE '' END AS c_nationkey FROM customer
+""")
+def csv_two_orders(spark, base):
+    """``customer`` landed in one folder under two headers: other column order, and a column that one half lacks."""
+    c, root = all_strings(tables(spark, base).customer), scratch_path(spark, "csv_two_orders")
+    odd = F.col("c_custkey").cast("bigint") % 2 == 1
+    write_delimited(c.where(~odd).select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), f"{root}/a")
+    write_delimited(c.where(odd).select("c_mktsegment", "c_custkey", "c_name"), f"{root}/b")
+    read = well_formed(read_delimited_files(spark, f"{root}/*"))
+    return read.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+
+
+# ── M4: a whole run, rows and sums of every layer ────────────────────────
+
+_ENERGY = "SELECT event_id, event_type, event_id // 50 AS chunk, date_trunc('month', ts) AS m"
+
+
+@query("medallion_totals", f"""
+WITH e AS ({_ENERGY}, 'value' AS measure, CAST(value AS DECIMAL(18,4)) AS v FROM events UNION ALL
+           {_ENERGY}, 'percentage', CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DECIMAL(18,4)) FROM events),
+o AS (SELECT o_orderstatus, o_orderpriority, date_trunc('month', o_orderdate) AS m,
+             CAST(o_totalprice AS DECIMAL(18,4)) AS v FROM orders)
+SELECT 'ipi' AS source, 'landed' AS layer, count(*) AS rows, CAST(NULL AS DECIMAL(38,4)) AS total FROM o
+UNION ALL SELECT 'ipi', 'quarantine', 0, NULL
+UNION ALL SELECT 'ipi', 'silver_ok', count(v), CAST(sum(v) AS DECIMAL(38,4)) FROM o
+UNION ALL SELECT 'ipi', 'silver_blank', count(*) - count(v), NULL FROM o
+UNION ALL SELECT 'ipi', 'silver_reject', 0, NULL
+UNION ALL SELECT 'ipi', 'silver_rounded', 0, NULL
+UNION ALL SELECT 'ipi', 'fact', (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus, o_orderpriority, m FROM o)),
+                 CAST(sum(v) AS DECIMAL(38,4)) FROM o
+UNION ALL SELECT 'energy', 'landed', count(*), NULL FROM e
+UNION ALL SELECT 'energy', 'silver_ok', count(v), CAST(sum(v) AS DECIMAL(38,4)) FROM e
+UNION ALL SELECT 'energy', 'silver_blank', count(*) - count(v), NULL FROM e
+UNION ALL SELECT 'energy', 'silver_reject', 0, NULL
+UNION ALL SELECT 'energy', 'silver_rounded', 0, NULL
+UNION ALL SELECT 'energy', 'fact',
+                 (SELECT count(*) FROM (SELECT DISTINCT event_type, chunk, m, measure FROM e WHERE v IS NOT NULL)),
+                 CAST(sum(v) AS DECIMAL(38,4)) FROM e
+""")
+def medallion_totals(spark, base):
+    """The whole run on ``orders`` (delimited text) and ``events`` (JSON documents): its accounting table."""
+    return medallion(spark, base)["accounting"]
+
+
+def medallion(spark, base):
+    """A run of both sources into a lake of its own."""
+    payloads, root = scratch_path(spark, "energy_landing"), scratch_path(spark, "lake")
+    _landed_documents(tables(spark, base)).write.parquet(payloads)
+    return run_medallion(spark, RunConfig(
+        lake=f"{root}/lake", log=f"{root}/log", energy_payloads=payloads,
+        delimited={"ipi": {"landing": land_orders(spark, base), "region_col": IPI_COLUMNS[0],
+                           "indicator_col": IPI_COLUMNS[1], "period_col": IPI_COLUMNS[2],
+                           "value_col": IPI_COLUMNS[3]}}))
+
+
+# ── J6: the unknown members keep facts in the star ───────────────────────
+
+@query("star_unknown", """
+WITH m AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS region,
+                  CAST(date_trunc('month', o_orderdate) AS DATE) AS period, CAST(o_totalprice AS DECIMAL(18,4)) AS v
+           FROM orders)
+SELECT CASE WHEN region IS NULL OR region = '5-LOW' THEN 'UNKNOWN' ELSE region END AS region,
+       CASE WHEN year(period) = 1996 THEN NULL ELSE period END AS period, CAST(sum(v) AS DECIMAL(18,4)) AS value
+FROM m GROUP BY 1, 2
+""")
+def star_unknown(spark, base):
+    """Facts with a NULL region, with one that the dimension lacks, or in a year that the calendar lacks resolve to the
+    unknown members, and the star query keeps them."""
+    region = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("o_orderpriority"))
+    rows = tidy(tables(spark, base).orders, "orders", "order_value", region, F.col("o_orderdate"), "total_price",
+                F.col("o_totalprice"))
+    monthly = materialize(series.monthly(rows), "star_unknown")
+    known = monthly.where("region <> '5-LOW'").select("region")
+    dims = build_dims(monthly, known)
+    dims["dim_calendar"] = dims["dim_calendar"].where("year <> 1996")
+    dims = materialize_all(dims)
+    star = Star(keyed_fact(monthly, dims), *[with_unknown(dims[f"dim_{n}"], f"{n}_key") for n in (
+        "region", "calendar", "source", "indicator", "measure")])
+    return star_by_region_month(star, "orders", "total_price")
 
 
 # ── M3: derived measures over the consolidated fact ──────────────────────
 
+# exact decimal mean, half up at scale 8 and then 4, as a decimal average is cast
+_MEAN = "CAST(ROUND(CAST(sum_{n} AS DECIMAL(38,8)) * 10000 / n_{n}) / 10000 AS DECIMAL(18,4))"
 _CHANGE = "ROUND(CAST(value AS DOUBLE) / NULLIF(CAST({p} AS DOUBLE), 0) - 1, 6)"
 
 
@@ -123,20 +239,21 @@ x AS (
                              RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING) AS p12,
     first_value(value) OVER (PARTITION BY source, indicator, region, measure ORDER BY midx
                              RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS p1,
-    SUM(value) OVER (PARTITION BY source, indicator, region, measure, year(period) ORDER BY midx
-                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ytd,
-    SUM(value) OVER (PARTITION BY source, indicator, region, measure, year(period), quarter(period) ORDER BY midx
-                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS qtd
-  FROM w)
+    SUM(value) OVER y AS sum_y, COUNT(value) OVER y AS n_y, SUM(value) OVER q AS sum_q, COUNT(value) OVER q AS n_q
+  FROM w
+  WINDOW y AS (PARTITION BY source, indicator, region, measure, year(period) ORDER BY midx
+               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         q AS (PARTITION BY source, indicator, region, measure, year(period), quarter(period) ORDER BY midx
+               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT source, indicator, region, measure, period, value,
        {_CHANGE.format(p="p12")} AS yoy, {_CHANGE.format(p="p1")} AS mom,
-       CAST(ytd AS DECIMAL(18,4)) AS ytd, CAST(qtd AS DECIMAL(18,4)) AS qtd
+       CASE WHEN measure = 'value' THEN {_MEAN.format(n="y")} ELSE CAST(sum_y AS DECIMAL(18,4)) END AS ytd,
+       CASE WHEN measure = 'value' THEN {_MEAN.format(n="q")} ELSE CAST(sum_q AS DECIMAL(18,4)) END AS qtd
 FROM x
 """)
 def derived_measures(spark, base):
     t = tables(spark, base)
     monthly = consolidate([series.orders_by_region(t), series.lineitem_by_region(t), series.events_by_type(t)])
-    additive = spark.range(1).select(F.explode(F.array(
-        *[F.struct(F.lit(m).alias("measure"), F.lit(True).alias("additive"))
-          for m in ("total_price", "revenue", "value")])).alias("a")).select("a.*")
-    return derive_measures(monthly, additive)
+    monthly = materialize(monthly, "derived_monthly")
+    dims = build_dims(monthly, monthly.select("region"), measures={"value": ("count", False)})
+    return derive_measures(monthly, materialize(dims["dim_measure"], "dim_measure"))

@@ -1,8 +1,8 @@
 """Gold build: dimensions, keyed fact, star queries and derived measures.
 
 Dimensions are small by construction (regions, months, sources, indicators,
-measures); each carries an unknown member ``-1`` so that every fact row
-resolves and the star query can use inner joins.
+measures); each, the calendar included, carries an unknown member ``-1`` so
+that every fact row resolves and the star query can use inner joins.
 """
 
 from __future__ import annotations
@@ -13,12 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.operators.gold import UNKNOWN_KEY, assign_keys, calendar_from, resolve_keys
-from indicata.operators.joins import checked_broadcast
 from indicata.operators.measures import with_changes
 from indicata.sinks.files import materialize, materialize_all
 
 UNKNOWN_NAME = "UNKNOWN"
 
+# Fixed values (ours): measures with their unit and whether they add up over months.  A measure that a run brings
+# and that is listed neither here nor in its configuration is an error, not a mean.
+MEASURES = {
+    "index": ("index points", False),
+    "value": ("MWh", True),
+    "percentage": ("share", False),
+    "total_price": ("currency", True),
+    "revenue": ("currency", True),
+}
+
 
 @dataclass
 class Star:
@@ -45,10 +54,31 @@ def with_unknown(dim: DataFrame, key_col: str) -> DataFrame:
     return dim.unionByName(one.select(*row))
 
 
-def build_dims(tidy_monthly: DataFrame, region_names: DataFrame,
-               existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def with_attributes(dim: DataFrame, key: str, attributes: dict[str, dict], types: dict[str, str],
+                    required: bool = False) -> DataFrame:
+    """Descriptive columns of a dimension from ``attributes[natural key][column]``
+    (a literal map: reference data of fixed size); ``required``: a member
+    without them fails the job."""
+    for column, kind in types.items():
+        entries = {k: v[column] for k, v in attributes.items() if v.get(column) is not None}
+        known = F.create_map(*[F.lit(x) for kv in entries.items() for x in kv]) if entries else None
+        value = F.try_element_at(known, F.col(key)) if entries else F.lit(None)
+        if required:
+            value = F.coalesce(value, F.raise_error(F.concat(
+                F.lit(f"no {column} known for {key} "), F.col(key))).cast(kind))
+        dim = dim.withColumn(column, value.cast(kind))
+    return dim
+
+
+def build_dims(tidy_monthly: DataFrame, region_names: DataFrame, existing: dict[str, DataFrame] | None = None,
+               measures: dict[str, tuple[str, bool]] | None = None, parents: dict[str, str] | None = None,
+               indicators: dict[str, tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Dimensions for a tidy monthly table; ``region_names`` has ``region``.
 
+    ``measures``: measure -> (unit, additive), beside the fixed ones;
+    ``parents``: region -> region it is part of; ``indicators``: indicator ->
+    (code, name), the indicator itself where none is given.
+
     ``existing``: the previous run's dimensions; their keys are kept and new
     natural keys are numbered after them, so keys are stable across runs.
     """
@@ -58,7 +88,8 @@ def build_dims(tidy_monthly: DataFrame, region_names: DataFrame,
         d = existing.get(name)
         return d.where(F.col(key) != UNKNOWN_KEY) if d is not None else None
 
-    return {
+    known = {m: {"unit": u, "additive": a} for m, (u, a) in (MEASURES | (measures or {})).items()}
+    dims = {
         "dim_region": assign_keys(region_names, "region_key", ["region"], prev("dim_region", "region_key")),
         "dim_calendar": calendar_from(tidy_monthly, "period"),
         "dim_source": assign_keys(tidy_monthly, "source_key", ["source"], prev("dim_source", "source_key")),
@@ -66,6 +97,16 @@ def build_dims(tidy_monthly: DataFrame, region_names: DataFrame,
                                      prev("dim_indicator", "indicator_key")),
         "dim_measure": assign_keys(tidy_monthly, "measure_key", ["measure"], prev("dim_measure", "measure_key")),
     }
+    dims["dim_region"] = with_attributes(dims["dim_region"], "region", {
+        k: {"parent": v} for k, v in (parents or {}).items()}, {"parent": "string"})
+    dims["dim_measure"] = with_attributes(dims["dim_measure"], "measure", known,
+                                          {"unit": "string", "additive": "boolean"}, required=True)
+    named = {k: {"code": c, "name": n} for k, (c, n) in (indicators or {}).items()}
+    dims["dim_indicator"] = with_attributes(dims["dim_indicator"], "indicator", named,
+                                            {"code": "string", "name": "string"})
+    own = {c: F.coalesce(F.col(c), F.col("indicator")) for c in ("code", "name")}
+    dims["dim_indicator"] = dims["dim_indicator"].withColumns(own)
+    return dims
 
 
 def keyed_fact(tidy_monthly: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -85,13 +126,13 @@ def keyed_fact(tidy_monthly: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
 
 
 def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool = False,
-               existing: dict[str, DataFrame] | None = None) -> Star:
+               existing: dict[str, DataFrame] | None = None, **attributes) -> Star:
     """Dimensions and keyed fact from a tidy monthly table.
 
     The tidy table feeds five dimensions and the fact; unless it is already a
     written table (``written=True``) it is written once first, so it is
     computed once rather than once per consumer.  ``existing``: the previous
-    run's dimensions (keys carried over).
+    run's dimensions (keys carried over); ``attributes`` go to ``build_dims``.
     """
     if not written:
         tidy_monthly = materialize(tidy_monthly, "silver_monthly")
@@ -99,12 +140,12 @@ def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool =
     # (small) file sizes, so the planner's own size check broadcasts them —
     # computed in-plan they would be estimated as large as the Silver table
     # and joined by shuffle on keys with a handful of values.
-    dims = materialize_all(build_dims(tidy_monthly, region_names, existing))
+    dims = materialize_all(build_dims(tidy_monthly, region_names, existing, **attributes))
     fact = keyed_fact(tidy_monthly, dims)
     return Star(
         fact=fact,
         dim_region=with_unknown(dims["dim_region"], "region_key"),
-        dim_calendar=dims["dim_calendar"],
+        dim_calendar=with_unknown(dims["dim_calendar"], "calendar_key"),
         dim_source=with_unknown(dims["dim_source"], "source_key"),
         dim_indicator=with_unknown(dims["dim_indicator"], "indicator_key"),
         dim_measure=with_unknown(dims["dim_measure"], "measure_key"),
@@ -134,22 +175,18 @@ def region_yoy(star: Star, source: str, measure: str) -> DataFrame:
         .select("region", "period", "value", "yoy", "mom")
 
 
-def derive_measures(tidy_monthly: DataFrame, additive: DataFrame | None = None) -> DataFrame:
+def derive_measures(tidy_monthly: DataFrame, dim_measure: DataFrame) -> DataFrame:
     """All four derived measures per series (source, indicator, region,
-    measure): YoY, MoM, YTD, QTD.  ``additive``: ``measure, additive`` —
-    flows are summed to date, index-like measures (default) averaged."""
+    measure): YoY, MoM, YTD, QTD.  ``dim_measure`` tells which measures are
+    additive: those are summed to date, the others averaged; a measure that it
+    doesn't know fails the job."""
     from indicata.operators.measures import with_qtd, with_ytd
 
     series_cols = ["source", "indicator", "region", "measure"]
-    df = tidy_monthly
-    if additive is not None:
-        # a handful of measures: always a broadcast (after the size check),
-        # never a shuffle of the fact on a low-cardinality key
-        flags = checked_broadcast(additive.select("measure", F.col("additive").cast("boolean")))
-        df = df.join(flags, "measure", "left")
-    else:
-        df = df.withColumn("additive", F.lit(None).cast("boolean"))
-    flag = F.coalesce(F.col("additive"), F.lit(False))
+    flags = dim_measure.select("measure", "additive")  # a handful of written rows: the planner broadcasts them
+    unknown = F.raise_error(F.concat(F.lit("measure without additive flag: "), F.col("measure"))).cast("boolean")
+    df = tidy_monthly.join(flags, "measure", "left").withColumn("additive", F.coalesce(F.col("additive"), unknown))
+    flag = F.col("additive")
     df = with_changes(df, series_cols)
     df = with_ytd(df, series_cols, additive=flag)
     df = with_qtd(df, series_cols, additive=flag)

@@ -1,41 +1,68 @@
-"""M4 — one call runs Bronze -> Silver -> Gold, logging every step.
+"""M4 — one call runs Bronze -> Silver -> Gold, logging and checking every step.
 
 Plain ordered calls; each step writes its table (Parquet under the lake
 root) and appends ``start``/``success``/``failure`` rows with row counts to
 the run log.  Rerunning a step overwrites only what it produced, so a failed
 run is resumed by running again.
+
+Every landed observation is accounted for: what Bronze holds equals what
+Silver accepted, found blank and rejected, and what Silver accepted sums up to
+the fact, per source; otherwise the run fails.  Tables per source:
+
+* ``bronze/<source>``, ``quarantine/<source>`` (whole records of overlong rows),
+* ``silver/<source>/status=ok|blank|reject`` (one write of the typed observations),
+* ``quality/accounting`` (rows and sums per layer and source), ``quality/duplicates``
+  (documents landed more than once, used once), ``quality/tax_unmapped``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.operators.bronze import run_stamp
-from indicata.operators.silver import consolidate
+from indicata.operators.quality import totals_vs_expected
+from indicata.operators.silver import VALUE_TYPE, apply_scope, consolidate
 from indicata.plans.bronze import TAX_SHEET, bronze_construction, bronze_delimited, bronze_energy, bronze_tax
 from indicata.plans.gold import build_star, derive_measures
-from indicata.plans.silver import (latest_observations, silver_construction, silver_delimited, silver_energy,
-                                   silver_tax)
+from indicata.plans.silver import TIDY_KEY, silver_construction, silver_delimited, silver_energy, silver_tax, tidy_rows
 from indicata.functions.text import file_name
-from indicata.sources.cells import grid_to_cells
+from indicata.sources.cells import grid_to_cells, wider_than_header
 from indicata.sinks.files import materialize
 from indicata.sinks.run_log import StepLogger, observed, read_log
 
 DIMENSIONS = ("dim_region", "dim_calendar", "dim_source", "dim_indicator", "dim_measure")
 
+# The regions and the first year that the demand source is asked for, and the construction files.
+ENERGY_REGIONS = (
+    {"geo_name": "Espana", "geo_id": "8741", "geo_limit": "peninsular"},
+    {"geo_name": "Madrid", "geo_id": "13", "geo_limit": "ccaa"},
+    {"geo_name": "Catalunya", "geo_id": "9", "geo_limit": "ccaa"},
+)
+ENERGY_START_YEAR = 2014
+CONSTRUCTION_FILES = (
+    ("01401400.XLS", "estado", False),
+    ("01401600.XLS", "estado", True),
+    ("01402600.XLS", "entes", False),
+    ("01402800.XLS", "entes", True),
+)
 
-def previous_dims(spark: SparkSession, lake: str, log_path: str) -> dict[str, DataFrame]:
-    """Last run's dimensions, if a previous run completed its Gold step (the
-    run log says so), copied to the shared scratch folder first so the Gold
-    paths can be overwritten while the keys are carried over."""
-    done = (read_log(spark, log_path).where((F.col("step") == "gold") & (F.col("event") == "success"))
-            .limit(1).count())
-    if not done:
-        return {}
-    return {name: materialize(spark.read.parquet(f"{lake}/gold/{name}"), f"prev_{name}") for name in DIMENSIONS}
+
+def energy_requests(spark: SparkSession, base_url: str, end_year: int | None = None) -> DataFrame:
+    """The request grid of the demand source: its regions, from its first to the current year."""
+    from indicata.sources.requests import request_grid
+
+    regions = spark.createDataFrame([(r["geo_name"], r["geo_id"], r["geo_limit"]) for r in ENERGY_REGIONS],
+                                    "geo_name string, geo_id string, geo_limit string")
+    return request_grid(regions, ENERGY_START_YEAR, end_year or date.today().year, base_url)
+
+
+def construction_manifest(header_rows: int, suffix: str = ".xlsx") -> list[tuple]:
+    """Manifest rows of the fixed construction files, landed as workbooks of that suffix."""
+    return [(name.rsplit(".", 1)[0] + suffix, agent, more, header_rows) for name, agent, more in CONSTRUCTION_FILES]
 
 
 @dataclass
@@ -43,108 +70,236 @@ class RunConfig:
     lake: str                       # root folder of Bronze/Silver/Gold tables
     log: str                        # run-log table folder
     delimited: dict[str, dict] = field(default_factory=dict)   # source -> {landing, region_col, ...}
+    multiline: bool = False         # quoted line breaks in delimited files (then each file is one task)
     energy_payloads: str | None = None  # Parquet of (geo_name, year, body)
     energy_api_path: str = "/api/demand"
     regions: list[str] = field(default_factory=list)
     data_scope: str = "full_history"
     # workbooks: folder of XLSX files; manifest rows (file_id, agent, is_continuation, header_rows)
     construction_workbooks: str | None = None
-    construction_manifest: list[tuple] = field(default_factory=list)
+    construction_manifest: list[tuple] = field(default_factory=lambda: construction_manifest(1))
     tax_workbooks: str | None = None
-    tax_period: str | None = None          # month the tax crosstab reports (YYYY-MM-DD)
+    tax_period: str | dict[str, str] | None = None   # month of the tax crosstab (YYYY-MM-DD), or by workbook
     tax_header_rows: int = 1
     delegation_map: list[tuple] = field(default_factory=list)   # (delegation, region)
+    # dimension attributes beside the fixed ones: measure -> (unit, additive), region -> parent, indicator -> (code, name)
+    measures: dict[str, tuple[str, bool]] = field(default_factory=dict)
+    parents: dict[str, str] = field(default_factory=dict)
+    indicators: dict[str, tuple[str, str]] = field(default_factory=dict)
+
 
+class LossError(RuntimeError):
+    """Rows or sums of two layers differ."""
 
-def _write(df: DataFrame, path: str, step: str, info: dict, partition_by: list[str] | None = None) -> DataFrame:
-    df, obs = observed(df, step)
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+def previous_gold(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
+    """Last run's dimensions and monthly table, if a run completed its Gold
+    step (the run log says so), copied to the shared scratch folder first so
+    the Gold paths can be overwritten while keys and months are carried over."""
+    done = (read_log(spark, conf.log).where((F.col("step") == "gold") & (F.col("event") == "success"))
+            .limit(1).count())
+    if not done:
+        return {}
+    return {name: materialize(spark.read.parquet(f"{conf.lake}/gold/{name}"), f"prev_{name}")
+            for name in (*DIMENSIONS, "monthly")}
+
+
+def _write(df: DataFrame, path: str, step: str, info: dict, partition_by: list[str] | None = None,
+           metrics: dict | None = None) -> DataFrame:
+    """Write a table whole (what an earlier run left there goes), count its
+    rows on the way, and read it with the schema it was written with."""
+    df, obs = observed(df, step, metrics)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    info["rows_out"] = obs.get.get("rows", 0)
-    return df.sparkSession.read.parquet(path)
+    got = obs.get
+    info["rows_out"] = got.get("rows", 0)
+    info["metrics"] = got
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class _Run:
+    """What the steps of one run share."""
+
+    def __init__(self, spark: SparkSession, conf: RunConfig):
+        self.spark, self.conf = spark, conf
+        self.log, self.ts = StepLogger(spark, conf.log), run_stamp()
+        self.out: dict[str, DataFrame] = {}
+        self.parts: list[DataFrame] = []
+        self.accounts: list[tuple] = []   # (source, layer, rows, total)
+
+    def bronze(self, name: str, df: DataFrame, info: dict, partition_by: list[str] | None = None) -> DataFrame:
+        self.out[f"bronze_{name}"] = _write(df, f"{self.conf.lake}/bronze/{name}", f"bronze_{name}", info, partition_by)
+        return self.out[f"bronze_{name}"]
+
+    def silver(self, name: str, observations: DataFrame, landed: int, info: dict) -> None:
+        """One write of the typed observations; fails unless each landed one is there."""
+        ok = F.col("status") == "ok"
+        table = _write(observations, f"{self.conf.lake}/silver/{name}", f"silver_{name}", info, ["status"], {
+            **{s: F.count_if(F.col("status") == s) for s in ("ok", "blank", "reject")},
+            "rounded": F.count_if(ok & F.col("rounded")),
+            "total": F.sum(F.when(ok, F.col("value"))).cast("decimal(38,4)")})
+        got = info["metrics"]
+        info["rows_in"] = landed
+        self.accounts.append((name, "landed", landed, None))
+        self.accounts += [(name, f"silver_{s}", got[s], got["total"] if s == "ok" else None)
+                          for s in ("ok", "blank", "reject")]
+        self.accounts.append((name, "silver_rounded", got["rounded"], None))
+        if got["rows"] != landed:
+            raise LossError(f"{name}: {landed} observations landed, Silver has {got['rows']}")
+        self.out[f"silver_{name}"] = table
+        self.parts.append(tidy_rows(table))
+
+
+def _data_cells(cells: DataFrame, header_rows: dict[str, int] | int, label_col: int = 1) -> int:
+    """Cells below the header and beside the label, counted apart from the Silver build."""
+    if isinstance(header_rows, int):
+        first = F.lit(header_rows)
+    else:
+        first = F.try_element_at(F.create_map(*[F.lit(x) for kv in header_rows.items() for x in kv]), F.col("file"))
+    below = (F.col("row_idx") > F.coalesce(first, F.lit(0))) & (F.col("col_idx") != label_col)
+    return cells.agg(F.count_if(below)).first()[0]
+
+
+def _delimited(run: _Run, name: str, opts: dict) -> None:
+    conf = run.conf
+    with run.log.step(f"bronze_{name}") as info:
+        bronze, overlong = bronze_delimited(run.spark, opts["landing"], run.ts, multiline=conf.multiline)
+        bronze = run.bronze(name, bronze, info)
+        overlong, obs = observed(overlong, f"quarantine_{name}")
+        overlong.write.mode("overwrite").parquet(f"{conf.lake}/quarantine/{name}")
+        rows = info["rows_out"]
+        run.accounts.append((name, "quarantine", obs.get.get("rows", 0), None))
+        info["rows_in"] = rows + obs.get.get("rows", 0)
+    with run.log.step(f"silver_{name}") as info:
+        run.silver(name, silver_delimited(
+            bronze, name, opts["region_col"], opts["indicator_col"], opts["period_col"], opts["value_col"],
+            opts.get("measure", "index"), opts.get("decimal_comma", True)), rows, info)
+
+
+def _energy(run: _Run) -> None:
+    conf = run.conf
+    with run.log.step("bronze_energy") as info:
+        landed = run.spark.read.parquet(conf.energy_payloads)
+        # a document landed twice is the same request answered twice: used once, and reported
+        request = [c for c in landed.columns if c != "body"]
+        payloads = landed.groupBy(*request, "body").agg(F.count(F.lit(1)).alias("copies"))
+        payloads = materialize(payloads, "energy_documents")
+        twice = payloads.where("copies > 1").select(*request, "copies", F.sha2("body", 256).alias("body_sha256"))
+        twice.write.mode("overwrite").parquet(f"{conf.lake}/quality/duplicates")
+        info["rows_in"] = payloads.count()
+        bronze = run.bronze("energy", bronze_energy(payloads.drop("copies"), run.ts, conf.energy_api_path), info)
+        rows = info["rows_out"]
+    with run.log.step("silver_energy") as info:
+        run.silver("energy", silver_energy(bronze), 2 * rows, info)
+
+
+def _construction(run: _Run) -> None:
+    conf = run.conf
+    manifest = run.spark.createDataFrame(
+        conf.construction_manifest, "file_id string, agent string, is_continuation boolean, header_rows int")
+    with run.log.step("bronze_construction") as info:
+        bronze = run.bronze("construction", bronze_construction(run.spark, conf.construction_workbooks, manifest,
+                                                                run.ts), info, ["_source_file"])
+    with run.log.step("silver_construction") as info:
+        grid = bronze.withColumn("sheet", F.lit("")).withColumnRenamed("_source_file", "file")
+        grid = grid.withColumn("label", F.nullif("col_01", F.lit("")))
+        cells = grid_to_cells(grid, row_col="_row_number", extra=("contracting_agent", "label"))
+        header = manifest.select(F.col("file_id").alias("file"), F.lit("").alias("sheet"), "header_rows")
+        landed = _data_cells(cells, {m[0]: m[3] for m in conf.construction_manifest})
+        run.silver("construction", silver_construction(cells, header), landed, info)
+
+
+def _tax(run: _Run) -> None:
+    conf = run.conf
+    with run.log.step("bronze_tax") as info:
+        bronze = run.bronze("tax", bronze_tax(run.spark, conf.tax_workbooks, run.ts, sheet=TAX_SHEET), info,
+                            ["_source_file"])
+    with run.log.step("silver_tax") as info:
+        # one row per landed workbook, from the file listing (contents not read)
+        header = (run.spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
+                  .option("recursiveFileLookup", True).load(conf.tax_workbooks)
+                  .select(file_name(F.col("path")).alias("file"), F.lit(TAX_SHEET).alias("sheet"),
+                          F.lit(conf.tax_header_rows).alias("header_rows")))
+        if isinstance(conf.tax_period, str) and header.limit(2).count() > 1:
+            raise ValueError("several tax workbooks need a period each: tax_period={file: month}")
+        grid = bronze.withColumn("sheet", F.lit(TAX_SHEET)).withColumnRenamed("_source_file", "file")
+        grid = grid.withColumn("label", F.nullif("col_01", F.lit("")))
+        cells = grid_to_cells(grid, row_col="_row_number", extra=("label",))
+        regions = run.spark.createDataFrame(conf.delegation_map, "delegation string, region string")
+        observations, unmapped = silver_tax(cells, header, regions, conf.tax_period)
+        unmapped.write.mode("overwrite").parquet(f"{conf.lake}/quality/tax_unmapped")
+        # rows beyond the first one's width, which a loader sized by row 1 would lose
+        wider_than_header(cells).write.mode("overwrite").parquet(f"{conf.lake}/quality/tax_wider")
+        run.silver("tax", observations, _data_cells(cells, conf.tax_header_rows), info)
+
+
+def _monthly(run: _Run, previous: DataFrame | None) -> DataFrame:
+    """One row per tidy key.  With a scope, months before it and sources that
+    this run doesn't load keep what the last run left."""
+    rows = consolidate(run.parts)
+    scoped = apply_scope(rows, "period", run.conf.data_scope)
+    monthly = scoped.groupBy(*TIDY_KEY).agg(F.sum("value").cast(VALUE_TYPE).alias("value"))
+    if previous is None:
+        return monthly
+    loaded = [p.split("_", 1)[1] for p in run.out if p.startswith("silver_")]
+    kept = ~F.col("source").isin(loaded)
+    if scoped is not rows:
+        kept = kept | ~_in_scope(run.conf.data_scope)
+    return monthly.unionByName(previous.where(kept).select(*TIDY_KEY, "value"))
+
+
+def _in_scope(scope: str):
+    month = scope.split("=", 1)[1]
+    return F.col("period") >= F.lit(f"{month}-01" if len(month) == 7 else month).cast("date")
 
 
 def run_medallion(spark: SparkSession, conf: RunConfig) -> dict[str, DataFrame]:
     """Run every configured source through the three layers."""
-    log = StepLogger(spark, conf.log)
-    ts = run_stamp()
-    out: dict[str, DataFrame] = {}
-    tidy_parts = []
+    run = _Run(spark, conf)
     for name, opts in conf.delimited.items():
-        with log.step(f"bronze_{name}") as info:
-            bronze, overlong = bronze_delimited(spark, opts["landing"], ts)
-            out[f"bronze_{name}"] = _write(bronze, f"{conf.lake}/bronze/{name}", f"bronze_{name}", info)
-            overlong.write.mode("overwrite").parquet(f"{conf.lake}/quarantine/{name}")
-        with log.step(f"silver_{name}") as info:
-            tidy_rows, rejects = silver_delimited(
-                out[f"bronze_{name}"], name, opts["region_col"], opts["indicator_col"], opts["period_col"],
-                opts["value_col"], opts.get("measure", "index"), opts.get("decimal_comma", True),
-                keep=("_ingestion_timestamp",))
-            rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/{name}")
-            tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/{name}",
-                                     f"silver_{name}", info))
+        _delimited(run, name, opts)
     if conf.energy_payloads:
-        with log.step("bronze_energy") as info:
-            payloads = spark.read.parquet(conf.energy_payloads)
-            out["bronze_energy"] = _write(bronze_energy(payloads, ts, conf.energy_api_path),
-                                          f"{conf.lake}/bronze/energy", "bronze_energy", info)
-        with log.step("silver_energy") as info:
-            tidy_rows, rejects = silver_energy(out["bronze_energy"], keep=("_ingestion_timestamp",))
-            rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/energy")
-            tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/energy",
-                                     "silver_energy", info))
+        _energy(run)
     if conf.construction_workbooks:
-        manifest = spark.createDataFrame(
-            conf.construction_manifest, "file_id string, agent string, is_continuation boolean, header_rows int")
-        with log.step("bronze_construction") as info:
-            b = bronze_construction(spark, conf.construction_workbooks, manifest, ts)
-            b, obs = observed(b, "bronze_construction")
-            b.write.mode("overwrite").partitionBy("_source_file").parquet(f"{conf.lake}/bronze/construction")
-            info["rows_out"] = obs.get.get("rows", 0)
-        with log.step("silver_construction") as info:
-            grid = spark.read.parquet(f"{conf.lake}/bronze/construction").withColumn("sheet", F.lit(""))
-            cells = grid_to_cells(grid.withColumnRenamed("_source_file", "file"), row_col="_row_number",
-                                  extra=("contracting_agent",))
-            hdr = manifest.select(F.col("file_id").alias("file"), F.lit("").alias("sheet"), "header_rows")
-            tidy_rows, rejects = silver_construction(cells, hdr)
-            rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/construction")
-            tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/construction",
-                                     "silver_construction", info))
+        _construction(run)
     if conf.tax_workbooks:
-        with log.step("bronze_tax") as info:
-            b = bronze_tax(spark, conf.tax_workbooks, ts, sheet=TAX_SHEET)
-            b, obs = observed(b, "bronze_tax")
-            b.write.mode("overwrite").partitionBy("_source_file").parquet(f"{conf.lake}/bronze/tax")
-            info["rows_out"] = obs.get.get("rows", 0)
-        with log.step("silver_tax") as info:
-            grid = spark.read.parquet(f"{conf.lake}/bronze/tax").withColumn("sheet", F.lit(TAX_SHEET))
-            cells = grid_to_cells(grid.withColumnRenamed("_source_file", "file"), row_col="_row_number")
-            # one row per landed workbook, from the file listing (contents not read)
-            hdr = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-                   .option("recursiveFileLookup", True).load(conf.tax_workbooks)
-                   .select(file_name(F.col("path")).alias("file"), F.lit(TAX_SHEET).alias("sheet"),
-                           F.lit(conf.tax_header_rows).alias("header_rows")))
-            dmap = spark.createDataFrame(conf.delegation_map, "delegation string, region string")
-            tidy_rows, rejects, unmapped_names = silver_tax(cells, hdr, dmap, conf.tax_period)
-            rejects.write.mode("overwrite").parquet(f"{conf.lake}/rejects/tax")
-            unmapped_names.write.mode("overwrite").parquet(f"{conf.lake}/quality/tax_unmapped")
-            tidy_parts.append(_write(latest_observations(tidy_rows), f"{conf.lake}/silver/tax", "silver_tax", info))
-    with log.step("gold") as info:
-        silver = consolidate(tidy_parts)
-        if conf.data_scope not in (None, "", "full_history"):
-            from indicata.operators.silver import apply_scope
-            silver = apply_scope(silver, "period", conf.data_scope)
+        _tax(run)
+    with run.log.step("gold") as info:
+        before = previous_gold(spark, conf)
+        monthly = materialize(_monthly(run, before.get("monthly")), "silver_monthly")
         regions = spark.createDataFrame([(r,) for r in conf.regions], "region string") if conf.regions \
-            else silver.select("region").distinct()
-        monthly = silver.groupBy("source", "indicator", "region", "period", "measure") \
-            .agg(F.sum("value").cast("decimal(18,4)").alias("value"))
-        star = build_star(monthly, regions, existing=previous_dims(spark, conf.lake, conf.log))
+            else monthly.select("region").distinct()
+        star = build_star(monthly, regions, written=True, existing={k: before[k] for k in DIMENSIONS if k in before},
+                          measures=conf.measures, parents=conf.parents, indicators=conf.indicators)
         for dim in DIMENSIONS:
-            getattr(star, dim).write.mode("overwrite").parquet(f"{conf.lake}/gold/{dim}")
-        # one directory per source: a source-filtered query prunes to its
-        # files, and reloading a source replaces only its own partition
-        out["fact"] = _write(star.fact, f"{conf.lake}/gold/fact", "gold_fact", info, ["source_key"])
-        out["measures"] = _write(derive_measures(monthly), f"{conf.lake}/gold/measures", "gold_measures", {})
-    return out
+            _write(getattr(star, dim), f"{conf.lake}/gold/{dim}", f"gold_{dim}", {})
+        # one directory per source: a source-filtered query prunes to its files
+        fact = run.out["fact"] = _write(star.fact, f"{conf.lake}/gold/fact", "gold_fact", info, ["source_key"])
+        run.out["monthly"] = _write(monthly, f"{conf.lake}/gold/monthly", "gold_monthly", {})
+        run.out["measures"] = _write(derive_measures(monthly, star.dim_measure), f"{conf.lake}/gold/measures",
+                                     "gold_measures", {})
+        _account(run, fact, star.dim_source, before.get("monthly"))
+    return run.out
+
+
+def _account(run: _Run, fact: DataFrame, dim_source: DataFrame, previous: DataFrame | None) -> None:
+    """Write the accounting table; fail if a source's fact total isn't what Silver accepted (in scope)."""
+    gold = fact.join(dim_source, "source_key").groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("value").cast("decimal(38,4)").alias("total"))
+    silver = apply_scope(consolidate(run.parts), "period", run.conf.data_scope)
+    if previous is not None:
+        loaded = sorted({a[0] for a in run.accounts})
+        kept = ~F.col("source").isin(loaded)
+        if run.conf.data_scope not in (None, "", "full_history"):
+            kept = kept | ~_in_scope(run.conf.data_scope)
+        silver = silver.unionByName(previous.where(kept).select(*silver.columns))
+    expected = silver.groupBy("source").agg(F.sum("value").cast("decimal(38,4)").alias("total"))
+    checked = materialize(totals_vs_expected(gold.select("source", "total"), expected, ["source"], ["total"]), "totals")
+    counted = run.spark.createDataFrame(run.accounts, "source string, layer string, rows bigint, total decimal(38,4)")
+    table = counted.unionByName(gold.select("source", F.lit("fact").alias("layer"), "rows", "total"))
+    run.out["accounting"] = _write(table, f"{run.conf.lake}/quality/accounting", "accounting", {})
+    wrong = checked.where("status <> 'OK'").limit(5).collect()
+    if wrong:
+        raise LossError(f"fact totals differ from Silver: {wrong}")

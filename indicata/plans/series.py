@@ -49,16 +49,14 @@ def monthly(tidy_rows: DataFrame) -> DataFrame:
 def orders_by_region(t: Tables) -> DataFrame:
     """Monthly order value per customer region (tidy contract).
 
-    Orders are first summed per (customer, month) — combined map side, so a
-    customer holding a large share of all orders reaches the join as at most
-    one row per month and task, not as its whole order history.  ``orders``
-    and ``customer`` are both large: the join is left to the planner
-    (sort-merge on the customer key, AQE splits what is still skewed).  The
-    region comes from a broadcast of the 25-row nation map.  Decimal sums are
-    exact, so summing in two steps gives the same totals.
+    ``orders`` and ``customer`` are both large: the join is left to the planner
+    (broadcast by size, else sort-merge on the customer key, where AQE splits
+    a customer that holds a large share of all orders).  Summing per customer
+    and month first would hardly shrink the orders and cost a shuffle more.
+    The region comes from a broadcast of the 25-row nation map.
     """
-    o = (t.orders.groupBy("o_custkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period"))
-         .agg(F.sum(F.col("o_totalprice").cast(VALUE_TYPE)).alias("v")))
+    o = t.orders.select("o_custkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period"),
+                        F.col("o_totalprice").cast(VALUE_TYPE).alias("v"))
     j = o.join(customer_regions(t), F.col("o_custkey") == F.col("c_custkey"), "left")
     rows = tidy(j, "orders", "order_value",
                 F.coalesce(F.col("region"), F.lit(UNKNOWN_REGION)), F.col("period"),
@@ -74,13 +72,12 @@ def orders_by_status(t: Tables) -> DataFrame:
 
 
 def lineitem_by_region(t: Tables) -> DataFrame:
-    """Monthly net revenue per supplier region, exact decimals; revenue is
-    summed per (supplier, month) before the supplier join (see
+    """Monthly net revenue per supplier region, exact decimals (see
     ``orders_by_region``)."""
     revenue = (F.col("l_extendedprice").cast("decimal(18,2)")
                * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)"))).cast(VALUE_TYPE)
-    li = (t.lineitem.groupBy("l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("period"))
-          .agg(F.sum(revenue).alias("v")))
+    li = t.lineitem.select("l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("period"),
+                           revenue.alias("v"))
     j = li.join(supplier_regions(t), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     rows = tidy(j, "lineitem", "net_revenue",
                 F.coalesce(F.col("region"), F.lit(UNKNOWN_REGION)), F.col("period"),

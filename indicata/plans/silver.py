@@ -1,9 +1,12 @@
 """M2 — Silver per source, all to the tidy contract
 ``source, indicator, region, period, measure, value decimal(18,4)``.
 
-Each builder returns ``(tidy, rejects)``: values that fail type enforcement
-are reported with their row context, never dropped silently.  Blank values
-(empty or placeholder text) are not observations and are left out.
+Each builder returns one typed frame with a row for every landed observation
+and its ``status``: ``ok``, ``blank`` (empty or placeholder value: no
+observation) or ``reject`` (value or period that doesn't parse, listed in
+``rejects``).  Nothing is dropped or collapsed here: observations of one tidy
+key (several delegations of a region, several rows of a month) are summed in
+Gold.
 """
 
 from __future__ import annotations
@@ -11,65 +14,87 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.operators.silver import (VALUE_TYPE, cleanse_text, dedup_latest, map_values,
-                                       parse_as, tidy)
+from indicata.operators.silver import VALUE_TYPE, cleanse_text, map_values, parse_as
 from indicata.sources.cells import label_cells
 
 TIDY_KEY = ["source", "indicator", "region", "period", "measure"]
-
-
-def _split(df: DataFrame, raw: str, parsed: str, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose non-blank raw text failed to parse go to rejects."""
-    blank = F.col(raw).isNull()
-    failed = ~blank & F.col(parsed).isNull()
-    good = df.where(~blank & ~failed)
-    rejects = df.where(failed).select(*context, F.col(raw).alias("raw"), F.lit(VALUE_TYPE).alias("target"))
-    return good, rejects
+UNMAPPED = "UNMAPPED"
 
 
 def month_from_text(text: Column) -> Column:
     """Month start from ``YYYY-MM…`` (first 10 characters, offsets ignored:
-    ``2014-01-01T00:00:00+01:00`` stays January) or ``YYYYMmm``."""
+    ``2014-01-01T00:00:00+01:00`` stays January) or ``YYYYMmm``; NULL for
+    anything else, a month of 13 included."""
     t = F.trim(text)
-    ym = F.regexp_extract(t, r"^(\d{4})M(\d{2})$", 0)
-    return (F.when(ym != "", F.make_date(F.substring(t, 1, 4).cast("int"), F.substring(t, 6, 2).cast("int"), F.lit(1)))
-            .otherwise(F.trunc(F.substring(t, 1, 10).try_cast("date"), "month")))
-
-
-def silver_energy(bronze: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Energy Bronze -> tidy: one observation per point and measure
-    (``value`` and ``percentage``)."""
-    long = bronze.select("series_type", "geo_name", "datetime", "_ingestion_timestamp",
-                         F.explode(F.array(
-                             F.struct(F.lit("value").alias("measure"), F.col("value").alias("raw")),
-                             F.struct(F.lit("percentage").alias("measure"), F.col("percentage").alias("raw"))
-                         )).alias("m")).select("*", "m.measure", "m.raw").drop("m")
-    long = long.withColumn("raw", cleanse_text("raw")).withColumn("parsed", parse_as(F.col("raw"), VALUE_TYPE))
-    good, rejects = _split(long, "raw", "parsed", ["series_type", "geo_name", "datetime", "measure"])
-    out = tidy(good, "energy", F.col("series_type"), F.col("geo_name"), month_from_text(F.col("datetime")),
-               F.col("measure"), F.col("parsed"), keep)
-    return out, rejects
+    month = F.when(t.rlike(r"^\d{4}M\d{2}$"), F.concat(F.substring(t, 1, 4), F.lit("-"), F.substring(t, 6, 2),
+                                                       F.lit("-01"))).otherwise(F.substring(t, 1, 10))
+    return F.trunc(month.try_cast("date"), "month")
+
+
+def typed(df: DataFrame, source: str, indicator: Column, region: Column, raw_period: Column, measure: Column,
+          raw_value: Column, detail: Column | None = None, decimal_comma: bool = False) -> DataFrame:
+    """Observations on the tidy contract with ``detail`` (what tells apart the
+    observations of one key), the landed texts, ``rejects`` (column, raw,
+    target), ``rounded`` (more than four decimals) and ``status``."""
+    raw = cleanse_text(raw_value)
+    wide = parse_as(raw, "decimal(38,18)", decimal_comma=decimal_comma)
+    df = df.select(
+        F.lit(source).alias("source"), indicator.cast("string").alias("indicator"),
+        region.cast("string").alias("region"), month_from_text(raw_period).alias("period"),
+        measure.cast("string").alias("measure"), wide.try_cast(VALUE_TYPE).alias("value"),
+        (detail if detail is not None else F.lit(None)).cast("string").alias("detail"),
+        raw_period.cast("string").alias("raw_period"), raw.alias("raw_value"), wide.alias("_wide"))
+
+    def failed(column: str, raw_column: str, target: str) -> Column:
+        return F.when(F.col(column).isNull(), F.struct(
+            F.lit(column).alias("column"), F.col(raw_column).alias("raw"), F.lit(target).alias("target")))
+    blank = F.col("raw_value").isNull()
+    rejects = F.filter(F.array(failed("value", "raw_value", VALUE_TYPE), failed("period", "raw_period", "month")),
+                       lambda x: x.isNotNull())
+    df = df.withColumn("rejects", F.when(~blank, rejects))
+    return df.withColumn("rounded", F.coalesce(F.col("value") != F.col("_wide"), F.lit(False))).withColumn(
+        "status", F.when(blank, F.lit("blank")).when(F.size("rejects") > 0, F.lit("reject"))
+        .otherwise(F.lit("ok"))).drop("_wide")
+
+
+def tidy_rows(observations: DataFrame) -> DataFrame:
+    """The accepted observations on the tidy contract."""
+    return observations.where(F.col("status") == "ok").select(*TIDY_KEY, "value")
+
+
+def reject_rows(observations: DataFrame) -> DataFrame:
+    """One row per text that failed: the observation's key texts, column, raw, target."""
+    return observations.where(F.col("status") == "reject").select(
+        "source", "indicator", "region", "measure", "detail", "raw_period", F.explode("rejects").alias("r")).select(
+        "source", "indicator", "region", "measure", "detail", "raw_period", "r.*")
+
+
+def silver_energy(bronze: DataFrame) -> DataFrame:
+    """Energy Bronze -> one observation per point and measure (``value`` and
+    ``percentage``)."""
+    long = bronze.select("series_type", "geo_name", "datetime", F.explode(F.array(
+        F.struct(F.lit("value").alias("measure"), F.col("value").alias("raw")),
+        F.struct(F.lit("percentage").alias("measure"), F.col("percentage").alias("raw")))).alias("m"))
+    return typed(long, "energy", F.col("series_type"), F.col("geo_name"), F.col("datetime"), F.col("m.measure"),
+                 F.col("m.raw"))
 
 
 def silver_delimited(bronze: DataFrame, source: str, region_col: str, indicator_col: str,
                      period_col: str, value_col: str, measure: str = "index",
-                     decimal_comma: bool = True, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Delimited Bronze (IPI/IPC) -> tidy.  Names of the four columns come
-    from configuration since headers differ per publication."""
-    raw = cleanse_text(F.col(f"`{value_col}`"))
-    df = bronze.select(F.col(f"`{region_col}`").alias("_region"), F.col(f"`{indicator_col}`").alias("_ind"),
-                       F.col(f"`{period_col}`").alias("_period"), raw.alias("raw"), *[F.col(c) for c in keep],
-                       parse_as(raw, VALUE_TYPE, decimal_comma=decimal_comma).alias("parsed"))
-    good, rejects = _split(df, "raw", "parsed", ["_region", "_ind", "_period"])
-    out = tidy(good, source, cleanse_text("_ind"), cleanse_text("_region"), month_from_text(F.col("_period")),
-               measure, F.col("parsed"), keep)
-    return out, rejects
+                     decimal_comma: bool = True) -> DataFrame:
+    """Delimited Bronze (IPI/IPC) -> one observation per row.  Names of the
+    four columns come from configuration since headers differ per publication."""
+    return typed(bronze, source, cleanse_text(F.col(f"`{indicator_col}`")), cleanse_text(F.col(f"`{region_col}`")),
+                 F.col(f"`{period_col}`"), F.lit(measure), F.col(f"`{value_col}`"), decimal_comma=decimal_comma)
 
 
 def crosstab_cells(cells: DataFrame, header_rows: DataFrame, label_col: int = 1) -> DataFrame:
     """Workbook cells below the header, each with its row label (the text in
-    ``label_col`` of the same row) and its column header name."""
+    ``label_col`` of the same row) and its column header name.  Cells read
+    back from a grid bring their ``label``; others are joined to it."""
     labeled = label_cells(cells, header_rows)
+    if "label" in cells.columns:
+        return labeled.where(F.col("col_idx") != label_col)
     labels = cells.where(F.col("col_idx") == label_col).select(
         "file", "sheet", "row_idx", F.col("text").alias("label"))
     return (labeled.where(F.col("col_idx") != label_col)
@@ -77,35 +102,31 @@ def crosstab_cells(cells: DataFrame, header_rows: DataFrame, label_col: int = 1)
 
 
 def silver_tax(cells: DataFrame, header_rows: DataFrame, delegation_map: DataFrame,
-               period: str, label_col: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tax crosstab -> tidy; delegations mapped to regions (unmapped ones
-    keep the row with region ``UNMAPPED`` and are also reported)."""
-    x = crosstab_cells(cells, header_rows, label_col)
-    x = x.withColumn("raw", cleanse_text("text")).withColumn("parsed", parse_as(F.col("raw"), VALUE_TYPE))
-    good, rejects = _split(x, "raw", "parsed", ["file", "row_idx", "col_idx", "label", "header"])
-    mapped = map_values(good.withColumn("delegation", cleanse_text("label")), delegation_map, "delegation", "region")
-    out = tidy(mapped, "tax", F.lit("tax_revenue"), F.coalesce(F.col("region"), F.lit("UNMAPPED")),
-               F.lit(period), F.col("header"), F.col("parsed"))
+               periods: str | dict[str, str], label_col: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Tax crosstab -> observations per delegation (``detail``), and the
+    delegations without a region, whose observations stay under ``UNMAPPED``.
+
+    ``periods``: the month that a workbook reports, one for all or by file."""
+    x = crosstab_cells(cells, header_rows, label_col).withColumn("delegation", cleanse_text("label"))
+    mapped = map_values(x, delegation_map, "delegation", "region")
+    if isinstance(periods, str):
+        period = F.lit(periods)
+    else:
+        by_file = F.create_map(*[F.lit(v) for kv in periods.items() for v in kv])
+        period = F.coalesce(F.try_element_at(by_file, F.col("file")), F.raise_error(
+            F.concat(F.lit("workbook without a period: "), F.col("file"))).cast("string"))
+    out = typed(mapped, "tax", F.lit("tax_revenue"), F.coalesce(F.col("region"), F.lit(UNMAPPED)), period,
+                F.col("header"), F.col("text"), F.col("delegation"))
     unmapped = mapped.where(F.col("region").isNull()).groupBy("delegation").agg(F.count(F.lit(1)).alias("n_rows"))
-    return out, rejects, unmapped
+    return out, unmapped
 
 
 def silver_construction(cells: DataFrame, header_rows: DataFrame, label_col: int = 1,
-                        region: str = "ES") -> tuple[DataFrame, DataFrame]:
+                        region: str = "ES") -> DataFrame:
     """Construction workbooks (first and continuation files of each agent)
-    -> tidy.  The row label is the period; each header is a measure; the
-    indicator is the contracting agent.  First and continuation files become
-    one series by plain union of their tidy rows."""
+    -> observations.  The row label is the period; each header is a measure;
+    the indicator is the contracting agent.  First and continuation files
+    become one series by plain union."""
     x = crosstab_cells(cells, header_rows, label_col)
-    x = x.withColumn("raw", cleanse_text("text")).withColumn("parsed", parse_as(F.col("raw"), VALUE_TYPE))
-    good, rejects = _split(x, "raw", "parsed", ["file", "row_idx", "col_idx", "label", "header"])
-    out = tidy(good, "construction", F.col("contracting_agent"), region, month_from_text(F.col("label")),
-               F.col("header"), F.col("parsed"))
-    return out, rejects
-
-
-def latest_observations(tidy_rows: DataFrame, order_col: str = "_ingestion_timestamp") -> DataFrame:
-    """One value per tidy key; with a load stamp the newest load wins."""
-    if order_col in tidy_rows.columns:
-        return dedup_latest(tidy_rows, TIDY_KEY, [order_col]).drop(order_col)
-    return dedup_latest(tidy_rows, TIDY_KEY, ["value"])
+    return typed(x, "construction", F.col("contracting_agent"), F.lit(region), F.col("label"), F.col("header"),
+                 F.col("text"), F.col("file"))

@@ -24,6 +24,8 @@ ENGINE_CONF = {
     # size shuffle partitions by data volume (advisory 64 MB), not by core count
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a partition value is the text that was written ('001' stays '001')
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -91,8 +93,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is used as is.  Only when nothing is configured (tests, a laptop)
-    a fresh local folder is created.
+    reach; it is used as is.  Only when nothing is configured and the master is
+    local (tests, a laptop) a fresh local folder is created; on a cluster that
+    would be another folder on every machine, so it fails instead.
     """
     try:
         sc = spark.sparkContext
@@ -100,6 +103,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if sc is not None and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="indicata-ckpt-")
     if sc is None:
         return current

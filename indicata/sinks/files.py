@@ -27,7 +27,9 @@ def write_snapshot(df: DataFrame, path: str, per_file_col: str | None = None) ->
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A written snapshot with the columns of all its files (outputs of
+    different runs may be of different width)."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -53,11 +55,3 @@ def materialize_all(frames: dict[str, DataFrame], max_parallel: int = 8) -> dict
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(frames)))) as pool:
         futures = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
         return {name: f.result() for name, f in futures.items()}
-
-
-def publish_upsert(spark: SparkSession, merged: DataFrame, versions_root: str, version: str) -> str:
-    """Write a merged table to ``versions_root/version`` (a new location) and
-    return it; callers switch readers to the returned path afterwards."""
-    path = f"{versions_root.rstrip('/')}/{version}"
-    merged.write.mode("errorifexists").parquet(path)
-    return path

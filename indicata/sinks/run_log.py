@@ -30,10 +30,12 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that is filled when ``df`` is written."""
+def observed(df: DataFrame, name: str, metrics: dict | None = None) -> tuple[DataFrame, Observation]:
+    """Attach a row counter (``rows``) and more aggregates (name -> column)
+    that are filled when ``df`` is written."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    more = [v.alias(k) for k, v in (metrics or {}).items()]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *more), obs
 
 
 class StepLogger:
@@ -59,6 +61,6 @@ class StepLogger:
             yield info
         except Exception as exc:
             self.event(name, "failure", info.get("rows_in"), info.get("rows_out"),
-                       f"{type(exc).__name__}: {exc}"[:1000])
+                       f"{type(exc).__name__}: {exc}")
             raise
         self.event(name, "success", info.get("rows_in"), info.get("rows_out"))

@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.operators.joins import checked_broadcast
-
 HEADER_SEP = " / "
 
 
@@ -38,18 +36,23 @@ def to_grid(cells: DataFrame, width: int | None = None, keys: tuple[str, ...] =
             text: str = "text") -> DataFrame:
     """Padded string grid: ``keys…, row_idx, col_01…col_NN``.
 
-    Rows without any cell survive through a spine ``1..max(row_idx)`` per
-    sheet; missing cells are ``''``.  Cells are packed per row into a map
-    (a row holds at most ``width`` cells), then spread into columns.
+    Rows without any cell survive; missing cells are ``''``.  Cells are packed
+    per row into a map (a row holds at most ``width`` cells), then spread into
+    columns.
     """
     keys = list(keys)
     width = width if width is not None else sheet_width(cells)
     rows = cells.groupBy(*keys, "row_idx").agg(
         F.map_from_entries(F.collect_list(F.struct("col_idx", text))).alias("_cells"),
         F.max("col_idx").alias("_max_col"))
-    spine = (cells.groupBy(*keys).agg(F.max("row_idx").alias("_n"))
-             .select(*keys, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("row_idx")))
-    grid = spine.join(rows, [*keys, "row_idx"], "left")
+    # each packed row also brings the blank rows between its predecessor and
+    # itself, so neither a second pass nor one array per sheet is needed
+    before = F.lag("row_idx", 1, 0).over(Window.partitionBy(*keys).orderBy("row_idx"))
+    rows = rows.withColumn("_from", before + 1)
+    rows = rows.withColumn("_at", F.explode(F.sequence(F.col("_from"), F.col("row_idx"))))
+    own = F.col("_at") == F.col("row_idx")
+    grid = rows.select(*keys, F.col("_at").alias("row_idx"), F.when(own, F.col("_cells")).alias("_cells"),
+                       F.when(own, F.col("_max_col")).alias("_max_col"))
     cols = [F.coalesce(F.element_at(F.col("_cells"), F.lit(i)), F.lit("")).alias(name)
             for i, name in enumerate(column_names(width), 1)]
     # a cell beyond the given width fails the job rather than vanishing; the
@@ -67,22 +70,33 @@ def grid_shape(cells: DataFrame, keys: tuple[str, ...] = ("file", "sheet")) -> D
         F.count(F.lit(1)).alias("n_cells"))
 
 
+def with_header_count(cells: DataFrame, header_rows: DataFrame,
+                      keys: tuple[str, ...] = ("file", "sheet")) -> DataFrame:
+    """Cells with the number of header rows of their sheet; a sheet that has
+    no entry fails the job."""
+    joined = cells.join(header_rows.select(*keys, "header_rows"), list(keys), "left")
+    missing = F.raise_error(F.concat(F.lit("sheet without header row entry: "),
+                                     F.concat_ws("/", *keys))).cast("int")
+    return joined.withColumn("header_rows", F.coalesce(F.col("header_rows"), missing))
+
+
 def with_blank_cells(cells: DataFrame, header_rows: DataFrame, keys: tuple[str, ...] = ("file", "sheet"),
                      text: str = "text") -> DataFrame:
     """Header cells of every position ``1..width`` (absent ones ``''``).
 
     ``header_rows``: ``keys…, header_rows`` (rows 1..n of a sheet are header).
-    Only header-row cells take part: the cell table is cut to them through
-    a broadcast of the (one row per sheet) header counts before any shuffle.
+    Only header-row cells take part.  A sheet without an entry in
+    ``header_rows`` fails the job: its cells must not vanish.
     """
     keys = list(keys)
-    hr = checked_broadcast(header_rows.select(*keys, "header_rows"))
+    hr = header_rows.select(*keys, "header_rows")
+    cells = with_header_count(cells, header_rows, tuple(keys))
     widths = cells.groupBy(*keys).agg(F.max("col_idx").alias("_w"))
     positions = (widths.join(hr, keys)
                  .select(*keys, F.explode(F.sequence(F.lit(1), F.col("header_rows"))).alias("row_idx"),
                          F.col("_w"))
                  .select(*keys, "row_idx", F.explode(F.sequence(F.lit(1), F.col("_w"))).alias("col_idx")))
-    head = (cells.join(hr, keys).where(F.col("row_idx") <= F.col("header_rows"))
+    head = (cells.where(F.col("row_idx") <= F.col("header_rows"))
             .select(*keys, "row_idx", "col_idx", text))
     return positions.join(head, [*keys, "row_idx", "col_idx"], "left") \
         .withColumn(text, F.coalesce(F.col(text), F.lit("")))
@@ -123,7 +137,7 @@ def label_cells(cells: DataFrame, header_rows: DataFrame, keys: tuple[str, ...]
     keys = list(keys)
     hdr = materialize(header_names(fill_headers(with_blank_cells(cells, header_rows, tuple(keys), text),
                                                 tuple(keys), text), tuple(keys)), "header_names")
-    data = cells.join(checked_broadcast(header_rows), keys) \
+    data = with_header_count(cells, header_rows, tuple(keys)) \
         .where(F.col("row_idx") > F.col("header_rows")).drop("header_rows")
     return data.join(hdr, [*keys, "col_idx"], "left")
 

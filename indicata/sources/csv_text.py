@@ -8,18 +8,23 @@ Spark's CSV reader differs in four ways, handled here:
 
 * empty and quoted-empty fields come back NULL -> ``coalesce(c, '')``;
 * doubled quotes need ``escape='"'``; quoted newlines need ``multiLine``
-  (which makes each file one task, so it is an option, on by default);
-* a row longer than the header is silently cut -> the schema carries one
-  sentinel column ``_extra``: a non-NULL ``_extra`` marks an overlong row,
-  which is quarantined, never cut.  Short rows are padded with ``''``;
+  (which makes each file one task, so it is an option, off by default);
+* a row longer than the header is silently cut -> rows whose number of fields
+  differs come with their raw record (``_record``); those with more fields,
+  empty ones included, are quarantined with the whole record.  Short rows are
+  padded with ``''``;
 * repeated header names become ``Total, Total.1`` (pandas style) because the
-  schema is built from the header line itself, and the BOM is removed from it.
+  schema is built from the header line itself, and the BOM is removed from it;
+* one schema is laid over all files of a folder -> files are grouped by their
+  header line first, each group is read by its own header, and the groups are
+  united by name (``''`` where a file lacks a column).
 """
 
 from __future__ import annotations
 
 import csv
 import io
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +32,7 @@ from pyspark.sql import types as T
 
 from indicata.functions.text import file_name
 
-EXTRA_COL = "_extra"
+RECORD_COL = "_record"
 BOM = "﻿"
 
 
@@ -58,36 +63,92 @@ def first_line(spark: SparkSession, path: str) -> str:
     return row[0]
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8",
-                   multiline: bool = True, names: list[str] | None = None) -> DataFrame:
-    """All-string frame: header columns (``''`` for missing), ``_extra``
-    (non-NULL for overlong rows) and ``_source_path`` (full file path)."""
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Header line -> files that start with it.  One pass over the text, as
+    little as one row per file reaches the driver (as the file listing does)."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    heads = lines.where(F.col("start") == 0).withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(
+        F.min_by("value", "n").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in heads.collect():
+        groups.setdefault(row.header.lstrip(BOM), []).append(row.file)
+    return groups
+
+
+def data_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in (RECORD_COL, "_source_path")]
+
+
+def read_delimited(spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "UTF-8",
+                   multiline: bool = False, names: list[str] | None = None) -> DataFrame:
+    """All-string frame of files that share one header: header columns (``''``
+    for missing), ``_record`` (the whole raw record of a row with more fields
+    than the header, else NULL) and ``_source_path`` (full file path).
+
+    A file whose header differs from the names fails the job (see
+    ``read_delimited_files`` for folders with several headers).  ``multiline``
+    allows quoted line breaks, but makes each file one task."""
+    fixed = names is None
     names = names or header_names(first_line(spark, path), sep)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField(EXTRA_COL, T.StringType())])
-    raw = (spark.read.schema(schema)
-           .option("sep", sep).option("header", True).option("encoding", encoding)
-           .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-           .option("mode", "PERMISSIVE").option("enforceSchema", True)
-           .csv(path))
+                          + [T.StructField(RECORD_COL, T.StringType())])
+    return _padded(_csv(spark.read, sep, encoding, multiline)
+                   # repeated names differ from the header's on purpose; then they aren't compared
+                   .option("enforceSchema", not (fixed and len(set(names)) == len(names)
+                                                 and ".1" not in "".join(names)))
+                   .schema(schema).csv(path), names, sep)
+
+
+def _csv(reader, sep: str, encoding: str, multiline: bool):
+    """The options of every delimited read, batch or stream."""
+    return (reader.option("sep", sep).option("header", True).option("encoding", encoding)
+            .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD_COL)
+            .option("columnPruning", False))
+
+
+def _padded(raw: DataFrame, names: list[str], sep: str) -> DataFrame:
+    """Missing fields as ``''``; the raw record only of rows with more fields than names."""
+    record = F.regexp_replace(F.col(RECORD_COL), r'"(?:[^"]|"")*"', "")
+    fields = F.length(record) - F.length(F.replace(record, F.lit(sep), F.lit(""))) + 1
     return raw.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],
-                      F.col(EXTRA_COL), F.col("_metadata.file_path").alias("_source_path"))
+                      # (the first field takes part since Spark refuses to read the raw record alone)
+                      F.when((fields > len(names)) | (F.length(F.col(f"`{names[0]}`")) < 0),
+                             F.col(RECORD_COL)).alias(RECORD_COL),
+                      F.col("_metadata.file_path").alias("_source_path"))
+
+
+def read_delimited_files(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8",
+                         multiline: bool = False) -> DataFrame:
+    """``read_delimited`` for a landing folder whose files have headers of
+    their own: values go by column name, in the order in which names first
+    occur; a column that a file lacks is ``''``."""
+    groups = sorted(files_by_header(spark, path).items(), key=lambda x: min(x[1]))
+    if not groups:
+        raise ValueError(f"no data under {path}")
+    parts = [read_delimited(spark, files, sep, encoding, multiline, header_names(line, sep))
+             for line, files in groups]
+    names = list(dict.fromkeys(n for p in parts for n in data_columns(p)))
+    parts = [p.select(*[F.col(f"`{n}`") if n in p.columns else F.lit("").alias(n) for n in names],
+                      RECORD_COL, "_source_path") for p in parts]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def overlong_rows(df: DataFrame) -> DataFrame:
-    """Rows with more fields than the header (quarantine)."""
-    return df.where(F.col(EXTRA_COL).isNotNull())
+    """Rows with more fields than the header, as landed (quarantine)."""
+    return df.where(F.col(RECORD_COL).isNotNull()).select(RECORD_COL, "_source_path")
 
 
 def well_formed(df: DataFrame) -> DataFrame:
-    return df.where(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
+    return df.where(F.col(RECORD_COL).isNull()).drop(RECORD_COL)
 
 
 def bronze_from_delimited(df: DataFrame, run_ts: str | Column) -> DataFrame:
     """Bronze lineage on a ``read_delimited`` frame: ``_ingestion_timestamp``
     (one stamp per run) and ``_source_file`` (file name)."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
-    data = [c for c in df.columns if c not in (EXTRA_COL, "_source_path")]
+    data = data_columns(df)
     return df.select(*[F.col(f"`{c}`") for c in data], ts.alias("_ingestion_timestamp"),
                      file_name(F.col("_source_path")).alias("_source_file"))
 

@@ -38,8 +38,7 @@ def parse_documents(payloads: DataFrame, body: str = "body", context: list[str]
     """Flatten documents to ``context…, series_type, datetime, value,
     percentage`` (all strings).
 
-    ``strict=False`` drops malformed documents instead of failing; pair it
-    with ``malformed_documents`` to report them.
+    ``strict=False`` leaves malformed documents out instead of failing.
     """
     context = context or []
     # The strictness check references the parsed document several times in
@@ -64,11 +63,6 @@ def parse_documents(payloads: DataFrame, body: str = "body", context: list[str]
                          json_number_text("p.percentage").alias("percentage"))
 
 
-def malformed_documents(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """Requests whose body is not a document with ``included``."""
-    doc = F.from_json(F.col(body), DOCUMENT)
-    return payloads.where(doc.isNull() | doc["included"].isNull())
-
 
 def energy_bronze(points: DataFrame, run_ts: str, api_path: str,
                   geo_col: str = "geo_name") -> DataFrame:

@@ -2,7 +2,7 @@
 
 A file with no manifest row is an error (raised on the executors, no driver
 round trip).  The manifest is small by nature (one row per landed file) and is
-broadcast after a row-count check.
+left to the planner's broadcast.
 """
 
 from __future__ import annotations
@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.operators.joins import checked_broadcast
-
 
 def tag_with_manifest(df: DataFrame, manifest: DataFrame, file_col: str,
                       manifest_key: str = "file_id", strict: bool = True) -> DataFrame:
     """Left join rows to their manifest entry on the file name."""
-    m = checked_broadcast(manifest.withColumn("_known", F.lit(True)))
+    m = manifest.withColumn("_known", F.lit(True))
     j = df.join(m, df[file_col] == m[manifest_key], "left")
     if strict:
         j = j.withColumn("_known", F.when(
@@ -25,10 +23,3 @@ def tag_with_manifest(df: DataFrame, manifest: DataFrame, file_col: str,
         ).otherwise(F.col("_known")))
         j = j.where(F.col("_known"))
     return j.drop("_known", manifest_key) if manifest_key != file_col else j.drop("_known")
-
-
-def unknown_files(df: DataFrame, manifest: DataFrame, file_col: str,
-                  manifest_key: str = "file_id") -> DataFrame:
-    """Files present in the data but missing from the manifest."""
-    m = checked_broadcast(manifest.select(F.col(manifest_key).alias(file_col)).distinct())
-    return df.select(file_col).distinct().join(m, file_col, "left_anti")

@@ -8,7 +8,7 @@ batches.  Many workbooks decode in parallel; nothing passes through the driver.
 Per cell: ``file, sheet, sheet_idx, row_idx, col_idx, ctype, raw`` where
 ``ctype`` is ``s`` (text: shared, inline or formula string), ``n`` (number),
 ``d`` (number in a date format; ``raw`` is the day serial; ``d1904`` in a
-workbook using the 1904 date system), ``b`` (boolean ``1``/``0``) or ``e``
+workbook using the 1904 date system), ``t`` (a duration in days), ``b`` (boolean ``1``/``0``) or ``e``
 (error text), and ``raw`` is the cached value as stored.
 Formulas contribute their cached value.  Empty cells are not emitted; the
 grid builder restores them.
@@ -36,7 +36,10 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 
 # Built-in number formats that display dates or times.
-BUILTIN_DATE_FORMATS = frozenset(list(range(14, 23)) + list(range(45, 48)))
+BUILTIN_DATE_FORMATS = frozenset([*range(14, 23), 45, 47])
+# Fixed value: the built-in format of elapsed time.
+BUILTIN_DURATION_FORMAT = 46
+_ELAPSED = re.compile(r"\[(h+|m+|s+)\]", re.IGNORECASE)
 _DATE_TOKEN = re.compile(r"[dmyhs]", re.IGNORECASE)
 _REF = re.compile(r"^([A-Z]+)([0-9]+)$")
 
@@ -90,18 +93,21 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return [_text_of(si) for si in root.iter(f"{_MAIN}si")]
 
 
-def _date_styles(z: zipfile.ZipFile) -> set[int]:
+def _date_styles(z: zipfile.ZipFile) -> dict[int, str]:
+    """Cell styles that show a number as a date (``d``) or a duration (``t``)."""
     if "xl/styles.xml" not in z.namelist():
-        return set()
+        return {}
     root = ET.fromstring(z.read("xl/styles.xml"))
     custom = {int(f.get("numFmtId")): f.get("formatCode") or ""
               for f in root.iter(f"{_MAIN}numFmt")}
     xfs = root.find(f"{_MAIN}cellXfs")
-    out = set()
+    out = {}
     for i, xf in enumerate(xfs if xfs is not None else []):
         fid = int(xf.get("numFmtId", 0))
-        if fid in BUILTIN_DATE_FORMATS or (fid in custom and _is_date_code(custom[fid])):
-            out.add(i)
+        if fid == BUILTIN_DURATION_FORMAT or _ELAPSED.search(custom.get(fid, "")):
+            out[i] = "t"
+        elif fid in BUILTIN_DATE_FORMATS or (fid in custom and _is_date_code(custom[fid])):
+            out[i] = "d"
     return out
 
 
@@ -146,7 +152,8 @@ def decode_xlsx(content: bytes, file: str, sheet: str | None = None,
                     elif t in ("b", "e"):
                         ctype = t
                     else:
-                        ctype = date_type if int(elem.get("s", 0)) in dates else "n"
+                        kind = dates.get(int(elem.get("s", 0)), "n")
+                        ctype = date_type if kind == "d" else kind
                     pending.append((_col_number(m.group(1)) if m else None,
                                     int(m.group(2)) if m else None, ctype, raw))
                     elem.clear()

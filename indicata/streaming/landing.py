@@ -10,30 +10,37 @@ resumes from the checkpoint without duplicating files.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from indicata.functions.text import file_name
-from indicata.sources.csv_text import EXTRA_COL, first_line, header_names
+from indicata.sources.csv_text import RECORD_COL, _csv, _padded, first_line, header_names
 
 
 def start_landing(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                  sep: str = ";", header_line: str | None = None,
-                  run_ts_col: str = "_ingestion_timestamp") -> StreamingQuery:
-    """Start an ``availableNow`` stream from ``landing`` into Parquet ``target``."""
+                  sep: str = ";", header_line: str | None = None, run_ts_col: str = "_ingestion_timestamp",
+                  multiline: bool = False) -> StreamingQuery:
+    """Start an ``availableNow`` stream from ``landing`` into the Parquet tables
+    ``target`` (Bronze) and ``target + "_quarantine"`` (whole records of rows
+    with more fields than the header).
+
+    Both tables are written per micro-batch under its number, so a batch that
+    is repeated after a failure overwrites its own files."""
     names = header_names(header_line or first_line(spark, landing), sep)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField(EXTRA_COL, T.StringType())])
-    stream = (spark.readStream.schema(schema)
-              .option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-              .option("multiLine", True).option("encoding", "UTF-8")
-              .csv(landing))
-    rows = stream.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],
-                         F.col(EXTRA_COL),
-                         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias(run_ts_col),
-                         file_name(F.col("_metadata.file_path")).alias("_source_file"))
-    return (rows.writeStream.format("parquet").option("path", target)
-            .option("checkpointLocation", checkpoint).outputMode("append")
+                          + [T.StructField(RECORD_COL, T.StringType())])
+    rows = _padded(_csv(spark.readStream, sep, "UTF-8", multiline).schema(schema).csv(landing), names, sep)
+    stamped = rows.select(*[F.col(f"`{n}`") for n in names], RECORD_COL, F.date_format(
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias(run_ts_col),
+        file_name(F.col("_source_path")).alias("_source_file"))
+
+    def store(batch: DataFrame, number: int) -> None:
+        for part, path in ((batch.where(F.col(RECORD_COL).isNull()).drop(RECORD_COL), target),
+                           (batch.where(F.col(RECORD_COL).isNotNull()).select(RECORD_COL, run_ts_col, "_source_file"),
+                            f"{target}_quarantine")):
+            part.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (stamped.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from indicata.plans.landing import xlsx_bytes
+from tests.workbooks import xlsx_bytes
 
 
 def write_xlsx(path: str, sheets: dict[str, dict[tuple[int, int], tuple]]) -> str:

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -76,10 +77,30 @@ def test_star_roundtrip_and_measures(spark):
     tidy = spark.createDataFrame(rows, "source string, indicator string, region string, period date, "
                                        "measure string, value decimal(18,4)")
     regions = spark.createDataFrame([("ASIA",), ("EUROPE",)], "region string")
-    star = build_star(tidy, regions)
+    star = build_star(tidy, regions, measures={"m": ("unit", True)})
     assert star.fact.count() == 4
     assert star.fact.where(F.col("region_key") == UNKNOWN_KEY).count() == 1
     got = sorted((r.region, str(r.period), float(r.value)) for r in star_by_region_month(star, "orders", "m").collect())
     assert got == [("ASIA", "2024-01-01", 5.0), ("EUROPE", "2024-01-01", 10.0), ("UNKNOWN", "2024-02-01", 7.0)]
-    m = derive_measures(tidy).where("region = 'ASIA' and source = 'orders'").first()
+    m = derive_measures(tidy, star.dim_measure).where("region = 'ASIA' and source = 'orders'").first()
     assert float(m.ytd) == 5.0 and m.yoy is None
+    with pytest.raises(Exception, match="no unit known for measure m"):
+        build_star(tidy, regions)
+
+
+def test_dimension_attributes(spark):
+    rows = [("energy", "demand", r, dt.date(2024, m, 1), k, Decimal(v)) for r, m, k, v in (
+        ("Madrid", 1, "value", 10), ("Madrid", 2, "value", 30), (None, 1, "index", 5), ("Madrid", 1, "index", 10),
+        ("Madrid", 2, "index", 30))]
+    tidy = spark.createDataFrame(rows, "source string, indicator string, region string, period date, "
+                                       "measure string, value decimal(18,4)")
+    star = build_star(tidy, tidy.select("region"), parents={"Madrid": "Espana"}, indicators={"demand": ("D1", "Demand")})
+    assert {r.measure: (r.unit, r.additive) for r in star.dim_measure.where("measure_key > 0").collect()} == {
+        "value": ("MWh", True), "index": ("index points", False)}
+    assert {(r.region, r.parent) for r in star.dim_region.collect()} == {("Madrid", "Espana"), ("UNKNOWN", "UNKNOWN")}
+    named = star.dim_indicator.where("indicator = 'demand'").first()
+    assert (named.code, named.name) == ("D1", "Demand")
+    assert star.fact.where("region_key = -1").count() == 1      # a NULL region is the unknown member
+    ytd = {(r.measure, r.period.month): float(r.ytd) for r in derive_measures(tidy, star.dim_measure).where(
+        "region = 'Madrid'").collect()}
+    assert ytd == {("value", 1): 10, ("value", 2): 40, ("index", 1): 10, ("index", 2): 20}

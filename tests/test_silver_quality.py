@@ -9,7 +9,7 @@ from indicata.operators.quality import (column_profile, count_check, log_audit,
 from indicata.operators.silver import (apply_scope, cleanse_text, consolidate, dedup_exact, dedup_latest,
                                        enforce_types, map_values, reject_rows, typed_rows, unmapped,
                                        unpivot_measures, verify_types)
-from indicata.plans.silver import month_from_text, silver_energy
+from indicata.plans.silver import month_from_text, reject_rows as energy_rejects, silver_energy, tidy_rows
 
 
 def test_enforce_types_and_rejects(spark):
@@ -119,7 +119,9 @@ def test_silver_energy_contract(spark):
                                ("Demanda", "Madrid", "2014-02-01T00:00:00.000+01:00", "abc", None, "ts")],
                               "series_type string, geo_name string, datetime string, value string, "
                               "percentage string, _ingestion_timestamp string")
-    tidy, rejects = silver_energy(b)
+    seen = silver_energy(b)
+    tidy, rejects = tidy_rows(seen), energy_rejects(seen)
+    assert seen.count() == 4 and seen.where("status = 'blank'").count() == 1
     assert tidy.columns == ["source", "indicator", "region", "period", "measure", "value"]
     assert tidy.schema["value"].dataType.simpleString() == "decimal(18,4)"
     assert sorted((str(r.period), r.measure, str(r.value)) for r in tidy.collect()) == [
@@ -127,28 +129,40 @@ def test_silver_energy_contract(spark):
     assert [r.raw for r in rejects.collect()] == ["abc"]
 
 
-def test_latest_observation_newest_load_wins(spark):
-    from decimal import Decimal
+def test_number_grammar_and_periods(spark):
+    from indicata.operators.silver import parse_as
 
-    from indicata.plans.silver import latest_observations
+    rows = [("1.234,5", "1234.5000"), ("1234,5", "1234.5000"), ("1234.56", None), ("1.23.4", None), ("12.345.678", "12345678.0000"),
+            ("-0,5", "-0.5000"), ("1,2,3", None), ("7", "7.0000")]
+    df = spark.createDataFrame([(t,) for t, _ in rows], "t string")
+    got = {r.t: r.v and str(r.v) for r in df.select("t", parse_as(F.col("t"), "decimal(18,4)", True).alias("v")).collect()}
+    assert got == dict(rows)
+    months = spark.createDataFrame([("2024M13",), ("n/d",), (None,), ("2024M12",)], "t string")
+    assert [r.m and r.m.isoformat() for r in months.select(month_from_text(F.col("t")).alias("m")).collect()] == [
+        None, None, None, "2024-12-01"]
 
-    rows = [("ipi", "i", "r", dt.date(2024, 1, 1), "index", Decimal("1"), "2024-01-01T00:00:00+00:00"),
-            ("ipi", "i", "r", dt.date(2024, 1, 1), "index", Decimal("2"), "2024-02-01T00:00:00+00:00"),
-            ("ipi", "i", "r", dt.date(2024, 2, 1), "index", Decimal("5"), "2024-01-01T00:00:00+00:00")]
-    df = spark.createDataFrame(rows, "source string, indicator string, region string, period date, "
-                                     "measure string, value decimal(18,4), _ingestion_timestamp string")
-    got = sorted((str(r.period), str(r.value)) for r in latest_observations(df).collect())
-    assert got == [("2024-01-01", "2.0000"), ("2024-02-01", "5.0000")]
-    assert latest_observations(df).columns == ["source", "indicator", "region", "period", "measure", "value"]
 
+def test_null_keys(spark):
+    a = spark.createDataFrame([(None, 1), (1, 2)], "k int, v int")
+    assert reconcile_diff(a, a, ["k"]).count() == 0
+    totals = totals_vs_expected(a, a, ["k"], ["v"]).collect()
+    assert sorted((r.k or 0, r.status) for r in totals) == [(0, "OK"), (1, "OK")]
+    new = spark.createDataFrame([(None, 9), (3, 3)], "k int, v int")
+    assert sorted((r.k or 0, r.v) for r in upsert(a, new, ["k"]).collect()) == [(0, 9), (1, 2), (3, 3)]
 
-def test_checked_broadcast_respects_its_bound(spark):
-    from indicata.operators.joins import checked_broadcast
 
-    small = spark.range(10)
-    assert "broadcast" in checked_broadcast(small, 100)._jdf.queryExecution().analyzed().toString().lower()
-    over = checked_broadcast(small, 5)
-    assert "broadcast" not in over._jdf.queryExecution().analyzed().toString().lower()
+def test_upsert_of_one_key_twice_fails(spark):
+    import pytest
+
+    a = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(Exception, match="several updates of one key"):
+        upsert(a, a.union(a), ["k"]).collect()
+
+
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    got = sorted((r.column_name, r.n_rows, r.n_distinct) for r in column_profile(df).collect())
+    assert got == [("a", 0, 0), ("b", 0, 0)]
 
 
 def test_scope_values(spark, sf_small):

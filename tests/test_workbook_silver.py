@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from indicata.plans.bronze import bronze_construction
-from indicata.plans.silver import silver_construction, silver_tax
+from indicata.plans.silver import reject_rows, silver_construction, silver_tax, tidy_rows
 from indicata.sources.manifest import tag_with_manifest
 from indicata.sources.workbook import legacy_text, read_xlsx_cells, xlsx_text
 
@@ -18,7 +18,8 @@ def test_silver_tax_from_crosstab(spark, tmp_path):
     hdr = spark.createDataFrame([("tax.xlsx", "datos_delegaciones", 2)], "file string, sheet string, header_rows int")
     dmap = spark.createDataFrame([("Madrid", "Comunidad de Madrid"), ("Barcelona", "Cataluña")],
                                  "delegation string, region string")
-    tidy, rejects, unmapped = silver_tax(cells, hdr, dmap, "2024-03-01")
+    seen, unmapped = silver_tax(cells, hdr, dmap, "2024-03-01")
+    tidy, rejects = tidy_rows(seen), reject_rows(seen)
     got = sorted((r.region, r.measure, str(r.value)) for r in tidy.collect())
     assert ("Comunidad de Madrid", "Recaudación / IRPF", "1500.0000") in got
     assert ("Comunidad de Madrid", "Devoluciones / IRPF", "500.0000") in got   # cached formula value
@@ -26,7 +27,7 @@ def test_silver_tax_from_crosstab(spark, tmp_path):
     assert ("UNMAPPED", "Recaudación / IRPF", "0.0000") in got                   # 1e-05 rounds at scale 4
     assert {r.period.isoformat() for r in tidy.collect()} == {"2024-03-01"}
     assert sorted(r.raw for r in rejects.collect()) == ["#DIV/0!", "2024-01-30 12:00:00", "True", "x"]
-    assert [(r.delegation, r.n_rows) for r in unmapped.collect()] == [("Atlantis", 2)]
+    assert [(r.delegation, r.n_rows) for r in unmapped.collect()] == [("Atlantis", 4)]   # every cell of its rows, blank and rejected ones too
 
 
 def _construction_book(path, rows):
@@ -52,7 +53,8 @@ def test_construction_first_and_continuation(spark, tmp_path):
     cells = tag_with_manifest(legacy_text(read_xlsx_cells(spark, folder, sheet_index=0)),
                               manifest.select("file_id", F.col("agent").alias("contracting_agent")), "file")
     hdr = manifest.select(F.col("file_id").alias("file"), F.lit("Hoja1").alias("sheet"), "header_rows")
-    tidy, rejects = silver_construction(cells, hdr)
+    seen = silver_construction(cells, hdr)
+    tidy, rejects = tidy_rows(seen), reject_rows(seen)
     got = sorted((str(r.period), r.measure, str(r.value)) for r in tidy.collect())
     assert got == [("2024-01-01", "Licitación / Importe", "1000.0000"), ("2024-01-01", "Licitación / Número", "3.0000"),
                    ("2024-02-01", "Licitación / Importe", "2000.5000"), ("2024-02-01", "Licitación / Número", "4.0000"),
