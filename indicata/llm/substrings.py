@@ -8,7 +8,8 @@ strings of a document with one anchor are a run; its context are the bytes they
 2. Contexts that come twice or more repeat whole: no text is needed.
 3. Where one anchor has several contexts, one copy of each is cut from the texts, and blocks of such groups are sorted
    by the two-stage suffix sort; neighbours with a common prefix of ``length`` bytes repeat.
-4. Groups with more contexts than a block holds count hashes of their single strings instead.
+4. Groups with more contexts than a block holds are cut finer: strings that lie alike to the anchor are taken in
+   pieces of 32 (then 4, then 1), grouped by the bytes that all strings of a piece share, and 2 and 3 apply again.
 
 Nothing is dropped or capped, and no group meets in one task, however many documents share a passage.
 """
@@ -16,6 +17,7 @@ Nothing is dropped or capped, and no group meets in one task, however many docum
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ SLICE = 1 << 20
 AT_ONCE, LOW = 1 << 23, 24
 #: Contexts of one anchor that are sorted together, and bytes of contexts in one suffix array.
 TOGETHER, BLOCK = 1024, 512 << 10
+#: Strings in a piece of a context, level by level; a piece of one string is compared whole by its hash.
+PIECES = (32, 4, 1)
 
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -120,20 +124,66 @@ def _repeats(group: pa.Table) -> pa.Table | None:
                      "start": pa.array(base + at[first]), "end": pa.array(base + at[last] + LENGTH)})
 
 
-def _single_strings(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Each string of a context with its hash."""
-    raw, off = utf8(batch, "bytes")
-    whole = raw.tobytes()
-    number = batch.column("n").to_numpy()
-    owner = np.repeat(np.arange(len(number)), number)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
-    at = off[owner] + nth
-    hashes = [hashlib.blake2b(whole[a:a + LENGTH], digest_size=16).digest() for a in at.tolist()]
-    take = pa.array(owner)
-    return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id").take(take), batch.column("th").take(take), batch.column("m").take(take),
-         pa.array(batch.column("start").to_numpy()[owner] + nth), pa.array(hashes, pa.binary())],
-        ["doc_id", "th", "m", "start", "string"])
+def _pieces(span: int):
+    """Contexts in pieces of up to ``span`` strings, cut at fixed places before the anchor.  The key of a piece is a
+    hash of what all strings of that place range share, wherever the context begins or ends."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw, off = utf8(batch, "bytes")
+        whole = raw.tobytes()
+        rows: list[tuple] = []
+        for i, (n, place, key) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n", "place", "key")))):
+            anchor, t = int(off[i]) + place, 0
+            while t < n:
+                part = (place - t) // span
+                count = min(n - t, place - t - part * span + 1)
+                at = int(off[i]) + t
+                core = whole[anchor - part * span:anchor - part * span - span + 1 + LENGTH]
+                digest = hashlib.blake2b(core, digest_size=8, salt=(key & (1 << 64) - 1).to_bytes(8, "little"),
+                                         person=part.to_bytes(4, "little")).digest()
+                own = whole[at:at + count + LENGTH - 1]
+                context = hashlib.blake2b(own, digest_size=8, person=(place - t).to_bytes(4, "little")).digest()
+                rows.append((i, t, count, place - t, int.from_bytes(digest, "little", signed=True),
+                             int.from_bytes(context, "little", signed=True), own))
+                t += count
+        i, t, count, place, key, context, own = zip(*rows)
+        take = pa.array(i, pa.int64())
+        start = batch.column("start").to_numpy()[list(i)] + np.array(t)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(take), batch.column("th").take(take), pa.array(start), pa.array(count, pa.int32()),
+             pa.array(place, pa.int32()), pa.array(key, pa.int64()), pa.array(context, pa.int64()),
+             batch.column("m").take(take), pa.array(own, pa.binary())],
+            ["doc_id", "th", "start", "n", "place", "key", "context", "m", "bytes"])
+
+    return run
+
+
+def _span() -> list:
+    return [F.col("start"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end")]
+
+
+def within_groups(opened: DataFrame, ids: str) -> DataFrame:
+    """Spans of the strings that another context of their group holds, of ``opened(doc_id, th, start, n, place, key, m,
+    d, bytes)``: one row for each of the ``d`` contexts of a key, with ``m`` 1 if it occurs once."""
+    spans = f"{ids}, start bigint, end bigint"
+    found = []
+    for span in (*PIECES, None):
+        found.append(map_groups(opened.where(F.col("d") <= TOGETHER).drop("d", "place"), "key", _repeats, spans,
+                                gather=BLOCK))
+        large = opened.where(F.col("d") > TOGETHER)
+        if span is None or large.isEmpty():
+            break
+        pieces = materialize(map_slices(
+            large.drop("d"), "bytes", _pieces(span), f"{ids}, start bigint, n int, place int, key bigint, "
+            "context bigint, m int, bytes binary", SLICE), "string-pieces")
+        contexts = pieces.groupBy("key", "context").agg(
+            F.sum("m").alias("all"), F.min(F.struct("doc_id", "th", "start")).alias("one"))
+        contexts = contexts.join(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("d")), "key")
+        known = materialize(pieces.join(contexts, ["key", "context"]), "string-piece-contexts")
+        found.append(known.where("all > 1 AND m = 1").select("doc_id", "th", *_span()))
+        first = F.struct("doc_id", "th", "start").eqNullSafe(F.col("one"))
+        opened = known.where(F.col("d") > 1).where(first).select(
+            "doc_id", "th", "start", "n", "place", "key", F.least("all", F.lit(2)).cast("int").alias("m"), "d", "bytes")
+    return reduce(DataFrame.unionByName, found)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -147,15 +197,14 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where("all > 1")
     found = materialize(found.join(often.select("anchor"), "anchor"), "string-anchors")
     contexts = found.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "th", "start", "n")).alias("one"))
+        F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "th", "start", "n", "place")).alias("one"))
     mixed = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
     contexts = materialize(contexts.join(mixed, "anchor", "left"), "string-contexts")
-    span = [F.col("start"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end")]
     whole = found.join(contexts.where("m > 1").select("anchor", "context"), ["anchor", "context"]).select(
-        "doc_id", "th", *span)
+        "doc_id", "th", *_span())
 
-    open_ = contexts.where("d > 1").select("one.*", "anchor", F.least("m", F.lit(2)).cast("int").alias("m"), "d")
-    wanted = open_.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "anchor", "m", "d")).alias("cuts"))
+    open_ = contexts.where("d > 1").select("one.*", F.col("anchor").alias("key"), F.least("m", F.lit(2)).cast("int").alias("m"), "d")
+    wanted = open_.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "place", "key", "m", "d")).alias("cuts"))
     texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["th"] == wanted["th"])).select(
         rows["doc_id"], rows["th"], "text", "cuts")
 
@@ -170,19 +219,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         take = pa.array(owner)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(take), batch.column("th").take(take), parts.field("start"), parts.field("n"),
-             parts.field("anchor"), parts.field("m"), parts.field("d"), pa.array(cut_bytes, pa.binary())],
-            ["doc_id", "th", "start", "n", "anchor", "m", "d", "bytes"])
+             parts.field("place"), parts.field("key"), parts.field("m"), parts.field("d"),
+             pa.array(cut_bytes, pa.binary())],
+            ["doc_id", "th", "start", "n", "place", "key", "m", "d", "bytes"])
 
-    opened = materialize(map_slices(texts, "text", cut, f"{ids}, start bigint, n int, anchor bigint, m int, d bigint, "
-                                    "bytes binary", SLICE), "string-bytes")
-    spans = f"{ids}, start bigint, end bigint"
-    sorted_ = map_groups(opened.where(F.col("d") <= TOGETHER).drop("d"), "anchor", _repeats, spans, gather=BLOCK)
-    single = map_slices(opened.where(F.col("d") > TOGETHER), "bytes", _single_strings,
-                        f"{ids}, m int, start bigint, string binary", 64 << 10)
-    twice = single.groupBy("string").agg(F.sum("m").alias("all")).where("all > 1").select("string")
-    counted = single.where("m = 1").join(twice, "string").select(
-        "doc_id", "th", "start", (F.col("start") + LENGTH).alias("end"))
-    return whole.unionByName(sorted_).unionByName(counted)
+    opened = materialize(map_slices(texts, "text", cut, f"{ids}, start bigint, n int, place int, key bigint, m int, "
+                                    "d bigint, bytes binary", SLICE), "string-bytes")
+    return whole.unionByName(within_groups(opened, ids))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
