@@ -60,8 +60,9 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int =
     return map_slices(rows, "text", run, f"doc_id {kind}, sig binary, n_shingles bigint, sketch binary")
 
 
-def _spanning(n: int, near, sides: np.ndarray | None) -> list[tuple[int, int]]:
-    """Links (root, member) that join what ``near(i)`` (a mask over all) connects; with ``sides``, only across."""
+def _spanning(n: int, near, sides: np.ndarray | None, lazy: bool = False) -> list[tuple[int, int]]:
+    """Links (root, member) that join what ``near(i)`` (a mask over all) connects; with ``sides``, only across.
+    ``lazy``: ``near`` is also told which are left, and needs to look at no others."""
     left = np.ones(n, bool)
     links = []
     for root in range(n):
@@ -71,9 +72,8 @@ def _spanning(n: int, near, sides: np.ndarray | None) -> list[tuple[int, int]]:
         queue = [root]
         while queue and left.any():
             i = queue.pop()
-            hit = near(i) & left
-            if sides is not None:
-                hit &= sides != sides[i]
+            open_ = left if sides is None else left & (sides != sides[i])
+            hit = (near(i, open_) if lazy else near(i)) & open_
             found = np.flatnonzero(hit)
             left[found] = False
             queue.extend(found.tolist())
@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     Documents are linked if ``100 * common >= percent * union`` of their sets; ``component_id`` is the smallest
     doc_id that links reach, ``kept`` marks it; ``component`` is null without links to another set.  Null, empty and
     wordless texts have an empty set and no links.  Equal rows are linked, so all rows of a kept doc_id and set are
-    marked kept (``sig`` tells equal sets).  Null ids come before all others.  An empty table gives no rows.
+    marked kept (``sig`` tells equal sets).  A null id is the smallest of a group only if there are no others.  An
+    empty table gives no rows.
     """
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     seen = materialize(sketches(rows, k=k), "sketches")
