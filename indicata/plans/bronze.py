@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.operators.bronze import width_violations
-from indicata.operators.quality import count_check, sample_rows
-from indicata.sources.jdbc import STAGING_WIDTH, read_table, write_staging
+from indicata.sources.jdbc import STAGING_WIDTH, table_count, table_sample, write_staging
 from indicata.sources.cells import to_grid
 from indicata.sources.csv_text import bronze_from_delimited, overlong_rows, read_delimited_files, well_formed
 from indicata.sources.json_docs import energy_bronze, parse_documents
 from indicata.sources.manifest import tag_with_manifest
+from indicata.sinks.files import materialize
 from indicata.sources.workbook import legacy_text, read_xlsx_cells, xlsx_text
 
 # The worksheet that holds the tax crosstab.
@@ -34,7 +34,8 @@ def bronze_delimited(spark: SparkSession, landing: str, run_ts: str, sep: str =
 
 def stage_delimited(spark: SparkSession, landing: str, run_ts: str, url: str, table: str,
                     properties: dict | None = None, key_cols: list[str] | None = None,
-                    width: int = STAGING_WIDTH, empty_as_null: bool = True) -> dict[str, DataFrame]:
+                    width: int = STAGING_WIDTH, empty_as_null: bool = True,
+                    text_type: str = "VARCHAR") -> dict[str, DataFrame]:
     """Delimited text -> Bronze -> staging table, then validated.
 
     Values wider than the staging columns are found *before* the load; if
@@ -49,10 +50,12 @@ def stage_delimited(spark: SparkSession, landing: str, run_ts: str, url: str, ta
     wide = too_wide.limit(5).collect()
     if wide:
         raise ValueError(f"values wider than {width} characters, nothing loaded: {wide}")
-    write_staging(bronze, url, table, properties, width=width, empty_as_null=empty_as_null)
-    staged = read_table(spark, url, table, properties)
-    out["count_check"] = count_check(bronze, staged)
-    out["sample"] = sample_rows(staged, keys, 5)
+    write_staging(bronze, url, table, properties, width=width, empty_as_null=empty_as_null, text_type=text_type)
+    rows, staged = F.count(F.lit(1)).cast("bigint"), table_count(spark, url, table, properties)
+    out["count_check"] = bronze.agg(rows.alias("source_rows")).select(
+        "source_rows", F.lit(staged).cast("bigint").alias("target_rows"),
+        F.when(F.col("source_rows") == staged, F.lit("OK")).otherwise(F.lit("MISMATCH")).alias("status"))
+    out["sample"] = table_sample(spark, url, table, keys, 5, properties)
     return out
 
 
@@ -63,6 +66,8 @@ def bronze_energy(payloads: DataFrame, run_ts: str, api_path: str, strict: bool
 
 
 def _grid_bronze(cells: DataFrame, run_ts: str, width: int | None, extra: list[str]) -> DataFrame:
+    if width is None:
+        cells = materialize(cells, "workbook_cells")  # the width and the grid read one decode of the workbooks
     grid = to_grid(cells, width=width, keys=("file", "sheet", *extra))
     data = [c for c in grid.columns if c.startswith("col_")]
     return grid.select(*data, *extra, F.lit(run_ts).alias("_ingestion_timestamp"),

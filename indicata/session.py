@@ -103,7 +103,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if sc is not None and not sc.master.startswith("local["):
+        if sc is not None and sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="indicata-ckpt-")
     if sc is None:
