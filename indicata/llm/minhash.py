@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.llm import graph, shingles
-from indicata.llm.common import map_groups, map_slices, pair_blocks, utf8, whole_row
+from indicata.llm.common import WORD, map_groups, map_slices, pair_blocks, utf8, whole_row
 from indicata.sinks.files import materialize
 
 K = 32
@@ -278,3 +278,25 @@ def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     first = Window.partitionBy("sig").orderBy(F.xxhash64("row"))
     one = rows.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
     return out.unionByName(one).unionByName(signed.where(F.col("sig").isNull()).select("row.*"))
+
+
+def oracle(percent: int = PERCENT) -> str:
+    """The same groups of ``documents`` in SQL: all pairs with a common shingle, and what links reach."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{WORD}') AS ws
+        FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+                 END AS xs FROM w),
+    n AS (SELECT doc_id, len(xs)::BIGINT AS n FROM s),
+    e AS (SELECT doc_id, unnest(xs) AS x FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+          GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * c >= {percent} * (na.n + nb.n - c)),
+    g AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id, doc_id AS m FROM n UNION SELECT r.doc_id, g.b FROM r JOIN g ON g.a = r.m)
+    SELECT n.doc_id, n.n AS n_shingles, min(r.m) AS component_id, n.doc_id = min(r.m) AS kept
+    FROM n JOIN r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n"""

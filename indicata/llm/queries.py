@@ -97,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": topk.oracle(),
+    "op4_near_duplicates": minhash.oracle(),
     "op6_mix_sources": mixing.oracle(),
 }

@@ -88,3 +88,12 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     assert sorted(map(tuple, graph.components(df).collect())) == [(i, 0) for i in range(41)] + [(100, 100), (101, 100)]
     assert graph.components(df.where(F.lit(False))).count() == 0
+
+
+def test_oracle(spark, sf_small):
+    import duckdb
+    from indicata.llm.queries import op4_near_duplicates
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{sf_small}/documents.parquet'")
+    found = op4_near_duplicates(spark, sf_small).collect()
+    assert sorted(map(tuple, found)) == sorted(con.sql(minhash.oracle()).fetchall())
