@@ -9,7 +9,9 @@ then tell where the offence is.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,27 +101,29 @@ def fit(texts: list[str], toxic: np.ndarray, steps: int = 400, rate: float = 0.3
     n_bad, n_good = int(toxic.sum()), int((~toxic).sum())
     if not n_bad or not n_good:
         return Model()
-    tokens = [[x.split() for x in BREAKS.split(t.lower())] for t in texts]
-    counts: dict[str, list[int]] = {}
-    parts: dict[str, list[str]] = {}
-    for doc, bad in zip(tokens, toxic.tolist()):
-        held = set()
-        for token in set().union(*doc):
-            if token not in parts:
-                parts[token] = features(token)
-            held.update(parts[token])
-        for x in held:
-            counts.setdefault(x, [0, 0])[bad] += 1
+
+    def held(text: str) -> set[str]:
+        return set(chain.from_iterable(map(features, set(" ".join(BREAKS.split(text.lower())).split()))))
+
+    bad = Counter(chain.from_iterable(held(t) for t, y in zip(texts, toxic) if y))
+    bad = {x: n for x, n in bad.items() if n >= least_rows}
+    good = Counter(chain.from_iterable(held(t) & bad.keys() for t, y in zip(texts, toxic) if not y))
     chosen = {x: k for k, x in enumerate(sorted(
-        x for x, (good, bad) in counts.items() if bad >= least_rows and bad / n_bad >= lift * (good + 0.5) / n_good))}
+        x for x, n in bad.items() if n / n_bad >= lift * (good[x] + 0.5) / n_good))}
     rows, cols, owner = [], [], []
-    for d, doc in enumerate(tokens):
-        for sentence in doc:
-            held = {chosen[x] for token in sentence for x in parts[token] if x in chosen}
-            if held:
-                cols.extend(held)
-                rows.extend([len(owner)] * len(held))
+    known: dict[str, tuple[int, ...]] = {}  # chosen features of a token
+    for d, text in enumerate(texts):
+        for sentence in BREAKS.split(text.lower()):
+            found = set()
+            for token in sentence.split():
+                if token not in known:
+                    known[token] = tuple(chosen[x] for x in features(token) if x in chosen)
+                found.update(known[token])
+            if found:
+                cols.extend(found)
+                rows.extend([len(owner)] * len(found))
                 owner.append(d)
+    del known
     rows, cols, owner = np.array(rows, int), np.array(cols, int), np.array(owner, int)
     n, m = len(texts), len(chosen)
     w, b = np.zeros(m), -4.0
