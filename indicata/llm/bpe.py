@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from indicata.llm.common import map_slices, whole_row
 
 #: Pre-tokens remembered by a worker; beyond that it starts anew.  Results don't depend on it.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 SLICE = 2 << 20
 
