@@ -27,6 +27,8 @@ ENGINE_CONF = {
     # a partition value is the text that was written ('001' stays '001')
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows may be whole documents: what a task holds outside the heap, in the JVM and in Python, follows this
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1500",
 }
 
 
