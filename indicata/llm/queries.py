@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, html, langid, lines, minhash, mixing, quality, substrings, topk, toxicity
+from indicata.llm import bpe, conversations, html, langid, lexical, lines, minhash, mixing, quality, substrings, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired digest of all conversations, damaged by a checksum first."""
+    rows = conversations.damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.summarise(rows, key="key", present=F.col("present")).withColumnRenamed("key", "conv_id")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for each benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_repeated_strings": op2_repeated_strings,
@@ -93,10 +104,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": topk.oracle(),
     "op4_near_duplicates": minhash.oracle(),
     "op6_mix_sources": mixing.oracle(),
+    "op13_lexical_search": lexical.oracle(),
 }

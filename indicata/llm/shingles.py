@@ -36,14 +36,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, off: np.ndarray,
+          apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of every word, and the words before each text (length texts + 1); A-Z count as a-z.
-    Words end at ASCII white space and with their text."""
+    Words end at the bytes that ``apart`` marks (ASCII white space) and with their text."""
     n = len(raw)
     if n == 0:
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none, np.zeros(len(off), np.int64)
-    inside = ~_SPACE[raw]
+    inside = ~apart[raw]
     edge = np.zeros(n + 1, bool)
     edge[off] = True  # a text's edge parts words even without white space
     starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1] | edge[1:n]]))
