@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import bpe, conversations, html, langid, lexical, lines, minhash, mixing, quality, substrings, topk, toxicity
+from indicata.llm import bpe, conversations, html, langid, lexical, lines, minhash, mixing, quality, substrings
+from indicata.llm import topk, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by the similarity of their word shingles."""
+    return trie.join(_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and repaired digest of all conversations, damaged by a checksum first."""
     rows = conversations.damaged(_table(spark, sf_dir, "conversations"))
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ngram_join": op11_ngram_join,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_lexical_search": op13_lexical_search,
 }
@@ -112,5 +119,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": topk.oracle(),
     "op4_near_duplicates": minhash.oracle(),
     "op6_mix_sources": mixing.oracle(),
+    "op11_ngram_join": trie.oracle(),
     "op13_lexical_search": lexical.oracle(),
 }
