@@ -190,6 +190,45 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def superseded(df: DataFrame, keys: list[str], order: str) -> Column:
+    """Whether a later load (by ``order``) holds the row's key, too.
+
+    All rows of a key's latest load are current: a document may hold several
+    observations of one key.  To be used in a projection over ``df``; one
+    shuffle on the keys, which hold as many rows as there were loads of one
+    observation."""
+    latest = F.max(order).over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]))
+    return F.coalesce(F.col(order) < latest, F.lit(False))
+
+
+def history(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
+    """Older versions of each key: ``keys…, versions array<struct<values…>>,
+    valid_from, valid_to``.
+
+    The version of a load are the values of all its rows of the key.  A load
+    that repeats the version before it opens no new one; the latest version of
+    a key isn't listed.  Rows are dealt out by key once: the versions are
+    gathered and compared within that partitioning."""
+    loads = df.repartition(*[F.col(f"`{k}`") for k in keys]).groupBy(*keys, order).agg(
+        F.sort_array(F.collect_list(F.struct(*values))).alias("versions"))
+    w = Window.partitionBy(*keys).orderBy(order)
+    first = F.lag(order).over(w).isNull()
+    changed = loads.withColumn("_new", first | ~F.lag("versions").over(w).eqNullSafe(F.col("versions"))).where("_new")
+    closed = changed.withColumn("valid_to", F.lead(order).over(w)).where(F.col("valid_to").isNotNull())
+    return closed.select(*keys, "versions", F.col(order).alias("valid_from"), "valid_to")
+
+
+def roll_up(rows: DataFrame, keys: list[str], additive: Column, value: str = "value") -> DataFrame:
+    """One row per key: the sum of its values where ``additive`` (a function
+    of the keys), else their exact mean, rounded half up; NULL flags fail the
+    job."""
+    flag = F.coalesce(additive, F.raise_error(F.concat(
+        F.lit("measure without additive flag: "), F.to_json(F.struct(*keys)))).cast("boolean"))
+    both = rows.groupBy(*keys).agg(F.sum(value).alias("_sum"), F.avg(value).alias("_mean"))
+    return both.select(*keys, F.when(flag, F.col("_sum").cast(VALUE_TYPE)).otherwise(
+        F.col("_mean").cast(VALUE_TYPE)).alias(value))
+
+
 def dedup_exact(df: DataFrame) -> DataFrame:
     """Drop exact copies (all columns)."""
     return df.dropDuplicates()

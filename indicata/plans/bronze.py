@@ -60,8 +60,10 @@ def stage_delimited(spark: SparkSession, landing: str, run_ts: str, url: str, ta
 
 
 def bronze_energy(payloads: DataFrame, run_ts: str, api_path: str, strict: bool = True) -> DataFrame:
-    """Landed JSON payloads ``(geo_name, year, body)`` -> Energy Bronze."""
-    points = parse_documents(payloads, context=["geo_name"], strict=strict)
+    """Landed JSON payloads ``(geo_name, year, body)``, with ``_loaded_at``
+    where it is known -> Energy Bronze."""
+    context = ["geo_name", *(["_loaded_at"] if "_loaded_at" in payloads.columns else [])]
+    points = parse_documents(payloads, context=context, strict=strict)
     return energy_bronze(points, run_ts, api_path)
 
 

@@ -59,10 +59,10 @@ def landing_stream(spark, base):
 POINTS_PER_DOCUMENT = 50
 
 
-def _landed_documents(t):
-    """Events landed as series documents: one document per block of 50
-    consecutive event ids, one series per event type in it."""
-    e = t.events.select(
+def _landed_documents(t, events=None):
+    """Events (or those given) landed as series documents: one document per
+    block of 50 consecutive event ids, one series per event type in it."""
+    e = (t.events if events is None else events).select(
         (F.col("event_id") / POINTS_PER_DOCUMENT).cast("bigint").alias("block"), "event_type",
         F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
                  F.col("value").alias("value"),

@@ -14,7 +14,8 @@ from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL,
 from indicata.plans.catalog_bronze import API_PATH, RUN_TS, _landed_documents
 from indicata.plans.gold import (Star, build_dims, derive_measures, keyed_fact, star_by_region_month,
                                  with_unknown)
-from indicata.plans.run import RunConfig, run_medallion
+from indicata.plans.run import RunConfig, energy_documents, run_medallion
+from indicata.plans.silver import energy_history as revised
 from indicata.plans.silver import reject_rows, silver_delimited, silver_energy, tidy_rows
 from indicata.operators.silver import consolidate, tidy
 from indicata.session import scratch_path
@@ -36,14 +37,19 @@ def iso_timestamps(spark, base):
 
 # ── M1 + M2: JSON documents -> Bronze -> Silver ──────────────────────────
 
-@query("energy_tidy", """
+def _exact_mean(value: str) -> str:
+    """SQL: exact decimal mean of a group, half up at scale 8 and then 4, as a decimal average is cast."""
+    return (f"CAST(ROUND(CAST(SUM({value}) AS DECIMAL(38,8)) * 10000 / COUNT({value})) / 10000 AS DECIMAL(18,4))")
+
+
+@query("energy_tidy", f"""
 SELECT 'energy' AS source, event_type AS indicator, 'chunk_' || CAST(event_id // 50 AS VARCHAR) AS region,
        CAST(date_trunc('month', ts) AS DATE) AS period, 'value' AS measure,
        CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS value
 FROM events GROUP BY ALL
 UNION ALL
 SELECT 'energy', event_type, 'chunk_' || CAST(event_id // 50 AS VARCHAR), CAST(date_trunc('month', ts) AS DATE),
-       'percentage', CAST(SUM(CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DECIMAL(18,4))) AS DECIMAL(18,4))
+       'percentage', {_exact_mean("CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DECIMAL(18,4))")}
 FROM events GROUP BY ALL
 """)
 def energy_tidy(spark, base):
@@ -51,21 +57,80 @@ def energy_tidy(spark, base):
     return series.monthly(tidy_rows(silver_energy(bronze)))
 
 
+# ── M2: full-history re-pulls with revised, missing and repeated points ──
+
+# load 1: all chunks, every fourth value provisional (doubled); load 2: even chunks without every fifth point;
+# loads 3 and 4, equal: every third chunk
+_LOADS = """
+e AS (SELECT event_id, event_type, event_id // 50 AS chunk, strftime(ts, '%Y-%m-%d %H:%M:%S') AS raw_period,
+             CAST(date_trunc('month', ts) AS DATE) AS period, value,
+             CAST(json_extract(props, '$.k') AS INTEGER) AS share FROM events),
+l AS (SELECT e.* REPLACE (CASE WHEN event_id % 4 = 0 THEN value * 2 ELSE value END AS value), 1 AS load FROM e
+      UNION ALL SELECT *, 2 FROM e WHERE chunk % 2 = 0 AND event_id % 5 <> 0
+      UNION ALL SELECT *, 3 FROM e WHERE chunk % 3 = 0 UNION ALL SELECT *, 4 FROM e WHERE chunk % 3 = 0)"""
+
+
+def _repulled(spark, base):
+    """Documents of the four loads, as they count."""
+    t = tables(spark, base)
+    chunk, at = F.floor(F.col("event_id") / 50), "2024-0{}-01 00:00:00"
+    first = t.events.withColumn("value", F.when(F.col("event_id") % 4 == 0, F.col("value") * 2).otherwise(F.col("value")))
+    loads = [first, t.events.where((chunk % 2 == 0) & (F.col("event_id") % 5 != 0)), t.events.where(chunk % 3 == 0)]
+    landed = [_landed_documents(t, e).withColumn("loaded_at", F.lit(at.format(i)).cast("timestamp"))
+              for i, e in enumerate([*loads, loads[2]], 1)]
+    found = energy_documents(consolidate(landed), ["geo_name"]).withColumnRenamed("loaded_at", "_loaded_at")
+    return silver_energy(bronze_energy(found, RUN_TS, API_PATH))
+
+
+@query("energy_revisions", f"""
+WITH {_LOADS},
+c AS (SELECT * FROM l QUALIFY load = max(load) OVER (PARTITION BY chunk, event_type, raw_period))
+SELECT 'energy' AS source, event_type AS indicator, 'chunk_' || CAST(chunk AS VARCHAR) AS region, period,
+       'value' AS measure, CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS value FROM c GROUP BY ALL
+UNION ALL
+SELECT 'energy', event_type, 'chunk_' || CAST(chunk AS VARCHAR), period, 'percentage',
+       {_exact_mean("CAST(share AS DECIMAL(18,4))")} FROM c GROUP BY ALL
+""")
+def energy_revisions(spark, base):
+    """``events`` landed four times as documents, with provisional values first: what counts per month."""
+    return series.monthly(tidy_rows(_repulled(spark, base)))
+
+
+@query("energy_history", f"""
+WITH {_LOADS},
+v AS (SELECT event_type, chunk, raw_period, load, 'value' AS measure, CAST(value AS VARCHAR) AS raw FROM l
+      UNION ALL SELECT event_type, chunk, raw_period, load, 'percentage', CAST(share AS VARCHAR) FROM l),
+g AS (SELECT event_type, chunk, raw_period, measure, load, list(raw ORDER BY raw NULLS FIRST) AS raws FROM v GROUP BY ALL),
+n AS (SELECT *, lag(raws) OVER w AS before, lag(load) OVER w AS earlier FROM g
+      WINDOW w AS (PARTITION BY event_type, chunk, raw_period, measure ORDER BY load)),
+x AS (SELECT *, lead(load) OVER (PARTITION BY event_type, chunk, raw_period, measure ORDER BY load) AS later
+      FROM n WHERE earlier IS NULL OR raws IS DISTINCT FROM before)
+SELECT 'energy' AS source, event_type AS indicator, 'chunk_' || CAST(chunk AS VARCHAR) AS region, raw_period, measure,
+       COALESCE(array_to_string(raws, '|'), '') AS raws, make_timestamp(2024, load, 1, 0, 0, 0) AS valid_from,
+       make_timestamp(2024, later, 1, 0, 0, 0) AS valid_to
+FROM x WHERE later IS NOT NULL
+""")
+def energy_history(spark, base):
+    """The older versions of the revised observations, and the times in which they held."""
+    found = revised(_repulled(spark, base))
+    return found.withColumn("raw_values", F.array_join("raw_values", "|")).withColumnRenamed("raw_values", "raws")
+
+
 # ── M1 + M2: delimited text with decimal commas -> Bronze -> Silver ──────
 
 IPI_COLUMNS = ["Comunidades y Ciudades Autónomas", "Indicador", "Periodo", "Total"]
 
 
-@query("ipi_tidy", """
+@query("ipi_tidy", f"""
 SELECT 'ipi' AS source, 'status_' || o_orderstatus AS indicator, o_orderpriority AS region,
        CAST(date_trunc('month', o_orderdate) AS DATE) AS period, 'index' AS measure,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS value
+       {_exact_mean("CAST(o_totalprice AS DECIMAL(18,4))")} AS value
 FROM orders GROUP BY ALL
 """)
 def ipi_tidy(spark, base):
     """``orders`` landed as the statistics-office text layout (``;``,
     ``YYYYMmm`` periods, decimal commas), loaded to Bronze and typed into the
-    tidy contract, then summed per month."""
+    tidy contract, then averaged per month (an index doesn't add up)."""
     bronze, _overlong = bronze_delimited(spark, land_orders(spark, base), run_stamp())
     return series.monthly(tidy_rows(silver_delimited(bronze, "ipi", *IPI_COLUMNS, measure="index")))
 
@@ -170,7 +235,8 @@ UNION ALL SELECT 'ipi', 'silver_blank', count(*) - count(v), NULL FROM o
 UNION ALL SELECT 'ipi', 'silver_reject', 0, NULL
 UNION ALL SELECT 'ipi', 'silver_rounded', 0, NULL
 UNION ALL SELECT 'ipi', 'fact', (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus, o_orderpriority, m FROM o)),
-                 CAST(sum(v) AS DECIMAL(38,4)) FROM o
+                 (SELECT CAST(sum(v) AS DECIMAL(38,4)) FROM (SELECT {_exact_mean("v")} AS v FROM o
+                  GROUP BY o_orderstatus, o_orderpriority, m))
 UNION ALL SELECT 'energy', 'landed', count(*), NULL FROM e
 UNION ALL SELECT 'energy', 'silver_ok', count(v), CAST(sum(v) AS DECIMAL(38,4)) FROM e
 UNION ALL SELECT 'energy', 'silver_blank', count(*) - count(v), NULL FROM e
@@ -178,7 +244,9 @@ UNION ALL SELECT 'energy', 'silver_reject', 0, NULL
 UNION ALL SELECT 'energy', 'silver_rounded', 0, NULL
 UNION ALL SELECT 'energy', 'fact',
                  (SELECT count(*) FROM (SELECT DISTINCT event_type, chunk, m, measure FROM e WHERE v IS NOT NULL)),
-                 CAST(sum(v) AS DECIMAL(38,4)) FROM e
+                 (SELECT CAST(sum(v) AS DECIMAL(38,4)) FROM (
+                    SELECT CASE WHEN measure = 'value' THEN SUM(v) ELSE {_exact_mean("v")} END AS v FROM e
+                    WHERE v IS NOT NULL GROUP BY event_type, chunk, m, measure))
 """)
 def medallion_totals(spark, base):
     """The whole run on ``orders`` (delimited text) and ``events`` (JSON documents): its accounting table."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.operators.gold import UNKNOWN_KEY, assign_keys, calendar_from, resolve_keys
@@ -29,6 +29,13 @@ MEASURES = {
 }
 
 
+def additive(measure: Column, measures: dict[str, tuple[str, bool]] | None = None) -> Column:
+    """Whether a measure adds up, from the fixed measures and ``measures``
+    (a literal map); NULL for one that neither lists."""
+    known = {m: flag for m, (_, flag) in (MEASURES | (measures or {})).items()}
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), measure)
+
+
 @dataclass
 class Star:
     fact: DataFrame

@@ -7,10 +7,11 @@ run is resumed by running again.
 
 Every landed observation is accounted for: what Bronze holds equals what
 Silver accepted, found blank and rejected, and what Silver accepted sums up to
-the fact, per source; otherwise the run fails.  Tables per source:
+the fact (additive measures; others as exact means), per source; otherwise the run fails.  Tables per source:
 
 * ``bronze/<source>``, ``quarantine/<source>`` (whole records of overlong rows),
-* ``silver/<source>/status=ok|blank|reject`` (one write of the typed observations),
+* ``silver/<source>/status=ok|blank|reject|superseded`` (one write of the typed observations),
+  ``history/energy`` (older versions of revised observations, with the times in which they held),
 * ``quality/accounting`` (rows and sums per layer and source), ``quality/duplicates``
   (documents landed more than once, used once), ``quality/tax_unmapped``.
 """
@@ -20,15 +21,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indicata.operators.bronze import run_stamp
 from indicata.operators.quality import totals_vs_expected
-from indicata.operators.silver import VALUE_TYPE, apply_scope, consolidate
+from indicata.operators.silver import apply_scope, consolidate, roll_up
 from indicata.plans.bronze import TAX_SHEET, bronze_construction, bronze_delimited, bronze_energy, bronze_tax
-from indicata.plans.gold import build_star, derive_measures
-from indicata.plans.silver import TIDY_KEY, silver_construction, silver_delimited, silver_energy, silver_tax, tidy_rows
+from indicata.plans.gold import additive, build_star, derive_measures
+from indicata.plans.silver import (TIDY_KEY, energy_history, silver_construction, silver_delimited, silver_energy,
+                                   silver_tax, tidy_rows)
 from indicata.functions.text import file_name
 from indicata.sources.cells import grid_to_cells, wider_than_header
 from indicata.sinks.files import materialize
@@ -88,6 +90,10 @@ class RunConfig:
     indicators: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
+#: What became of a landed observation.
+STATUSES = ("ok", "blank", "reject", "superseded")
+
+
 class LossError(RuntimeError):
     """Rows or sums of two layers differ."""
 
@@ -137,14 +143,14 @@ class _Run:
         """One write of the typed observations; fails unless each landed one is there."""
         ok = F.col("status") == "ok"
         table = _write(observations, f"{self.conf.lake}/silver/{name}", f"silver_{name}", info, ["status"], {
-            **{s: F.count_if(F.col("status") == s) for s in ("ok", "blank", "reject")},
+            **{s: F.count_if(F.col("status") == s) for s in STATUSES},
             "rounded": F.count_if(ok & F.col("rounded")),
             "total": F.sum(F.when(ok, F.col("value"))).cast("decimal(38,4)")})
         got = info["metrics"]
         info["rows_in"] = landed
         self.accounts.append((name, "landed", landed, None))
         self.accounts += [(name, f"silver_{s}", got[s], got["total"] if s == "ok" else None)
-                          for s in ("ok", "blank", "reject")]
+                          for s in STATUSES if s != "superseded" or got[s]]
         self.accounts.append((name, "silver_rounded", got["rounded"], None))
         if got["rows"] != landed:
             raise LossError(f"{name}: {landed} observations landed, Silver has {got['rows']}")
@@ -182,17 +188,40 @@ def _energy(run: _Run) -> None:
     conf = run.conf
     with run.log.step("bronze_energy") as info:
         landed = run.spark.read.parquet(conf.energy_payloads)
-        # a document landed twice is the same request answered twice: used once, and reported
-        request = [c for c in landed.columns if c != "body"]
-        payloads = landed.groupBy(*request, "body").agg(F.count(F.lit(1)).alias("copies"))
-        payloads = materialize(payloads, "energy_documents")
+        # a document landed twice is the same request answered twice: used once, as of the first time, and reported
+        if "loaded_at" not in landed.columns:
+            landed = landed.withColumn("loaded_at", F.col("_metadata.file_modification_time"))
+        request = [c for c in landed.columns if c not in ("body", "loaded_at")]
+        payloads = energy_documents(landed, request)
         twice = payloads.where("copies > 1").select(*request, "copies", F.sha2("body", 256).alias("body_sha256"))
         twice.write.mode("overwrite").parquet(f"{conf.lake}/quality/duplicates")
         info["rows_in"] = payloads.count()
-        bronze = run.bronze("energy", bronze_energy(payloads.drop("copies"), run.ts, conf.energy_api_path), info)
+        known = payloads.withColumnRenamed("loaded_at", "_loaded_at").drop("copies")
+        bronze = run.bronze("energy", bronze_energy(known, run.ts, conf.energy_api_path), info)
         rows = info["rows_out"]
     with run.log.step("silver_energy") as info:
         run.silver("energy", silver_energy(bronze), 2 * rows, info)
+        run.out["history_energy"] = _write(energy_history(run.out["silver_energy"]), f"{conf.lake}/history/energy",
+                                           "history_energy", {})
+
+
+def energy_documents(landed: DataFrame, request: list[str]) -> DataFrame:
+    """The documents that count, written once: ``request…, body, loaded_at,
+    copies``.  A body that answers a request again, as the one before it did,
+    is a copy; one that comes back after another is a revision like any.  Two
+    different bodies of one request with one load time can't be put in order:
+    that fails the job."""
+    loads = landed.groupBy(*request, "loaded_at").agg(
+        F.count(F.lit(1)).alias("n"), F.min("body").alias("body"), F.max("body").alias("other"))
+    unclear = F.raise_error(F.concat(F.lit("two answers to one request at one load time: "),
+                                     F.to_json(F.struct(*request, "loaded_at")))).cast("string")
+    loads = loads.withColumn("body", F.when(F.col("body") == F.col("other"), F.col("body")).otherwise(unclear))
+    w = Window.partitionBy(*request).orderBy("loaded_at")
+    runs = loads.withColumn("first", ~F.lag("body").over(w).eqNullSafe(F.col("body")) | F.lag("n").over(w).isNull())
+    runs = runs.withColumn("version", F.sum(F.col("first").cast("int")).over(w))
+    documents = runs.groupBy(*request, "version").agg(
+        F.min_by("body", "loaded_at").alias("body"), F.min("loaded_at").alias("loaded_at"), F.sum("n").alias("copies"))
+    return materialize(documents.drop("version"), "energy_documents")
 
 
 def _construction(run: _Run) -> None:
@@ -240,7 +269,7 @@ def _monthly(run: _Run, previous: DataFrame | None) -> DataFrame:
     this run doesn't load keep what the last run left."""
     rows = consolidate(run.parts)
     scoped = apply_scope(rows, "period", run.conf.data_scope)
-    monthly = scoped.groupBy(*TIDY_KEY).agg(F.sum("value").cast(VALUE_TYPE).alias("value"))
+    monthly = roll_up(scoped, TIDY_KEY, additive(F.col("measure"), run.conf.measures))
     if previous is None:
         return monthly
     loaded = [p.split("_", 1)[1] for p in run.out if p.startswith("silver_")]
@@ -288,7 +317,10 @@ def _account(run: _Run, fact: DataFrame, dim_source: DataFrame, previous: DataFr
     """Write the accounting table; fail if a source's fact total isn't what Silver accepted (in scope)."""
     gold = fact.join(dim_source, "source_key").groupBy("source").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("value").cast("decimal(38,4)").alias("total"))
-    silver = apply_scope(consolidate(run.parts), "period", run.conf.data_scope)
+    # sums of additive measures straight from Silver, whose rows needn't meet first; the others by their exact means
+    rows = apply_scope(consolidate(run.parts), "period", run.conf.data_scope)
+    adds = additive(F.col("measure"), run.conf.measures)
+    silver = rows.where(adds).select(*TIDY_KEY, "value").unionByName(roll_up(rows.where(~adds), TIDY_KEY, adds))
     if previous is not None:
         loaded = sorted({a[0] for a in run.accounts})
         kept = ~F.col("source").isin(loaded)

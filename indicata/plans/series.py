@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.operators.joins import broadcast_reference
-from indicata.operators.silver import VALUE_TYPE, tidy
+from indicata.operators.silver import VALUE_TYPE, roll_up, tidy
+from indicata.plans.gold import additive
 from indicata.tables import Tables
 
 UNKNOWN_REGION = "UNKNOWN"
@@ -40,10 +41,11 @@ def supplier_regions(t: Tables) -> DataFrame:
             .select("s_suppkey", "region"))
 
 
-def monthly(tidy_rows: DataFrame) -> DataFrame:
-    """Sum observations to one row per tidy key (partial aggregation first)."""
+def monthly(tidy_rows: DataFrame, measures: dict[str, tuple[str, bool]] | None = None) -> DataFrame:
+    """Observations to one row per tidy key (partial aggregation first): summed
+    where the measure is additive, else their mean (``gold.additive``)."""
     keys = ["source", "indicator", "region", "period", "measure"]
-    return tidy_rows.groupBy(*keys).agg(F.sum("value").cast(VALUE_TYPE).alias("value"))
+    return roll_up(tidy_rows, keys, additive(F.col("measure"), measures))
 
 
 def orders_by_region(t: Tables) -> DataFrame:

@@ -3,10 +3,11 @@
 
 Each builder returns one typed frame with a row for every landed observation
 and its ``status``: ``ok``, ``blank`` (empty or placeholder value: no
-observation) or ``reject`` (value or period that doesn't parse, listed in
-``rejects``).  Nothing is dropped or collapsed here: observations of one tidy
-key (several delegations of a region, several rows of a month) are summed in
-Gold.
+observation), ``reject`` (value or period that doesn't parse, listed in
+``rejects``) or ``superseded`` (a later load holds the same observation).
+Nothing is dropped or collapsed here: observations of one tidy key (several
+delegations of a region, several rows of a month) are rolled up in Gold, by
+the additive flag of their measure.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.operators.silver import VALUE_TYPE, cleanse_text, map_values, parse_as
+from indicata.operators.silver import VALUE_TYPE, cleanse_text, history, map_values, parse_as, superseded
 from indicata.sources.cells import label_cells
 
 TIDY_KEY = ["source", "indicator", "region", "period", "measure"]
+#: What one energy observation is told apart by, whatever request it answers.
+ENERGY_KEY = ["geo_name", "series_type", "datetime"]
 UNMAPPED = "UNMAPPED"
 
 
@@ -32,10 +35,12 @@ def month_from_text(text: Column) -> Column:
 
 
 def typed(df: DataFrame, source: str, indicator: Column, region: Column, raw_period: Column, measure: Column,
-          raw_value: Column, detail: Column | None = None, decimal_comma: bool = False) -> DataFrame:
+          raw_value: Column, detail: Column | None = None, decimal_comma: bool = False,
+          loaded_at: Column | None = None, outdated: Column | None = None) -> DataFrame:
     """Observations on the tidy contract with ``detail`` (what tells apart the
     observations of one key), the landed texts, ``rejects`` (column, raw,
-    target), ``rounded`` (more than four decimals) and ``status``."""
+    target), ``rounded`` (more than four decimals), ``loaded_at`` and
+    ``status``; ``outdated`` ones are superseded, whatever they hold."""
     raw = cleanse_text(raw_value)
     wide = parse_as(raw, "decimal(38,18)", decimal_comma=decimal_comma)
     df = df.select(
@@ -43,7 +48,9 @@ def typed(df: DataFrame, source: str, indicator: Column, region: Column, raw_per
         region.cast("string").alias("region"), month_from_text(raw_period).alias("period"),
         measure.cast("string").alias("measure"), wide.try_cast(VALUE_TYPE).alias("value"),
         (detail if detail is not None else F.lit(None)).cast("string").alias("detail"),
-        raw_period.cast("string").alias("raw_period"), raw.alias("raw_value"), wide.alias("_wide"))
+        raw_period.cast("string").alias("raw_period"), raw.alias("raw_value"), wide.alias("_wide"),
+        (loaded_at if loaded_at is not None else F.lit(None)).cast("timestamp").alias("loaded_at"),
+        (outdated if outdated is not None else F.lit(False)).alias("_outdated"))
 
     def failed(column: str, raw_column: str, target: str) -> Column:
         return F.when(F.col(column).isNull(), F.struct(
@@ -53,8 +60,8 @@ def typed(df: DataFrame, source: str, indicator: Column, region: Column, raw_per
                        lambda x: x.isNotNull())
     df = df.withColumn("rejects", F.when(~blank, rejects))
     return df.withColumn("rounded", F.coalesce(F.col("value") != F.col("_wide"), F.lit(False))).withColumn(
-        "status", F.when(blank, F.lit("blank")).when(F.size("rejects") > 0, F.lit("reject"))
-        .otherwise(F.lit("ok"))).drop("_wide")
+        "status", F.when(F.col("_outdated"), F.lit("superseded")).when(blank, F.lit("blank"))
+        .when(F.size("rejects") > 0, F.lit("reject")).otherwise(F.lit("ok"))).drop("_wide", "_outdated")
 
 
 def tidy_rows(observations: DataFrame) -> DataFrame:
@@ -71,12 +78,29 @@ def reject_rows(observations: DataFrame) -> DataFrame:
 
 def silver_energy(bronze: DataFrame) -> DataFrame:
     """Energy Bronze -> one observation per point and measure (``value`` and
-    ``percentage``)."""
-    long = bronze.select("series_type", "geo_name", "datetime", F.explode(F.array(
+    ``percentage``).
+
+    Where Bronze has a load time (``_loaded_at``), the points of a region,
+    series and timestamp that come from an older load than its latest one are
+    superseded: a full-history re-pull revises what it answers again and
+    leaves the rest."""
+    if "_loaded_at" in bronze.columns:
+        marked = bronze.withColumn("_outdated", superseded(bronze, ENERGY_KEY, "_loaded_at"))
+    else:
+        marked = bronze.withColumns({"_loaded_at": F.lit(None).cast("timestamp"), "_outdated": F.lit(False)})
+    long = marked.select("series_type", "geo_name", "datetime", "_loaded_at", "_outdated", F.explode(F.array(
         F.struct(F.lit("value").alias("measure"), F.col("value").alias("raw")),
         F.struct(F.lit("percentage").alias("measure"), F.col("percentage").alias("raw")))).alias("m"))
     return typed(long, "energy", F.col("series_type"), F.col("geo_name"), F.col("datetime"), F.col("m.measure"),
-                 F.col("m.raw"))
+                 F.col("m.raw"), loaded_at=F.col("_loaded_at"), outdated=F.col("_outdated"))
+
+
+def energy_history(observations: DataFrame) -> DataFrame:
+    """Older versions of revised energy observations: ``source, indicator,
+    region, raw_period, measure, raw_values, valid_from, valid_to``."""
+    keys = ["source", "indicator", "region", "raw_period", "measure"]
+    found = history(observations, keys, "loaded_at", ["raw_value"])
+    return found.select(*keys, F.col("versions.raw_value").alias("raw_values"), "valid_from", "valid_to")
 
 
 def silver_delimited(bronze: DataFrame, source: str, region_col: str, indicator_col: str,

@@ -66,7 +66,9 @@ def parse_documents(payloads: DataFrame, body: str = "body", context: list[str]
 
 def energy_bronze(points: DataFrame, run_ts: str, api_path: str,
                   geo_col: str = "geo_name") -> DataFrame:
-    """Energy Bronze layout, all strings, NULL leaves kept as NULL."""
+    """Energy Bronze layout, all strings, NULL leaves kept as NULL; the time
+    at which a document was loaded (``_loaded_at``) stays where it is known."""
+    loaded = ["_loaded_at"] if "_loaded_at" in points.columns else []
     return points.select(
         "series_type", F.col(geo_col).cast("string").alias("geo_name"), "datetime", "value",
-        "percentage", F.lit(run_ts).alias("_ingestion_timestamp"), F.lit(api_path).alias("_source_api"))
+        "percentage", F.lit(run_ts).alias("_ingestion_timestamp"), F.lit(api_path).alias("_source_api"), *loaded)
