@@ -45,13 +45,35 @@ def landing_stream(spark, base):
     """``customer`` dropped as ``;`` text into a landing folder, picked up by
     the checkpointed ``availableNow`` file stream into a Bronze Parquet table,
     read back (data columns; the stream's stamp and file names vary)."""
-    from indicata.streaming.landing import start_landing
+    from indicata.streaming.landing import read_landing, start_landing
 
     landing = scratch_path(spark, "stream_landing")
     write_delimited(all_strings(tables(spark, base).customer), landing)
     target, checkpoint = scratch_path(spark, "stream_bronze"), scratch_path(spark, "stream_checkpoint")
     start_landing(spark, landing, target, checkpoint).awaitTermination()
-    return spark.read.parquet(target).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return read_landing(spark, target).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query("landing_headers", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 3 = 1 THEN '' ELSE c_mktsegment END
+       AS c_mktsegment, CASE WHEN c_custkey % 3 = 2 THEN CAST(c_nationkey AS VARCHAR) ELSE '' END AS c_nationkey
+FROM customer
+""")
+def landing_headers(spark, base):
+    """``customer`` dropped under three headers (another column order, a column less, a column more), the last one
+    after a restart of the stream: every value under its own column, the new column empty before."""
+    from indicata.streaming.landing import read_landing, start_landing
+
+    c, root = all_strings(tables(spark, base).customer), scratch_path(spark, "landing_headers")
+    target, checkpoint = scratch_path(spark, "headers_bronze"), scratch_path(spark, "headers_checkpoint")
+    layouts = [["c_custkey", "c_name", "c_mktsegment"], ["c_name", "c_custkey"],
+               ["c_mktsegment", "c_nationkey", "c_name", "c_custkey"]]
+    for i, names in enumerate(layouts):
+        part = c.where(F.col("c_custkey").cast("bigint") % 3 == i).select(*names)
+        write_delimited(part, f"{root}/part{i}")
+        if i:   # the first two arrive together
+            start_landing(spark, f"{root}/*", target, checkpoint).awaitTermination()
+    return read_landing(spark, target).select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
 
 
 # ── S2/R1 JSON documents ──────────────────────────────────────────────────

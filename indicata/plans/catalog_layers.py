@@ -20,8 +20,8 @@ from indicata.plans.silver import reject_rows, silver_delimited, silver_energy,
 from indicata.operators.silver import consolidate, tidy
 from indicata.session import scratch_path
 from indicata.sinks.files import materialize, materialize_all
-from indicata.sources.csv_text import (RECORD_COL, _csv, _padded, overlong_rows, read_delimited_files, well_formed,
-                                       write_delimited)
+from indicata.sources.csv_text import (RECORD_COL, overlong_rows, parse_records, read_delimited, read_delimited_files,
+                                       well_formed, write_delimited)
 
 # ── F4: ISO UTC text ─────────────────────────────────────────────────────
 
@@ -197,8 +197,8 @@ def csv_ragged(spark, base):
     lines = c.select(line.alias("value"))
     names = ["c_custkey", "c_name", "c_mktsegment"]
     lines.write.text(landing)
-    read = _padded(_csv(spark.read, ";", "UTF-8", False).option("header", False)
-                   .schema(", ".join(f"{n} string" for n in [*names, RECORD_COL])).csv(landing), names, ";")
+    read = parse_records(spark.read.text(landing).select(
+        F.col("value").alias("record"), F.col("_metadata.file_path").alias("_source_path")), [names], ";")
     good = well_formed(read).select(*names, F.lit(None).cast("string").alias("record"))
     bad = overlong_rows(read).select(*[F.lit("").alias(n) for n in names], F.col(RECORD_COL).alias("record"))
     return good.unionByName(bad)
@@ -218,6 +218,24 @@ def csv_two_orders(spark, base):
     return read.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
 
 
+@query("csv_multiline", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus || chr(10) || 'said "' || o_orderpriority || '";' || chr(10)
+            WHEN o_orderkey % 3 = 1 THEN o_orderpriority ELSE chr(10) || chr(10) END AS note,
+       CAST(o_custkey AS VARCHAR) AS o_custkey
+FROM orders
+""")
+def csv_multiline(spark, base):
+    """``orders`` landed with line breaks, separators and quotes inside quoted fields; blocks are cut at record ends."""
+    o, k = tables(spark, base).orders, F.col("o_orderkey") % 3
+    note = (F.when(k == 0, F.concat("o_orderstatus", F.lit('\nsaid "'), "o_orderpriority", F.lit('";\n')))
+            .when(k == 1, F.col("o_orderpriority")).otherwise(F.lit("\n\n")))
+    text = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), note.alias("note"),
+                    F.col("o_custkey").cast("string").alias("o_custkey"))
+    landing = write_delimited(text, scratch_path(spark, "csv_multiline"))
+    return well_formed(read_delimited(spark, landing, multiline=True)).drop("_source_path")
+
+
 # ── M4: a whole run, rows and sums of every layer ────────────────────────
 
 _ENERGY = "SELECT event_id, event_type, event_id // 50 AS chunk, date_trunc('month', ts) AS m"
