@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from indicata.sinks.files import materialize
+
 UNKNOWN_KEY = -1
 
 
@@ -40,24 +42,38 @@ def assign_keys(natural: DataFrame, key_col: str, order_cols: list[str],
                 existing: DataFrame | None = None) -> DataFrame:
     """Surrogate keys for a dimension.
 
-    Keys already in ``existing`` are kept; new natural keys get
-    ``max(existing key) + row_number()`` in natural-key order.  Runs on the
-    distinct natural keys only, which is what makes the global ordering
-    affordable (a dimension is small by construction).  A NULL natural key is
-    the unknown member: it gets no key here and resolves to ``-1``.
+    Keys already in ``existing`` are kept; new natural keys get the numbers
+    after ``max(existing key)``, without gaps, in natural-key order (see
+    ``number_densely``).  A NULL natural key is the unknown member: it gets no
+    key here and resolves to ``-1``.
     """
     distinct = natural.select(*order_cols).dropna().distinct()
     if existing is None:
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        return distinct.withColumn(key_col, F.row_number().over(w).cast("bigint"))
+        return number_densely(distinct, order_cols, key_col)
     old = existing.select(key_col, *order_cols)
     new = distinct.join(old.select(*order_cols), on=order_cols, how="left_anti")
-    base = existing.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("_base"))
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    fresh = (new.withColumn("_rn", F.row_number().over(w))
-             .withColumn(key_col, (F.col("_rn") + base.select("_base").scalar()).cast("bigint"))
-             .drop("_rn"))
-    return old.unionByName(fresh)
+    base = existing.agg(F.coalesce(F.max(key_col), F.lit(0))).first()[0]
+    return old.unionByName(number_densely(new, order_cols, key_col, base).select(key_col, *order_cols))
+
+
+def number_densely(rows: DataFrame, order_cols: list[str], key_col: str, after: int = 0) -> DataFrame:
+    """``rows`` (distinct in ``order_cols``) numbered from ``after + 1`` in
+    order, without gaps and without one task that sees them all.
+
+    Rows are dealt out by ranges, sorted and written with their place in their
+    partition; the sizes of the partitions (one row each) are summed up in
+    order, and each row adds its partition's offset."""
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    placed = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "_at", F.monotonically_increasing_id()), "numbered")   # partition << 33 | place
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # at most one row per shuffle partition
+    key = F.lit(after + 1) + F.col("_offset") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), "_part").withColumn(key_col, key.cast("bigint")).drop(
+        "_at", "_part", "_offset")
 
 
 def resolve_key(fact: DataFrame, dim: DataFrame, on: list[str], key_col: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from indicata.operators.gold import calendar_from
+from indicata.operators.gold import assign_keys, calendar_from
 from indicata.operators.measures import with_mom, with_qtd, with_ytd, with_yoy
 from indicata.operators.silver import consolidate
 from indicata.plans import series
@@ -155,3 +155,19 @@ def fact_union(spark, base):
     t = tables(spark, base)
     return consolidate([series.orders_by_region(t), series.lineitem_by_region(t),
                         series.events_by_type(t)])
+
+
+# ── J1: dense surrogate keys over a dimension that grows with the data ────
+
+@query("dense_keys", """
+WITH d AS (SELECT DISTINCT o_orderpriority, o_custkey FROM orders),
+old AS (SELECT *, row_number() OVER (ORDER BY o_orderpriority, o_custkey) AS k FROM d WHERE o_custkey % 3 = 0),
+new AS (SELECT *, row_number() OVER (ORDER BY o_orderpriority, o_custkey) + (SELECT max(k) FROM old) AS k
+        FROM d WHERE o_custkey % 3 <> 0)
+SELECT * FROM old UNION ALL SELECT * FROM new
+""")
+def dense_keys(spark, base):
+    """Keys of (priority, customer), numbered in two runs: those of every third customer first."""
+    t, order = tables(spark, base), ["o_orderpriority", "o_custkey"]
+    first = assign_keys(t.orders.where("o_custkey % 3 = 0"), "k", order)
+    return assign_keys(t.orders, "k", order, existing=first).select("k", *order)

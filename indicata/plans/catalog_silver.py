@@ -13,6 +13,8 @@ from indicata.operators.quality import (column_profile, count_check, filter_grou
 from indicata.operators.silver import (apply_scope, cleanse_text, consolidate, dedup_exact,
                                        dedup_latest, enforce_types, map_values, reject_rows,
                                        typed_rows, unmapped, unpivot_measures, verify_types)
+from indicata.session import scratch_path
+from indicata.sinks import versions
 from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL,
                                     query, tables)
 
@@ -272,6 +274,29 @@ CUSTOMER_UPDATES_SQL = """
 """
 
 
+@query("merge_partitions", """
+WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice, year(o_orderdate) AS year FROM orders),
+u AS (SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice, year FROM o
+      WHERE year IN (1995, 1997) AND o_orderkey % 10 = 0
+      UNION ALL SELECT -o_orderkey, 'N', o_totalprice, year FROM o WHERE year = 1996 AND o_orderkey % 10 = 1)
+SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(year AS INTEGER) AS year FROM o
+WHERE (o_orderkey, year) NOT IN (SELECT o_orderkey, year FROM u)
+UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(year AS INTEGER) FROM u
+""")
+def merge_partitions(spark, base):
+    """``orders`` as a versioned table by year, then updates and new rows of three years: only these are rewritten."""
+    o = tables(spark, base).orders.select("o_orderkey", "o_orderstatus", "o_totalprice",
+                                          F.year("o_orderdate").alias("year"))
+    root = scratch_path(spark, "merge_partitions")
+    versions.overwrite(o, root, ["year"])
+    changed = o.where(F.col("year").isin(1995, 1997) & (F.col("o_orderkey") % 10 == 0)).select(
+        "o_orderkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"), "year")
+    added = o.where((F.col("year") == 1996) & (F.col("o_orderkey") % 10 == 1)).select(
+        (-F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice", "year")
+    versions.merge(changed.unionByName(added), root, ["o_orderkey", "year"])
+    return versions.read(spark, root)
+
+
 @query("merge_upsert", f"""
 WITH u AS ({CUSTOMER_UPDATES_SQL})
 SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.c_custkey = c.c_custkey)

@@ -7,6 +7,7 @@ that every fact row resolves and the star query can use inner joins.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -96,14 +97,12 @@ def build_dims(tidy_monthly: DataFrame, region_names: DataFrame, existing: dict[
         return d.where(F.col(key) != UNKNOWN_KEY) if d is not None else None
 
     known = {m: {"unit": u, "additive": a} for m, (u, a) in (MEASURES | (measures or {})).items()}
-    dims = {
-        "dim_region": assign_keys(region_names, "region_key", ["region"], prev("dim_region", "region_key")),
-        "dim_calendar": calendar_from(tidy_monthly, "period"),
-        "dim_source": assign_keys(tidy_monthly, "source_key", ["source"], prev("dim_source", "source_key")),
-        "dim_indicator": assign_keys(tidy_monthly, "indicator_key", ["indicator"],
-                                     prev("dim_indicator", "indicator_key")),
-        "dim_measure": assign_keys(tidy_monthly, "measure_key", ["measure"], prev("dim_measure", "measure_key")),
-    }
+    natural = {"region": region_names, "source": tidy_monthly, "indicator": tidy_monthly, "measure": tidy_monthly}
+    with ThreadPoolExecutor(len(natural)) as pool:   # each numbering is a small job of its own
+        keyed = {n: pool.submit(assign_keys, rows, f"{n}_key", [n], prev(f"dim_{n}", f"{n}_key"))
+                 for n, rows in natural.items()}
+    dims = {f"dim_{n}": done.result() for n, done in keyed.items()} | {
+        "dim_calendar": calendar_from(tidy_monthly, "period")}
     dims["dim_region"] = with_attributes(dims["dim_region"], "region", {
         k: {"parent": v} for k, v in (parents or {}).items()}, {"parent": "string"})
     dims["dim_measure"] = with_attributes(dims["dim_measure"], "measure", known,

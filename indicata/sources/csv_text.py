@@ -199,7 +199,9 @@ def bronze_from_delimited(df: DataFrame, run_ts: str | Column) -> DataFrame:
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> str:
-    """Write an all-string frame as delimited text with a header line."""
+    """Write an all-string frame as delimited text with a header line; blanks
+    at the ends of values stay."""
     (df.write.mode("overwrite").option("sep", sep).option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("quote", '"').option("escape", '"').csv(path))
     return path
