@@ -3,8 +3,8 @@
 A document's set are its distinct five-word shingles; equal sets are one class.  To bring classes together without
 comparing all, sets are read in one global order: a fixed slice of the hash space, rarest shingles first, then the
 rest by hash.  A class with more unique shingles in the slice than a partner could lack is done; of the others, the
-first n // 5 + 1 shingles go into lists, and two similar sets are sure to share one of these.  Classes chained by lists
-are families.  Within a family the ordered sets are stored in a trie; each set walks down it, so that common beginnings
+first n // 5 + 1 shingles go into lists, and two similar sets are sure to share one of these.  Classes that a list joins,
+as far as sizes and places in the order allow an overlap that large, are families.  Within a family the ordered sets are stored in a trie; each set walks down it, so that common beginnings
 are counted once for all sets below, and subtrees whose remaining lengths can't reach the overlap any more are pruned.
 What the walk ends with are whole overlaps, so links are exact and each pair is counted once.
 """
@@ -102,16 +102,25 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _listed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``t, n, s``: the first shared shingles of each class, from rows sorted by (s, outside, level, t)."""
-        def cut(own: list[np.ndarray]) -> list[np.ndarray]:
+        """``t, n, reach, s``: the first shared shingles of each class, from rows sorted by (s, outside, level, t).
+
+        If a shingle is the first that two sets have in common, their overlap is at most what either has from there
+        on; ``reach`` is the size up to which a partner can be similar then."""
+        def cut(own: list[np.ndarray]) -> pa.RecordBatch | None:
             s, t, outside, n, inside = own
             starts = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
             counts = np.diff(np.append(starts, len(s)))
             lack = may_lack(n[starts], percent)
             unique = inside[starts] - np.add.reduceat((~outside).astype(np.int64), starts)
             most = np.where(unique > lack, 0, lack + 1 - unique)
-            keep = np.arange(len(s)) - np.repeat(starts, counts) < np.repeat(most, counts)
-            return [t[keep], n[keep], s[keep]]
+            place = np.arange(len(s)) - np.repeat(starts, counts)
+            keep = np.flatnonzero(place < np.repeat(most, counts))
+            if not len(keep):
+                return None
+            rest = n[keep] - np.repeat(unique, counts)[keep] - place[keep]   # itself and all that follow
+            reach = rest * (100 + percent) // percent - n[keep]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (t[keep], n[keep], reach, s[keep])],
+                                              ["t", "n", "reach", "s"])
 
         names = ["s", "t", "outside", "n", "inside"]
         held = None
@@ -121,32 +130,56 @@ def _listed(percent: int):
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
             held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
             last = int(np.searchsorted(held[0] == held[0][-1], True))   # the last class may go on
-            out = cut([x[:last] for x in held]) if last else [()]
+            out = cut([x[:last] for x in held]) if last else None
             held = [x[last:] for x in held]
-            if len(out[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["t", "n", "s"])
-        if held is not None:
-            out = cut(held)
-            if len(out[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["t", "n", "s"])
+            if out is not None:
+                yield out
+        out = cut(held) if held is not None else None
+        if out is not None:
+            yield out
 
     return run
 
 
-def _chained(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``a, b``: neighbours in a list sorted by (t, n, s) whose sizes allow a link; any two members of a list that
-        could be similar are joined by such steps."""
-        last = [np.empty(0, np.int64)] * 3
-        for own, _ in _runs(batches, ["t", "n", "s"]):
-            t, n, s = (np.concatenate(x) for x in zip(last, own))
-            last = [x[-1:] for x in (t, n, s)]
-            hit = (t[1:] == t[:-1]) & (s[1:] != s[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            edges = np.unique(np.column_stack([s[:-1][hit], s[1:][hit]]), axis=0)
-            if len(edges):
-                yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
+def _joined_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``a, b``: for lists sorted by (t, n, s), links that connect whatever members could be similar: x and y with
+    n_y <= reach_x and n_x <= reach_y.
 
-    return run
+    Members with reach >= n are intervals, and one is joined to the furthest reaching before it, if that reaches it.
+    The others can only be the larger of a pair; all that they could go with reach beyond them, so one link does.
+    Only the furthest reaching of an unfinished list are held."""
+    none = np.empty(0, np.int64)
+    last, records = None, (none, none, none)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t, n, reach, s = (batch.column(c).to_numpy() for c in ("t", "n", "reach", "s"))
+        run = np.cumsum(np.concatenate([[last is not None and t[0] != last], t[1:] != t[:-1]]))
+        if last is None or run[0]:
+            records = (none, none, none)
+        apart = 2 * int(max(n.max(), reach.max(), records[1].max(initial=0))) + 2   # lists side by side, out of reach
+        at, far = n + run * apart, reach + run * apart
+        wide = reach >= n
+        own_at = np.concatenate([records[0] + run[0] * apart, at[wide]])
+        own_far = np.concatenate([records[1] + run[0] * apart, far[wide]])
+        own_s = np.concatenate([records[2], s[wide]])
+        a, b = none, none
+        if len(own_at):
+            most = np.maximum.accumulate(own_far)
+            new = np.concatenate([[True], own_far[1:] > most[:-1]])
+            best = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            hit = np.flatnonzero(most[:-1] >= own_at[1:]) + 1
+            hit = hit[hit >= len(records[0])]
+            before = np.searchsorted(own_at, far[~wide], "right") - 1
+            some = (before >= 0) & (most[np.maximum(before, 0)] >= at[~wide])
+            a = np.concatenate([own_s[best[hit - 1]], own_s[best[before[some]]]])
+            b = np.concatenate([own_s[hit], s[~wide][some]])
+            kept = np.flatnonzero(new & (own_far >= at[-1]))
+            records = (own_at[kept] - run[-1] * apart, own_far[kept] - run[-1] * apart, own_s[kept])
+        last = t[-1]
+        edges = np.unique(np.column_stack([a, b])[a != b], axis=0)
+        if len(edges):
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
 
 
 def families(classes: DataFrame, percent: int) -> DataFrame:
@@ -163,10 +196,9 @@ def families(classes: DataFrame, percent: int) -> DataFrame:
     outside = (F.col("t") < 0) | (F.col("t") >= SLICE_LIMIT)
     own = shared.join(classes.select("s", "n", "inside"), "s").withColumn("outside", outside)
     rows = own.repartition("s").sortWithinPartitions("s", "outside", "level", "t").select(
-        "s", "t", "outside", "n", "inside").mapInArrow(_listed(percent), "t bigint, n bigint, s bigint")
-    chained = rows.repartition("t").sortWithinPartitions("t", "n", "s").mapInArrow(
-        _chained(percent), "a bigint, b bigint")
-    return graph.components(chained.distinct())
+        "s", "t", "outside", "n", "inside").mapInArrow(_listed(percent), "t bigint, n bigint, reach bigint, s bigint")
+    met = rows.repartition("t").sortWithinPartitions("t", "n", "s").mapInArrow(_joined_lists, "a bigint, b bigint")
+    return graph.components(met.distinct())
 
 
 class Trie:

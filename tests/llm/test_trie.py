@@ -96,6 +96,36 @@ def test_runs_of_shingles_across_batches(monkeypatch):
         assert got == want
 
 
+def test_lists_join_whatever_could_be_similar():
+    r = random.Random(8)
+    for trial in range(60):
+        rows = []
+        for t in range(r.randint(1, 5)):
+            for _ in range(r.choice([1, 2, 3, 20, 60])):
+                n = r.randint(5, 60)
+                rows.append((t, n, r.randint(n * 4 // 5 - 1, n * 5 // 4), r.randint(1, 10 ** 9)))
+        rows.sort()
+        size = r.choice([1, 2, 7, 1000])
+        names = ("t", "n", "reach", "s")
+        batches = [pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows[k:k + size]], pa.int64()) for i in range(4)],
+                                              names) for k in range(0, len(rows), size)]
+        links = [tuple(x.values()) for out in trie._joined_lists(iter(batches)) for x in out.to_pylist()]
+
+        def groups(pairs):
+            parent = {x[3]: x[3] for x in rows}
+
+            def find(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+            for a, b in pairs:
+                parent[find(a)] = find(b)
+            return {frozenset(x for x in parent if find(x) == y) for y in map(find, parent)}
+        could = [(x[3], y[3]) for x in rows for y in rows if x[0] == y[0] and x[1] <= y[1] <= x[2] and x[1] <= y[2]]
+        assert groups(links) == groups(could)
+        assert len(links) <= len(rows)
+
+
 def test_walks_find_every_overlap_that_links():
     r = np.random.default_rng(4)
     sets = [np.unique(r.choice(400, r.integers(1, 300))) for _ in range(40)]
