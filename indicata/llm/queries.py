@@ -22,8 +22,9 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of all documents without strings of 400 bytes that occur twice."""
-    return substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
+    """What is left of all documents without strings of 400 bytes that occur twice, and whether they held any."""
+    found = substrings.digest(substrings.remove_repeats(_table(spark, sf_dir, "documents")))
+    return found.withColumn("repeated", F.col("n_removed") > 0)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
