@@ -7,6 +7,7 @@ from indicata.functions.text import (  # noqa: F401
     file_name,
     file_stem,
     float_text,
+    fold_name,
     iso_utc,
     json_number_text,
     null_to_empty,

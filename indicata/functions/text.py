@@ -8,6 +8,8 @@ Python way (``22733442.07``) with column expressions only.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -170,6 +172,36 @@ def url_template(base: str, **params) -> Column:
     return F.concat(F.lit(base), *parts)
 
 
+# Articles that a place name is written with or without, and letters that stand for two.
+ARTICLES = ("a", "as", "el", "els", "l", "la", "las", "les", "lo", "los", "o", "os")
+TWO_LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe"}
+
+
+def _bare_letters() -> dict[str, str]:
+    """Lower-case Latin letters with marks, and the letter without: those that decompose, and the stroked ones."""
+    found = {"ø": "o", "ł": "l", "đ": "d", "ħ": "h", "ı": "i", "ŧ": "t"}
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
+        if len(base) == 1 and base.isascii() and base.islower():
+            found[chr(code)] = base
+    return found
+
+
+def fold_name(name) -> Column:
+    """A name as it compares: letters lower-case and without marks (composed
+    or not), words parted by anything else, articles left out wherever they
+    stand (``Coruña (A)``, ``A CORUNA``; a name of articles alone stays).
+    NULL stays NULL."""
+    bare = _bare_letters()
+    text = F.translate(F.lower(_col(name)), "".join(bare), "".join(bare.values()))
+    for letter, two in TWO_LETTERS.items():
+        text = F.replace(text, F.lit(letter), F.lit(two))
+    text = F.regexp_replace(text, r"\p{M}+", "")
+    words = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    named = F.filter(words, lambda x: ~x.isin(*ARTICLES))
+    return F.array_join(F.when(F.size(named) > 0, named).otherwise(words), " ")
+
+
 def empty_to_null(c) -> Column:
     """``''`` -> NULL (staging load rule)."""
     return F.nullif(_col(c), F.lit(""))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.operators.joins import prefixed, same_keys
+from indicata.sinks.files import materialize
 
 
 # ── A1 row-count check ────────────────────────────────────────────────────
@@ -153,6 +154,57 @@ def reconcile_diff(baseline: DataFrame, current: DataFrame, keys: list[str]) ->
     return j.select(*keys, change.alias("change")).where(F.col("change").isNotNull())
 
 
+#: Bits of the key hash that each level of ``reconcile_tree`` looks at further.
+LEVELS = (8, 8)
+
+
+def _hashes(df: DataFrame, keys: list[str], columns: list[str], bits: int) -> DataFrame:
+    """``df`` with ``_bucket`` (the first bits of the key's hash) and ``_row``
+    (a hash of the whole row, null marks included: a null alone leaves a hash
+    as it is)."""
+    def hashed(names: list[str]) -> Column:
+        return F.xxhash64(*[x for c in names for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+    return df.withColumn("_bucket", F.shiftrightunsigned(hashed(keys), 64 - bits)).withColumn("_row", hashed(columns))
+
+
+def _unequal_buckets(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    """Buckets whose rows differ, by number and sum of the row hashes (which
+    no order matters to); each side sends one row per task and bucket."""
+    def summed(df: DataFrame, side: int) -> DataFrame:
+        return df.select("_bucket", (F.col("_row").cast("decimal(38,0)") * side).alias("_h"), F.lit(side).alias("_n"))
+    both = summed(baseline, 1).unionByName(summed(current, -1))
+    return both.groupBy("_bucket").agg(F.sum("_h").alias("_h"), F.sum("_n").alias("_n")).where(
+        "_h <> 0 OR _n <> 0").select("_bucket")
+
+
+def reconcile_tree(baseline: DataFrame, current: DataFrame, keys: list[str],
+                   levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """``reconcile_diff`` for two large versions with few differences.
+
+    Level by level, both sides are summed up to one hash per bucket of keys,
+    within the buckets that differed on the level before; the full outer join
+    then takes only rows of the last differing buckets.  What is shuffled
+    follows the changes and the number of buckets, not the rows; each level is
+    one more scan of both sides.  Two versions of a bucket that differ and
+    still have the same sum of 64-bit hashes would be missed."""
+    columns, bits, found = baseline.columns, 0, None
+    sides = [baseline, current.select(*[f"`{c}`" for c in columns])]
+
+    def within(df: DataFrame, bits: int) -> DataFrame:
+        """Rows whose first bits lie in a differing bucket; how those few are sent is the planner's choice by size."""
+        hashed = _hashes(df, keys, columns, bits)
+        return hashed if found is None else hashed.withColumn("_above", F.shiftrightunsigned(
+            "_bucket", bits - before)).join(found.withColumnRenamed("_bucket", "_above"), "_above", "left_semi")
+
+    before = 0
+    for more in levels:
+        bits += more
+        b, c = (within(df, bits) for df in sides)
+        found, before = materialize(_unequal_buckets(b, c), "unequal_buckets"), bits
+    b, c = (within(df, bits).select(*[f"`{x}`" for x in columns]) for df in sides)
+    return reconcile_diff(b, c, keys)
+
+
 def reconcile_exact(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """Unkeyed diff (multiset): rows only in one side, with ``side``.
 

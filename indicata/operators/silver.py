@@ -10,6 +10,7 @@ Key: every column except ``value``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -236,14 +237,40 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 # ── J2 lookup mapping ─────────────────────────────────────────────────────
 
-def map_values(df: DataFrame, mapping: DataFrame, on: str, target: str) -> DataFrame:
-    """Left join to a lookup; an unmapped name keeps the row with NULL target."""
-    m = mapping.select(on, target).dropDuplicates([on])
-    return df.join(m, on=on, how="left")
+def _targets(mapping: DataFrame, on: str, target: str, key: Callable[[Column], Column]) -> DataFrame:
+    """``_name`` (as it compares), ``targets``, ``names``: what a lookup says of each name."""
+    return mapping.where(F.col(on).isNotNull()).groupBy(key(F.col(on)).alias("_name")).agg(
+        F.sort_array(F.collect_set(F.struct(target))).alias("targets"), F.sort_array(F.collect_set(on)).alias("names"))
 
 
-def unmapped(df: DataFrame, mapping: DataFrame, on: str) -> DataFrame:
+def _same(name: Column) -> Column:
+    return name
+
+
+def name_conflicts(mapping: DataFrame, on: str, target: str, key: Callable[[Column], Column] = _same) -> DataFrame:
+    """Names that a lookup gives several targets (a missing one counts):
+    ``name`` as it compares, the ``names`` as they are written, ``targets``."""
+    return _targets(mapping, on, target, key).where(F.size("targets") > 1).select(
+        F.col("_name").alias("name"), "names", F.col(f"targets.{target}").alias("targets"))
+
+
+def map_values(df: DataFrame, mapping: DataFrame, on: str, target: str,
+               key: Callable[[Column], Column] = _same) -> DataFrame:
+    """Left join to a lookup; an unmapped name keeps the row with NULL target.
+
+    Names are equal if ``key`` makes them so (``functions.fold_name`` passes
+    over case, marks and articles).  A name of ``df`` for which the lookup has
+    several targets fails the job (see ``name_conflicts`` for a report);
+    entries that repeat each other are one."""
+    clash = F.raise_error(F.concat(F.lit("several targets for the name "), F.col("_name"), F.lit(": "),
+                                   F.to_json("targets"))).cast(mapping.schema[target].dataType)
+    one = _targets(mapping, on, target, key).select("_name", F.when(F.size("targets") > 1, clash).otherwise(
+        F.col("targets")[0][target]).alias(target))
+    return df.withColumn("_name", key(F.col(on))).join(one, on="_name", how="left").drop("_name")
+
+
+def unmapped(df: DataFrame, mapping: DataFrame, on: str, key: Callable[[Column], Column] = _same) -> DataFrame:
     """Names with no lookup entry and how many rows carry each."""
-    m = mapping.select(on).distinct()
-    return (df.join(m, on=on, how="left_anti").groupBy(on)
+    m = mapping.select(key(F.col(on)).alias("_name")).distinct()
+    return (df.withColumn("_name", key(F.col(on))).join(m, on="_name", how="left_anti").groupBy(on)
             .agg(F.count(F.lit(1)).alias("n_rows")))

@@ -10,7 +10,8 @@ from indicata.operators.silver import consolidate
 from indicata.plans import series
 from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL,
                                     ORDERS_BY_REGION_SQL, ORDERS_BY_STATUS_SQL, query, tables)
-from indicata.plans.gold import build_star, region_yoy
+from indicata.plans.gold import build_star, clustered, region_yoy, star_by_region_month
+from indicata.session import scratch_path
 
 
 def _star(spark, base):
@@ -157,6 +158,28 @@ def fact_union(spark, base):
                         series.events_by_type(t)])
 
 
+# ── J6: a slice of the written fact ───────────────────────────────────────
+
+def written_star(spark, base):
+    """The star of three sources, its fact written by source and clustered by month."""
+    t = tables(spark, base)
+    monthly = consolidate([series.orders_by_region(t), series.lineitem_by_region(t), series.events_by_type(t)])
+    star = build_star(monthly, t.region.select(F.col("r_name").alias("region")))
+    path = scratch_path(spark, "fact")
+    clustered(star.fact).write.partitionBy("source_key").parquet(path)
+    star.fact = spark.read.schema(star.fact.schema).parquet(path)
+    return star
+
+
+@query("star_pruned", f"""
+SELECT region, period, value FROM ({LINEITEM_BY_REGION_SQL})
+WHERE period BETWEEN DATE '1994-06-01' AND DATE '1995-05-01'
+""")
+def star_pruned(spark, base):
+    """Twelve months of one source from the written fact: other sources' files and other months are not read."""
+    return star_by_region_month(written_star(spark, base), "lineitem", "revenue", ("1994-06", "1995-05"))
+
+
 # ── J1: dense surrogate keys over a dimension that grows with the data ────
 
 @query("dense_keys", """

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indicata.functions import float_text, safe_rate
+from indicata.functions import float_text, fold_name, safe_rate
 from indicata.operators.joins import broadcast_reference, upsert
 from indicata.operators.quality import (column_profile, count_check, filter_group_count,
-                                        log_audit, progress, reconcile_diff, reconcile_exact, sample_rows,
+                                        log_audit, progress, reconcile_diff, reconcile_exact, reconcile_tree, sample_rows,
                                         totals, totals_vs_expected)
 from indicata.operators.silver import (apply_scope, cleanse_text, consolidate, dedup_exact,
-                                       dedup_latest, enforce_types, map_values, reject_rows,
+                                       dedup_latest, enforce_types, map_values, name_conflicts, reject_rows,
                                        typed_rows, unmapped, unpivot_measures, verify_types)
 from indicata.session import scratch_path
 from indicata.sinks import versions
-from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL,
+from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL, REGISTRY,
                                     query, tables)
 
 # ── P10 type enforcement ──────────────────────────────────────────────────
@@ -263,6 +263,37 @@ def unmapped_regions(spark, base):
     return unmapped(_delegations(t), _delegation_map(t), "delegation")
 
 
+@query("map_folded", f"""
+SELECT s.s_suppkey, m.region FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+LEFT JOIN ({DELEGATION_MAP_SQL}) m ON n.n_name = m.delegation
+""")
+def map_folded(spark, base):
+    """Suppliers' nations in several spellings (accents composed or not, case, articles before or after), resolved by
+    a lookup that has spellings of its own and repeats entries."""
+    t, k, name = tables(spark, base), F.col("s_suppkey") % 4, F.initcap("delegation")
+    spelt = (F.when(k == 0, F.concat(F.lit("La "), F.translate(name, "aeiou", "áèîöū")))
+             .when(k == 1, F.concat(F.regexp_replace(F.upper(name), "([AEIOU])", "$1\u0301"), F.lit(" (El)")))
+             .when(k == 2, F.concat(name, F.lit(", Los"))).otherwise(F.concat(F.lit(" "), F.col("delegation"))))
+    own = _delegation_map(t)
+    lookup = own.union(own.select(F.concat(F.lit("Las "), F.lower("delegation")).alias("delegation"), "region"))
+    return map_values(_delegations(t).withColumn("delegation", spelt), lookup, "delegation", "region", fold_name) \
+        .select("s_suppkey", "region")
+
+
+@query("map_conflicts", """
+SELECT lower(n_name) AS name, r_name || '|another region' AS targets
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST' AND n_nationkey % 5 = 0
+""")
+def map_conflicts(spark, base):
+    """Names that a lookup maps to two regions under different spellings."""
+    t = tables(spark, base)
+    own = _delegation_map(t)
+    wrong = own.join(t.nation, own["delegation"] == t.nation["n_name"]).where("n_nationkey % 5 = 0").select(
+        F.concat(F.lit("El "), F.initcap("delegation")).alias("delegation"), F.lit("another region").alias("region"))
+    found = name_conflicts(own.union(wrong), "delegation", "region", fold_name)
+    return found.select("name", F.array_join("targets", "|").alias("targets"))
+
+
 # ── J5 upsert ────────────────────────────────────────────────────────────
 
 CUSTOMER_UPDATES_SQL = """
@@ -365,6 +396,13 @@ def reconcile_diff_q(spark, base):
     return reconcile_diff(o, _current_orders(o), ["o_orderkey"])
 
 
+@query("reconcile_tree", REGISTRY["reconcile_diff"][1])
+def reconcile_tree_q(spark, base):
+    """The same differences, found level by level through hashes of key buckets."""
+    o = tables(spark, base).orders
+    return reconcile_tree(o, _current_orders(o), ["o_orderkey"])
+
+
 @query("version_diff", f"""
 WITH c AS ({CURRENT_ORDERS_SQL})
 SELECT *, 'removed' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM c)

@@ -158,8 +158,28 @@ def build_star(tidy_monthly: DataFrame, region_names: DataFrame, written: bool =
     )
 
 
-def star_by_region_month(star: Star, source: str, measure: str) -> DataFrame:
-    """Star query: one source and measure, summed per region and month.
+def clustered(fact: DataFrame) -> DataFrame:
+    """The fact as it is to be written, partitioned by ``source_key``: rows
+    dealt out by ranges of (source, month, region), so that each file holds a
+    run of months, whose bounds its footer tells; a source of any size spreads
+    over as many tasks as it needs."""
+    order = ["source_key", "calendar_key", "region_key"]
+    return fact.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def month_key(month: str) -> int:
+    """``YYYY-MM`` as a calendar key."""
+    year, number = month.split("-")[:2]
+    return int(year) * 100 + int(number)
+
+
+def star_by_region_month(star: Star, source: str, measure: str, months: tuple[str, str] | None = None) -> DataFrame:
+    """Star query: one source and measure, summed per region and month, of all
+    months or of those from the first to the last given (``YYYY-MM``).
+
+    On a written fact the filtered source dimension prunes its partitions
+    while the query runs, and the bounds of the months, which calendar keys
+    follow, are pushed down to the scan.
 
     Dimensions are filtered first; the planner broadcasts them from their size
     estimate (re-checked by AQE at runtime), so the fact is scanned once,
@@ -170,7 +190,10 @@ def star_by_region_month(star: Star, source: str, measure: str) -> DataFrame:
     mea = star.dim_measure.where(F.col("measure") == measure).select("measure_key")
     reg = star.dim_region.select("region_key", "region")
     cal = star.dim_calendar.select("calendar_key", F.col("month_start").alias("period"))
-    f = (star.fact.join(src, "source_key").join(mea, "measure_key")
+    fact = star.fact
+    if months:
+        fact = fact.where(F.col("calendar_key").between(*map(month_key, months)))
+    f = (fact.join(src, "source_key").join(mea, "measure_key")
          .join(reg, "region_key").join(cal, "calendar_key"))
     return f.groupBy("region", "period").agg(F.sum("value").cast("decimal(18,4)").alias("value"))
 

@@ -35,7 +35,7 @@ from indicata.operators.bronze import run_stamp
 from indicata.operators.quality import totals_vs_expected
 from indicata.operators.silver import apply_scope, consolidate, roll_up
 from indicata.plans.bronze import TAX_SHEET, bronze_construction, bronze_delimited, bronze_energy, bronze_tax
-from indicata.plans.gold import additive, build_star, derive_measures
+from indicata.plans.gold import additive, build_star, clustered, derive_measures
 from indicata.plans.silver import (TIDY_KEY, energy_history, silver_construction, silver_delimited, silver_energy,
                                    silver_tax, tidy_rows)
 from indicata.functions.text import file_name
@@ -426,7 +426,7 @@ def _gold(run: _Run, info: dict) -> None:
     for dim in DIMENSIONS:
         run.out[dim] = _write(getattr(star, dim), f"{conf.lake}/gold/{dim}", f"gold_{dim}", {})
     # one directory per source: a source-filtered query prunes to its files
-    fact = run.out["fact"] = _write(star.fact, f"{conf.lake}/gold/fact", "gold_fact", info, ["source_key"])
+    fact = run.out["fact"] = _write(clustered(star.fact), f"{conf.lake}/gold/fact", "gold_fact", info, ["source_key"])
     run.out["monthly"] = _write(monthly, f"{conf.lake}/gold/monthly", "gold_monthly", {})
     run.out["measures"] = _write(derive_measures(monthly, star.dim_measure), f"{conf.lake}/gold/measures",
                                  "gold_measures", {})

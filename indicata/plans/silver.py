@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.operators.silver import VALUE_TYPE, cleanse_text, history, map_values, parse_as, superseded
+from indicata.functions.text import fold_name
 from indicata.sources.cells import label_cells
 
 TIDY_KEY = ["source", "indicator", "region", "period", "measure"]
@@ -129,10 +130,12 @@ def silver_tax(cells: DataFrame, header_rows: DataFrame, delegation_map: DataFra
                periods: str | dict[str, str], label_col: int = 1) -> tuple[DataFrame, DataFrame]:
     """Tax crosstab -> observations per delegation (``detail``), and the
     delegations without a region, whose observations stay under ``UNMAPPED``.
+    Delegations are found whatever their case, accents and articles; one with
+    two regions fails the job.
 
     ``periods``: the month that a workbook reports, one for all or by file."""
     x = crosstab_cells(cells, header_rows, label_col).withColumn("delegation", cleanse_text("label"))
-    mapped = map_values(x, delegation_map, "delegation", "region")
+    mapped = map_values(x, delegation_map, "delegation", "region", fold_name)
     if isinstance(periods, str):
         period = F.lit(periods)
     else:
