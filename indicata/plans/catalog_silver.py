@@ -281,7 +281,7 @@ def map_folded(spark, base):
 
 
 @query("map_conflicts", """
-SELECT lower(n_name) AS name, r_name || '|another region' AS targets
+SELECT replace(lower(n_name), '_', ' ') AS name, r_name || '|another region' AS targets
 FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST' AND n_nationkey % 5 = 0
 """)
 def map_conflicts(spark, base):
