@@ -9,9 +9,9 @@ from indicata.sinks.files import materialize
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """``edges(u, v)`` with the least of u and its neighbours; least values are combined before the shuffle, and the
-    join back is split where one node has very many edges."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """``edges(u, v)`` with the least of u and its neighbours.  Least values are combined before the shuffle and written
+    first, so that the join reads plain shuffles on both sides, which are split where one node has very many edges."""
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return edges.join(least, "u")
 
 
