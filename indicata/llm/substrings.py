@@ -194,11 +194,14 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     found = materialize(map_slices(
         rows, "text", _run_rows, f"{ids}, start bigint, n int, place int, anchor bigint, context bigint", SLICE),
         "string-runs")
-    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where("all > 1")
-    found = materialize(found.join(often.select("anchor"), "anchor"), "string-anchors")
-    contexts = found.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "th", "start", "n", "place")).alias("one"))
-    mixed = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+    # what is joined back to its own rows is written first: then both sides are plain shuffles, and one anchor with
+    # very many rows is split
+    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("anchor")
+    found = materialize(found.join(materialize(often, "string-often"), "anchor"), "string-anchors")
+    contexts = materialize(found.groupBy("anchor", "context").agg(
+        F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "th", "start", "n", "place")).alias("one")),
+        "string-anchor-contexts")
+    mixed = materialize(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "string-mixed")
     contexts = materialize(contexts.join(mixed, "anchor", "left"), "string-contexts")
     whole = found.join(contexts.where("m > 1").select("anchor", "context"), ["anchor", "context"]).select(
         "doc_id", "th", *_span())
