@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from indicata.functions import float_text, iso_utc
 from indicata.operators.bronze import all_strings, run_stamp
-from indicata.plans import series
+from indicata.plans import increments, series
 from indicata.plans.bronze import bronze_delimited, bronze_energy
-from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL,
+from indicata.plans.catalog import (EVENTS_BY_TYPE_SQL, LINEITEM_BY_REGION_SQL, ORDERS_BY_REGION_SQL, REGISTRY,
                                     query, tables)
 from indicata.plans.catalog_bronze import API_PATH, RUN_TS, _landed_documents
 from indicata.plans.gold import (Star, build_dims, derive_measures, keyed_fact, star_by_region_month,
@@ -19,6 +19,7 @@ from indicata.plans.silver import energy_history as revised
 from indicata.plans.silver import reject_rows, silver_delimited, silver_energy, tidy_rows
 from indicata.operators.silver import consolidate, tidy
 from indicata.session import scratch_path
+from indicata.sinks import versions
 from indicata.sinks.files import materialize, materialize_all
 from indicata.sources.csv_text import (RECORD_COL, overlong_rows, parse_records, read_delimited, read_delimited_files,
                                        well_formed, write_delimited)
@@ -343,3 +344,25 @@ def derived_measures(spark, base):
     monthly = materialize(monthly, "derived_monthly")
     dims = build_dims(monthly, monthly.select("region"), measures={"value": ("count", False)})
     return derive_measures(monthly, materialize(dims["dim_measure"], "dim_measure"))
+
+
+# ── M3: measures of changed months only ──────────────────────────────────
+
+@query("measures_incremental", REGISTRY["derived_measures"][1])
+def measures_incremental(spark, base):
+    """Measures built while March 1995 was provisional and the last two months of each series were missing, then
+    brought up to date by these months alone."""
+    t = tables(spark, base)
+    monthly = materialize(consolidate([series.orders_by_region(t), series.lineitem_by_region(t),
+                                       series.events_by_type(t)]), "increments_monthly")
+    dims = build_dims(monthly, monthly.select("region"), measures={"value": ("count", False)})
+    flags = materialize(dims["dim_measure"], "dim_measure")
+    last = monthly.groupBy(*increments.SERIES).agg(F.add_months(F.max("period"), -1).alias("end"))
+    late = monthly.join(last, increments.SERIES).withColumn("late", F.col("period") >= F.col("end"))
+    provisional = F.col("period") == F.lit("1995-03-01").cast("date")
+    early = late.where("NOT late").withColumn("value", F.when(provisional, (F.col("value") * 2).cast(
+        "decimal(18,4)")).otherwise(F.col("value")))
+    roots = [scratch_path(spark, name) for name in ("increments-monthly", "increments-measures")]
+    increments.build(early.select(*monthly.columns), flags, *roots)
+    increments.apply_changes(late.where(F.col("late") | provisional).select(*monthly.columns), flags, *roots)
+    return versions.read(spark, roots[1]).drop("year")
