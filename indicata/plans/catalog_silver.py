@@ -10,6 +10,7 @@ from indicata.operators.joins import broadcast_reference, upsert
 from indicata.operators.quality import (column_profile, count_check, filter_group_count,
                                         log_audit, progress, reconcile_diff, reconcile_exact, reconcile_tree, sample_rows,
                                         totals, totals_vs_expected)
+from indicata.operators import sketches
 from indicata.operators.silver import (apply_scope, cleanse_text, consolidate, dedup_exact,
                                        dedup_latest, enforce_types, map_values, name_conflicts, reject_rows,
                                        typed_rows, unmapped, unpivot_measures, verify_types)
@@ -469,6 +470,42 @@ def column_profile_q(spark, base):
     return column_profile(tables(spark, base).customer, CUSTOMER_COLUMNS)
 
 
+@query("profile_merged", """
+WITH n AS (SELECT 'event_type' AS column_name, count(*) AS n_rows, count(event_type) AS n_values FROM events
+           UNION ALL SELECT 'user_id', count(*), count(user_id) FROM events
+           UNION ALL SELECT 'value', count(*), count(value) FROM events),
+f AS (SELECT event_type, count(*) AS k FROM events GROUP BY 1 ORDER BY k DESC, event_type LIMIT 1)
+SELECT n.*, CASE WHEN column_name = 'event_type' THEN (SELECT event_type FROM f) END AS most_frequent,
+       CASE WHEN column_name = 'event_type' THEN (SELECT k FROM f) END AS its_count,
+       true AS distinct_close, CASE WHEN column_name <> 'event_type' THEN true END AS median_close FROM n
+""")
+def profile_merged(spark, base):
+    """Profile of ``events`` from stored sketches per month: all months but the last first, then the last alone; the
+    estimates are compared with exact figures."""
+    e, columns = tables(spark, base).events.withColumn("month", F.date_format("ts", "yyyy-MM")), [
+        "event_type", "user_id", "value"]
+    path, last = scratch_path(spark, "profile_sketches"), e.agg(F.max("month")).first()[0]
+    for part in (e.where(F.col("month") != last), e.where(F.col("month") == last)):
+        sketches.store(sketches.sketch(part, "month", columns), path)
+    found = sketches.merged(spark.read.parquet(path))
+    exact = e.agg(*[F.count_distinct(c).alias(f"{c}_d") for c in columns],
+                  *[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.45), F.lit(0.55))).alias(f"{c}_m")
+                    for c in columns[1:]])
+    both = found.join(F.broadcast(exact))   # one row
+
+    def of(suffix: str, names: list[str]):
+        out = F.lit(None)
+        for c in names:
+            out = F.when(F.col("column_name") == c, F.col(f"{c}{suffix}")).otherwise(out)
+        return out
+    distinct, bounds = of("_d", columns), of("_m", columns[1:])
+    middle, first = F.col("quantiles")[1], F.when(F.col("column_name") == "event_type", F.col("frequent")[0])
+    return both.select(
+        "column_name", "n_rows", "n_values", first["value"].alias("most_frequent"), first["low"].alias("its_count"),
+        (F.abs(F.col("n_distinct") - distinct) <= 0.06 * distinct + 1).alias("distinct_close"),
+        middle.between(bounds[0], bounds[1]).alias("median_close"))
+
+
 @query("log_audit", """
 SELECT user_id, (array_agg(event_type ORDER BY ts DESC, event_id DESC))[1] AS last_state,
        min(ts) AS started, max(ts) AS ended, epoch_us(max(ts)) - epoch_us(min(ts)) AS duration_us,
