@@ -51,6 +51,14 @@ def map_slices(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.Rec
     return df.mapInArrow(run, schema)
 
 
+def unused(columns: list[str]) -> str:
+    """A prefix that none of the columns begins with, for names beside them."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def whole_row(df: DataFrame, *named: tuple[str, str]) -> DataFrame:
     """All columns packed in ``row`` beside copies of the named ones, so that added columns can't clash."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),

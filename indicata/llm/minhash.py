@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.llm import graph, shingles
-from indicata.llm.common import WORD, map_groups, map_slices, pair_blocks, utf8, whole_row
+from indicata.llm.common import WORD, map_groups, map_slices, pair_blocks, unused, utf8, whole_row
 from indicata.sinks.files import materialize
 
 K = 32
@@ -252,12 +252,12 @@ def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     """
     ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("kept"))
     ids = materialize(ids.where("n > 1 OR NOT kept"), "near-dropped")
-    own = F.col(f"`{key}`")
+    own, own_id = F.col(f"`{key}`"), unused(docs.columns) + "id"
 
     def without(names: DataFrame, how: str) -> DataFrame:
-        names = names.select(F.col("doc_id").alias("__id"))
+        names = names.select(F.col("doc_id").alias(own_id))
         names = F.broadcast(names) if names.count() <= SENT else names
-        return docs.join(names, own.eqNullSafe(F.col("__id")), how)
+        return docs.join(names, own.eqNullSafe(F.col(own_id)), how)
 
     out = without(ids, "left_anti")
     if ids.where("n > 1").isEmpty():

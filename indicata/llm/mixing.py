@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.llm.common import WORD
+from indicata.llm.common import WORD, unused
 from indicata.sinks.files import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -133,21 +133,25 @@ def take(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with each row as often as ``mixed`` (their ``mix``) has it.
 
     Where ids repeat, the copies of an id are dealt over its rows in order of their hash, equal rows counted together,
-    so that the copies of equal ids add up, though not by size.
+    so that the copies of equal ids add up, though not by size.  Other columns may have any names.
     """
-    counts = materialize(mixed.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.count(F.lit(1)).alias("__m"), F.sum("copies").alias("__copies")), "mix-copies")
-    own = F.col(f"`{key}`")
-    once = docs.join(counts.where("__m = 1 AND __copies > 0"), own.eqNullSafe(F.col("__id"))).select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__i"))
-    out = once.drop("__i")
-    if counts.where("__m > 1").isEmpty():
+    p = unused(docs.columns)
+    id_, m, copies, i, n, at, k = (p + x for x in ("id", "m", "copies", "i", "n", "at", "k"))
+    counts = materialize(mixed.groupBy(F.col("doc_id").alias(id_)).agg(
+        F.count(F.lit(1)).alias(m), F.sum("copies").alias(copies)), "mix-copies")
+    own, columns = F.col(f"`{key}`"), [docs[f"`{c}`"] for c in docs.columns]
+    once = docs.join(counts.where((F.col(m) == 1) & (F.col(copies) > 0)), own.eqNullSafe(F.col(id_))).select(
+        *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(i))
+    out = once.drop(i)
+    more = counts.where(F.col(m) > 1)
+    if more.isEmpty():
         return out
-    again = docs.join(counts.where("__m > 1"), own.eqNullSafe(F.col("__id"))).groupBy(
-        *[docs[c] for c in docs.columns], "__id", "__m", "__copies").agg(F.count(F.lit(1)).alias("__n"))
-    order = Window.partitionBy("__id").orderBy(F.xxhash64(*docs.columns)).rowsBetween(Window.unboundedPreceding, -1)
-    again = again.withColumn("__at", F.coalesce(F.sum("__n").over(order), F.lit(0)))
-    share = lambda x: F.floor(x * F.col("__copies") / F.col("__m"))
-    again = again.withColumn("__k", share(F.col("__at") + F.col("__n")) - share(F.col("__at"))).where("__k > 0")
-    return out.unionByName(again.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__k")))).select(
-        *docs.columns))
+    again = docs.join(more, own.eqNullSafe(F.col(id_))).groupBy(*columns, id_, m, copies).agg(
+        F.count(F.lit(1)).alias(n))
+    order = Window.partitionBy(id_).orderBy(F.xxhash64(*[f"`{c}`" for c in docs.columns])).rowsBetween(
+        Window.unboundedPreceding, -1)
+    again = again.withColumn(at, F.coalesce(F.sum(n).over(order), F.lit(0)))
+    share = lambda x: F.floor(x * F.col(copies) / F.col(m))
+    again = again.withColumn(k, share(F.col(at) + F.col(n)) - share(F.col(at))).where(F.col(k) > 0)
+    return out.unionByName(again.withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), F.col(k)))).select(
+        *[f"`{c}`" for c in docs.columns]))

@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm.common import map_slices
@@ -149,8 +149,10 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           most_rows: int = 8_000, most_chars: int = 24_000_000) -> Model:
     """Train on a bounded sample of labelled documents (null is no label; a key with several labels has the highest).
 
-    The sample are the ``most_rows`` labelled keys of lowest hash, as far as their whole texts stay within
-    ``most_chars``; it alone reaches the driver.  Texts that are null count as empty.
+    The sample are the ``most_rows`` labelled keys of lowest hash; of these, in that order, those whose whole texts
+    still fit into ``most_chars``: a text that doesn't is left out, those after it aren't.  Only keys and lengths, then
+    the texts of the sample reach the driver.  Texts that are null count as empty; of rows that share a key the least
+    text counts.  Keys are integers: those of another type that don't read as one fail the job.
     """
     k, y = F.col(f"`{key}`").cast("long"), F.col(f"`{label}`")
     known = labels.where(k.isNotNull() & y.isNotNull()).groupBy(k.alias("key")).agg(F.max(y).alias("label"))
@@ -159,10 +161,13 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(k.alias("key"), body.alias("text")).join(F.broadcast(sample), "key")
     rows = rows.groupBy("key", "label").agg(F.min("text").alias("text"))
-    # at most ``most_rows`` rows are left, so one window over them is small
-    so_far = F.sum(F.length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    seen = rows.withColumn("so_far", so_far).where(F.col("so_far") <= most_chars).orderBy(*order)
-    seen = seen.select("text", "label").toPandas()
+    chosen, left = [], most_chars
+    for row in rows.select("key", F.length("text").alias("n")).orderBy(*order).collect():   # ``most_rows`` at most
+        if row.n <= left:
+            chosen.append((row.key,))
+            left -= row.n
+    chosen = docs.sparkSession.createDataFrame(chosen, "key bigint")
+    seen = rows.join(F.broadcast(chosen), "key").orderBy(*order).select("text", "label").toPandas()
     return fit(seen["text"].tolist(), seen["label"].to_numpy() > 0)
 
 
