@@ -488,22 +488,18 @@ def profile_merged(spark, base):
     for part in (e.where(F.col("month") != last), e.where(F.col("month") == last)):
         sketches.store(sketches.sketch(part, "month", columns), path)
     found = sketches.merged(spark.read.parquet(path))
+    none = F.lit(None).cast("array<double>")
     exact = e.agg(*[F.count_distinct(c).alias(f"{c}_d") for c in columns],
                   *[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.45), F.lit(0.55))).alias(f"{c}_m")
                     for c in columns[1:]])
-    both = found.join(F.broadcast(exact))   # one row
-
-    def of(suffix: str, names: list[str]):
-        out = F.lit(None)
-        for c in names:
-            out = F.when(F.col("column_name") == c, F.col(f"{c}{suffix}")).otherwise(out)
-        return out
-    distinct, bounds = of("_d", columns), of("_m", columns[1:])
-    middle, first = F.col("quantiles")[1], F.when(F.col("column_name") == "event_type", F.col("frequent")[0])
-    return both.select(
+    exact = exact.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_d").alias("d"), (F.col(f"{c}_m") if i else none).alias("m"))
+        for i, c in enumerate(columns)])).alias("x")).select("x.*")
+    first = F.when(F.col("column_name") == "event_type", F.col("frequent")[0])
+    return found.join(exact, "column_name").select(
         "column_name", "n_rows", "n_values", first["value"].alias("most_frequent"), first["low"].alias("its_count"),
-        (F.abs(F.col("n_distinct") - distinct) <= 0.06 * distinct + 1).alias("distinct_close"),
-        middle.between(bounds[0], bounds[1]).alias("median_close"))
+        (F.abs(F.col("n_distinct") - F.col("d")) <= 0.06 * F.col("d") + 1).alias("distinct_close"),
+        F.col("quantiles")[1].between(F.col("m")[0], F.col("m")[1]).alias("median_close"))
 
 
 @query("log_audit", """

@@ -1,9 +1,8 @@
 """File sinks.
 
-Every write is idempotent: a snapshot overwrites its location, a per-file
+Every write is idempotent: a snapshot overwrites its location, and a per-file
 output overwrites only the partitions (files) it carries (dynamic partition
-overwrite), and an upsert writes the merged result to a new location before
-it is published — a path is never overwritten while it is being read.
+overwrite).  Tables that are read while they change are in ``sinks/versions``.
 """
 
 from __future__ import annotations
