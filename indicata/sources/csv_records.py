@@ -104,19 +104,26 @@ _PIECES = pa.schema([("file", pa.string()), ("start", pa.int64()), ("kind", pa.i
 WHOLE, CLOSING, WITHIN, OPENING = range(4)
 
 
-def _cut(sep: str, inside: set[tuple[str, int]]):
+def _cut(sep: str, inside: set[tuple[str, int]], whole: bool):
+    """Pieces of the blocks, as many rows at once as come in; only whole records, or only what blocks leave over."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held, is_open, began, nth = None, [], False, False, 0
-
-        def piece(kind: int, texts, n: int = 1) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([name[0]] * n, pa.string()), pa.array([name[1]] * n, pa.int64()),
-                 pa.array([kind] * n, pa.int32()), pa.array(range(nth, nth + n), pa.int64()),
-                 texts if isinstance(texts, pa.Array) else pa.array([texts], pa.string())], schema=_PIECES)
+        found: list[tuple[int, int, str]] = []
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            if found:
+                kind, order, texts = zip(*found)
+                n = len(found)
+                found.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(name[0], pa.string()), n), pa.repeat(pa.scalar(name[1], pa.int64()), n),
+                     pa.array(kind, pa.int32()), pa.array(order, pa.int64()), pa.array(texts, pa.string())],
+                    schema=_PIECES)
 
         def left() -> Iterator[pa.RecordBatch]:
-            if held:
-                yield piece(OPENING if began else WITHIN, "\n".join(held))
+            if held and not whole:
+                found.append((OPENING if began else WITHIN, nth, "\n".join(held)))
+            yield from pieces()
 
         for file, start, lines in _parts(batches):
             if (file, start) != name:
@@ -124,24 +131,23 @@ def _cut(sep: str, inside: set[tuple[str, int]]):
                 name, held, nth = (file, start), [], 0
                 is_open = name in inside
                 began = not is_open   # whether a record has begun in this block
-            quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)).tolist()
-            at = 0
-            for i in [*quoted, len(lines)]:
-                if i > at:   # lines without quotes: whole records outside a field, text inside one
+            quoted = pc.match_substring(lines, '"').to_pylist()
+            for line, quotes in zip(lines.to_pylist(), quoted):
+                if not quotes:   # a whole record outside of a field, text inside one
                     if is_open:
-                        held.extend(lines.slice(at, i - at).to_pylist())
-                    else:
-                        yield piece(WHOLE, lines.slice(at, i - at), i - at)
-                        nth += i - at
-                if i == len(lines):
-                    break
-                line = lines[i].as_py()
+                        held.append(line)
+                        continue
+                    if whole:
+                        found.append((WHOLE, nth, line))
+                    nth += 1
+                    continue
                 held.append(line)
                 is_open = open_after(line, is_open, sep)
                 if not is_open:
-                    yield piece(WHOLE if began else CLOSING, "\n".join(held))
+                    if began == whole:
+                        found.append((WHOLE if began else CLOSING, nth, "\n".join(held)))
                     held, began, nth = [], True, nth + 1
-                at = i + 1
+            yield from pieces()
         if name is not None:
             yield from left()
 
@@ -162,11 +168,10 @@ def records(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame |
         return None
     known = {(r.file, r.start) for r in inside.collect()}
     kinds = "file string, start bigint, kind int, nth bigint, text string"
-    cut = lines.mapInArrow(_cut(sep, known), kinds)
-    whole = cut.where(F.col("kind") == WHOLE).select(
+    whole = lines.mapInArrow(_cut(sep, known, True), kinds).select(
         "text", "file", (F.col("start") + F.col("nth") == 0).alias("first"), F.lit(False).alias("open"))
     # what the blocks' ends left over, a few pieces of each block at most; a record begins with an opening piece
-    rest = cut.where(F.col("kind") != WHOLE)
+    rest = lines.mapInArrow(_cut(sep, known, False), kinds)
     order = Window.partitionBy("file").orderBy("start", "nth")
     rest = rest.withColumn("record", F.sum((F.col("kind") == OPENING).cast("int")).over(order))
     joined = rest.groupBy("file", "record").agg(
