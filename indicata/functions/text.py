@@ -61,12 +61,15 @@ def json_number_text(raw) -> Column:
     text is decided per value, never per column.
     """
     r = F.trim(_col(raw))
+    # up to 15 significant digits read back as they are written, and from 0.0001 on Python prints them so
+    as_written = r.rlike(r"^-?(?:0|[1-9][0-9]{0,10})\.(?:0|[0-9]{0,3}[1-9])$")
     is_int = r.rlike(r"^-?[0-9]+$")
     # up to 38 digits through a decimal (drops leading zeros, -0 -> 0);
     # longer integer tokens keep their digits with leading zeros removed
     as_int = F.coalesce(r.try_cast("decimal(38,0)").cast("string"),
                         F.regexp_replace(r, r"^(-?)0+(?=[0-9])", "$1"))
     return (F.when(r.isNull(), F.lit(None).cast("string"))
+            .when(as_written, r)
             .when(is_int, as_int)
             # a text value ("n/d") stays as it is
             .otherwise(F.coalesce(float_text(r.try_cast("double")), _col(raw))))

@@ -208,15 +208,21 @@ def history(df: DataFrame, keys: list[str], order: str, values: list[str]) -> Da
 
     The version of a load are the values of all its rows of the key.  A load
     that repeats the version before it opens no new one; the latest version of
-    a key isn't listed.  Rows are dealt out by key once: the versions are
-    gathered and compared within that partitioning."""
-    loads = df.repartition(*[F.col(f"`{k}`") for k in keys]).groupBy(*keys, order).agg(
-        F.sort_array(F.collect_list(F.struct(*values))).alias("versions"))
-    w = Window.partitionBy(*keys).orderBy(order)
+    a key isn't listed.  Rows are dealt out by key and sorted once: the
+    versions are gathered and compared in that order."""
+    # a hash goes first: rows are dealt out by it alone, constant keys or not, and sorted by numbers
+    rows = df.select(F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_hash"), *[F.col(f"`{k}`") for k in keys],
+                     order, F.struct(*values).alias("_row")).repartition("_hash")
+    key = ["_hash", *[F.col(f"`{k}`") for k in keys]]
+    load = Window.partitionBy(*key, order).orderBy("_row")
+    whole = load.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    loads = rows.select("*", F.collect_list("_row").over(whole).alias("versions"),
+                        F.row_number().over(load).alias("_nth")).where("_nth = 1").drop("_row", "_nth")
+    w = Window.partitionBy(*key).orderBy(order)
     first = F.lag(order).over(w).isNull()
     changed = loads.withColumn("_new", first | ~F.lag("versions").over(w).eqNullSafe(F.col("versions"))).where("_new")
     closed = changed.withColumn("valid_to", F.lead(order).over(w)).where(F.col("valid_to").isNotNull())
-    return closed.select(*keys, "versions", F.col(order).alias("valid_from"), "valid_to")
+    return closed.select(*[F.col(f"`{k}`") for k in keys], "versions", F.col(order).alias("valid_from"), "valid_to")
 
 
 def roll_up(rows: DataFrame, keys: list[str], additive: Column, value: str = "value") -> DataFrame:

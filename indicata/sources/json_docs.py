@@ -56,8 +56,9 @@ def parse_documents(payloads: DataFrame, body: str = "body", context: list[str]
         missing = s["type"].isNull() | s["attributes"].isNull() | s["attributes"]["values"].isNull()
         s = F.when(missing, F.raise_error(F.lit("series without type or attributes.values"))).otherwise(s)
     series = parsed.select(*context, F.explode("_doc.included").alias("s")).select(*context, s.alias("s"))
-    points = series.select(*context, F.col("s.type").alias("series_type"),
-                           F.explode("s.attributes.values").alias("p"))
+    # the type is taken out first: a point that is exploded with its series carries all points of it along
+    series = series.select(*context, F.col("s.type").alias("series_type"), F.col("s.attributes.values").alias("points"))
+    points = series.select(*context, "series_type", F.explode("points").alias("p"))
     return points.select(*context, "series_type", F.col("p.datetime").alias("datetime"),
                          json_number_text("p.value").alias("value"),
                          json_number_text("p.percentage").alias("percentage"))
